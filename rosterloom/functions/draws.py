@@ -26,7 +26,17 @@ def draw_tag(name: str, seed: int = DEFAULT_SEED) -> int:
     return (seed << 32) | zlib.crc32(name.encode("utf-8"))
 
 
-def _hash(name: str, keys: Sequence[Column | str | int], seed: int, text: bool) -> Column:
+Key = Column | str | int
+
+
+def _hash_text(name: str, keys: Sequence[str | int], seed: int) -> str:
+    casts = ", ".join(f"CAST({k if isinstance(k, int) else f'`{k}`'} AS BIGINT)" for k in keys)
+    return f"xxhash64(CAST({draw_tag(name, seed)} AS BIGINT), {casts})"
+
+
+def _hash(name: str, keys: Sequence[Key], seed: int, text: bool) -> Column:
+    if not text and not any(isinstance(k, Column) for k in keys):
+        return F.expr(_hash_text(name, keys, seed))
     cols = []
     for key in keys:
         col = F.lit(key) if isinstance(key, int) else F.col(key) if isinstance(key, str) else key
@@ -34,12 +44,12 @@ def _hash(name: str, keys: Sequence[Column | str | int], seed: int, text: bool)
     return F.xxhash64(F.lit(draw_tag(name, seed)).cast("bigint"), *cols)
 
 
-def draw(name: str, *keys: Column | str | int, seed: int = DEFAULT_SEED, text: bool = False) -> Column:
+def draw(name: str, *keys: Key, seed: int = DEFAULT_SEED, text: bool = False) -> Column:
     """Uniform BIGINT in [0, 2^32).  Numeric keys; ``text=True`` hashes them as they are."""
     return F.shiftrightunsigned(_hash(name, keys, seed, text), 64 - DRAW_BITS)
 
 
-def wide_draw(name: str, *keys: Column | str | int, seed: int = DEFAULT_SEED, text: bool = False) -> Column:
+def wide_draw(name: str, *keys: Key, seed: int = DEFAULT_SEED, text: bool = False) -> Column:
     """Uniform BIGINT in [0, 2^63), for picks from more than 2^32 things."""
     return F.shiftrightunsigned(_hash(name, keys, seed, text), 64 - WIDE_BITS)
 
@@ -65,8 +75,16 @@ def chance(u: Column, p: float) -> Column:
     return u < F.lit(cutoff(p))
 
 
+def _sql_literal(value: object) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
+
+
 def literal_array(values: Sequence[object]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+    return F.expr("array(" + ", ".join(map(_sql_literal, values)) + ")")
 
 
 def pick(u: Column, pool: Sequence[object]) -> Column:
@@ -93,29 +111,24 @@ def weighted(u: Column, options: Sequence[tuple[object, int]]) -> Column:
     return expr.otherwise(values[-1]) if len(values) > 1 else values[0]
 
 
-def distinct_ordinals(
-    name: str, size: int, k: Column | int, *keys: Column | str | int, seed: int = DEFAULT_SEED
-) -> Column:
-    """k distinct ordinals of 0..size-1 in random order.
+def shuffle_marks(name: str, size: int, *keys: str | int, seed: int = DEFAULT_SEED) -> Column:
+    """The ordinals 0..size-1 in random order, each as the low byte of a BIGINT.
 
-    Draw and ordinal share one BIGINT, so the sort runs on primitives.
+    Draw and ordinal share one number, so the sort runs on primitives in generated code.
+    Select it as a column before :func:`first_items` reads it several times.
     """
     if size > 256:
         raise ValueError("pools hold at most 256 items")
-    marks = [draw(name, *keys, i, seed=seed) * F.lit(256) + F.lit(i) for i in range(size)]
-    count = F.lit(k) if isinstance(k, int) else k
-    chosen = F.slice(F.sort_array(F.array(*marks)), F.lit(1), count.cast("int"))
-    return F.transform(chosen, lambda mark: (mark % F.lit(256)).cast("int"))
-
-
-def distinct_picks(
-    name: str, pool: Sequence[object], k: Column | int, *keys: Column | str | int, seed: int = DEFAULT_SEED
-) -> Column:
-    """k distinct items of a pool in random order."""
-    items = literal_array(pool)
-    return F.transform(
-        distinct_ordinals(name, len(pool), k, *keys, seed=seed), lambda i: F.get(items, i)
+    marks = ", ".join(
+        f"shiftrightunsigned({_hash_text(name, [*keys, i], seed)}, {64 - DRAW_BITS}) * 256 + {i}" for i in range(size)
     )
+    return F.expr(f"sort_array(array({marks}))")
+
+
+def first_items(marks: str, items: Column, k: Column, most: int) -> Column:
+    """The first k <= most shuffled items; ``items`` is an array column, ``marks`` the shuffled order."""
+    places = [F.get(items, (F.get(marks, F.lit(i)) % F.lit(256)).cast("int")) for i in range(most)]
+    return F.slice(F.array(*places), F.lit(1), k.cast("int"))
 
 
 def repeated(n: Column, limit: int, value: Callable[[int], Column]) -> Column:

@@ -59,5 +59,7 @@ _CYRILLIC = "абвгдеёжзийклмнопрстуфхцчшщыэюяьъ"
 _LATIN = "abvgdeejziyklmnoprstufhccssyeuy"
 
 
-def latin(col: Column) -> Column:
-    return F.translate(F.lower(col), _CYRILLIC, _LATIN)
+def latin_word(word: str) -> str:
+    """Transliteration of a pool word."""
+    letters = {c: _LATIN[i] if i < len(_LATIN) else "" for i, c in enumerate(_CYRILLIC)}
+    return "".join(letters.get(c, c) for c in word.lower())

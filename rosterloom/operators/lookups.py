@@ -81,21 +81,21 @@ def peer_ordinals(n: Column, d1: Column, d2: Column, d3: Column) -> Column:
 
 
 def random_peers(
-    roster: DataFrame, period: str, ordinal: str, member: str, ordinals: Column, count: Column
+    roster: DataFrame, period: str, ordinal: str, member: str, asker: str, ordinals: Column, count: Column
 ) -> DataFrame:
-    """Members of the same period at the drawn ordinals, as (ordinal, peers).
+    """Members of the same period at the drawn ordinals, as (asker, _peers).
 
-    ``peers`` is an array of (period, place, member) over all periods of an ordinal,
+    ``_peers`` is an array of (period, place, member) over all periods of an asker,
     so it has at most three entries per period.  Join keys are spread evenly: an
     ordinal is drawn by chance.
     """
     asked = roster.select(
-        period, F.col(ordinal).alias("_asker"), F.posexplode(F.slice(ordinals, F.lit(1), count.cast("int"))).alias("_place", ordinal)
+        period, asker, F.posexplode(F.slice(ordinals, F.lit(1), count.cast("int"))).alias("_place", ordinal)
     )
     known = roster.select(period, ordinal, member)
     return (
         asked.join(known, [period, ordinal])
-        .groupBy(F.col("_asker").alias(ordinal))
+        .groupBy(asker)
         .agg(F.sort_array(F.collect_list(F.struct(period, "_place", member))).alias("_peers"))
     )
 

@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from rosterloom.functions import pools
 from rosterloom.functions.dates import on_trial, tenure_days
 from rosterloom.functions.draws import (
-    chance, distinct_ordinals, distinct_picks, draw, literal_array, past_date, pick, repeated, uniform_decimal,
-    uniform_int, weighted, wide_draw,
+    chance, draw, first_items, literal_array, past_date, pick, repeated, shuffle_marks, uniform_decimal, uniform_int,
+    weighted, wide_draw,
 )
 from rosterloom.functions.scores import shortfall
-from rosterloom.functions.text import by_key, latin, strip_leading_word
+from rosterloom.functions.text import by_key, latin_word, strip_leading_word
 from rosterloom.operators.windows import capped_growth, counter_since
 
 GRADE_CAP = 17
@@ -62,7 +62,16 @@ class Attributes:
         return uniform_int(self._u("age"), 22, 62).cast("int")
 
     def slug(self) -> Column:
-        return F.concat(latin(self.first_name()), F.lit("."), latin(self.surname()))
+        """First name and surname in Latin letters: the same draws on transliterated pools."""
+
+        def spelled(words: list[str]) -> list[str]:
+            return [latin_word(w) for w in words]
+
+        first = self._by_gender(
+            "first_name", spelled(pools.FIRST_NAMES_MALE), spelled(pools.FIRST_NAMES_FEMALE)
+        )
+        last = self._by_gender("surname", spelled(pools.SURNAMES), spelled([s + "а" for s in pools.SURNAMES]))
+        return F.concat(first, F.lit("."), last)
 
     def work_email(self) -> Column:
         return F.concat(self.slug(), F.lit("@" + pools.WORK_DOMAIN))
@@ -134,31 +143,53 @@ class Attributes:
             F.when(chance(self._u("second"), 0.15), F.array(second)).otherwise(none),
         )
 
+    def shuffled(self) -> dict[str, Column]:
+        """Working columns: shuffled ordinals of each pool that several items are taken from."""
+
+        def order(name: str, it_pool, bank_pool) -> Column:
+            it = shuffle_marks(name, len(it_pool), "emp_no", seed=self.seed)
+            bank = shuffle_marks(name, len(bank_pool), "emp_no", seed=self.seed)
+            return it if len(it_pool) == len(bank_pool) else F.when(F.col("hire_is_it"), it).otherwise(bank)
+
+        return {
+            "_skill_order": order("skills", pools.SKILLS_IT, pools.SKILLS_BANK),
+            "_soft_order": order("soft_skills", pools.SKILLS_SOFT, pools.SKILLS_SOFT),
+            "_goal_order": order("goals", pools.GOALS_IT, pools.GOALS_BANK),
+            "_goal_texts": self._goal_texts(),
+            "_achievement_order": order("achievements", pools.ACHIEVEMENTS_IT, pools.ACHIEVEMENTS_BANK),
+        }
+
+    def _pool(self, it_pool, bank_pool) -> Column:
+        return F.when(F.col("hire_is_it"), literal_array(it_pool)).otherwise(literal_array(bank_pool))
+
     def skills(self) -> Column:
         count = uniform_int(self._u("skill_count"), 3, 8)
-        hard = F.when(
-            F.col("hire_is_it"), distinct_picks("skills", pools.SKILLS_IT, count, "emp_no", seed=self.seed)
-        ).otherwise(distinct_picks("skills", pools.SKILLS_BANK, count, "emp_no", seed=self.seed))
+        hard = first_items("_skill_order", self._pool(pools.SKILLS_IT, pools.SKILLS_BANK), count, 8)
         soft_count = uniform_int(self._u("soft_count"), 1, 3)
-        soft = distinct_picks("soft_skills", pools.SKILLS_SOFT, soft_count, "emp_no", seed=self.seed)
         has_soft = F.col("is_manager") | chance(self._u("has_soft"), 0.4)
-        return F.concat(hard, F.when(has_soft, soft).otherwise(F.array().cast("array<string>")))
+        soft = first_items(
+            "_soft_order", literal_array(pools.SKILLS_SOFT), F.when(has_soft, soft_count).otherwise(0), 3
+        )
+        return F.concat(hard, soft)
 
     # -- goals ------------------------------------------------------------------
 
     def goal_count(self) -> Column:
         return uniform_int(self._u("goal_count"), 2, 5)
 
-    def goals(self) -> Column:
+    def _goal_texts(self) -> Column:
+        """Every goal template with its own mark filled in."""
+
         def filled(texts: list[str]) -> Column:
-            chosen = distinct_ordinals("goals", len(texts), self.goal_count(), "emp_no", seed=self.seed)
-            return F.transform(
-                chosen, lambda i: F.replace(F.get(literal_array(texts), i), F.lit(GOAL_SLOT), self._goal_mark(i))
-            )
+            parts = [(i, *text.split(GOAL_SLOT)) for i, text in enumerate(texts)]
+            return F.array(*[F.concat(F.lit(head), self._goal_mark(i), F.lit(tail)) for i, head, tail in parts])
 
         return F.when(F.col("hire_is_it"), filled(pools.GOALS_IT)).otherwise(filled(pools.GOALS_BANK))
 
-    def _goal_mark(self, i: Column) -> Column:
+    def goals(self) -> Column:
+        return first_items("_goal_order", F.col("_goal_texts"), self.goal_count(), 5)
+
+    def _goal_mark(self, i: int) -> Column:
         number = uniform_int(self._u("goal_number", i), 5, 95).cast("string")
         kind = self._u("goal_mark", i) % F.lit(len(pools.GOAL_MARKS) + 1)
         return F.coalesce(F.get(literal_array(pools.GOAL_MARKS), kind.cast("int")), number)
@@ -175,9 +206,8 @@ class Attributes:
 
     def achievements(self) -> Column:
         count = uniform_int(self._u("achievement_count"), 0, 3)
-        return F.when(
-            F.col("hire_is_it"), distinct_picks("achievements", pools.ACHIEVEMENTS_IT, count, "emp_no", seed=self.seed)
-        ).otherwise(distinct_picks("achievements", pools.ACHIEVEMENTS_BANK, count, "emp_no", seed=self.seed))
+        items = self._pool(pools.ACHIEVEMENTS_IT, pools.ACHIEVEMENTS_BANK)
+        return first_items("_achievement_order", items, count, 3)
 
     # -- work -------------------------------------------------------------------
 

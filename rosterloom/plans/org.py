@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from rosterloom.functions import pools
 from rosterloom.functions.draws import (
-    DEFAULT_SEED, DRAW_RANGE, distinct_picks, draw, pick, uniform_int,
+    DEFAULT_SEED, DRAW_RANGE, draw, literal_array, pick, shuffle_marks, uniform_int,
 )
 from rosterloom.functions.scores import whole_div
 from rosterloom.functions.text import by_key, last_token, path_text
 from rosterloom.operators.ranking import draw_bucket, greedy_cover, key_bucket, totals_before
 from rosterloom.operators.windows import chunk_no, share_in_group
+from rosterloom.sources.staging import materialize
 
 FIRST_UID = 1001
 FIRST_TRIBE, FIRST_CLUSTER, FIRST_TEAM = 5001, 6001, 7001
@@ -47,40 +48,34 @@ def default_blocks(spark: SparkSession) -> DataFrame:
 
 def unit_rows(blocks: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
     """All units under the blocks, numbered by their place in each level."""
-    zero = F.lit(0)
+    out = ["block_no", "i2", "i3", "i4", "level", "name", "is_it", "share"]
 
-    def children(parents: DataFrame, level: int, span: tuple[int, int], index: str) -> DataFrame:
+    def expand(parents: DataFrame, level: int, span: tuple[int, int], it_pool, bank_pool) -> DataFrame:
+        """Children of every parent: a drawn number of them, named by distinct picks from a pool."""
         count = uniform_int(draw(f"l{level}_count", *NODE, seed=seed), *span).cast("int")
-        return parents.withColumn("_count", count).withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_count"))))
-
-    def named(df: DataFrame, pool, level: int, parent: list[str]) -> F.Column:
-        most = {2: L2_RANGE, 3: L3_RANGE, 4: L4_RANGE}[level][1]
-        return F.get(distinct_picks(f"l{level}_names", pool, most, *parent, seed=seed), F.col("_nth") - F.lit(1))
-
-    l1 = blocks.select(
-        F.col("block_no").cast("bigint"), zero.alias("i2"), zero.alias("i3"), zero.alias("i4"),
-        F.lit(1).alias("level"), "name", "is_it", F.col("share").cast("bigint").alias("share"),
-    )
-    two = children(l1, 2, L2_RANGE, "i2")
-    l2 = two.select(
-        "block_no", F.col("_nth").alias("i2"), "i3", "i4", F.lit(2).alias("level"),
-        F.when(F.col("is_it"), named(two, pools.L2_IT, 2, NODE)).otherwise(named(two, pools.L2_BANK, 2, NODE)).alias("name"),
-        "is_it", "share",
-    )
-    three = children(l2, 3, L3_RANGE, "i3")
-    l3_name = named(three, pools.L3_NAMES, 3, NODE)
-    l3 = three.select(
-        "block_no", "i2", F.col("_nth").alias("i3"), "i4", F.lit(3).alias("level"), l3_name.alias("_name"), "is_it", "share",
-    ).withColumn(
-        "name", F.concat_ws(" ", "_name", pick(draw("l3_tag", *NODE, seed=seed), pools.L3_TAGS))
-    ).select(*l2.columns)
-    four = children(l3, 4, L4_RANGE, "i4")
-    l4_name = named(four, pools.L4_NAMES, 4, NODE)
-    l4 = four.select(
-        "block_no", "i2", "i3", F.col("_nth").alias("i4"), F.lit(4).alias("level"), l4_name.alias("_name"), "is_it", "share",
-    ).withColumn(
-        "name", F.concat_ws("-", "_name", uniform_int(draw("l4_number", *NODE, seed=seed), 1, 99).cast("string"))
-    ).select(*l2.columns)
+        order = shuffle_marks(f"l{level}_names", len(it_pool), *NODE, seed=seed)
+        if len(it_pool) != len(bank_pool):
+            bank_order = shuffle_marks(f"l{level}_names", len(bank_pool), *NODE, seed=seed)
+            order = F.when(F.col("is_it"), order).otherwise(bank_order)
+        pool = literal_array(it_pool)
+        if it_pool is not bank_pool:
+            pool = F.when(F.col("is_it"), pool).otherwise(literal_array(bank_pool))
+        chosen = (F.get("_order", F.col("_nth") - F.lit(1)) % F.lit(256)).cast("int")
+        return (
+            parents.select("*", order.alias("_order"), F.explode(F.sequence(F.lit(1), count)).alias("_nth"))
+            .withColumns({"name": F.get(pool, chosen), "level": F.lit(level), f"i{level}": F.col("_nth")})
+            .select(*out)
+        )
+
+    l1 = blocks.selectExpr(
+        "CAST(block_no AS BIGINT) AS block_no", "0 AS i2", "0 AS i3", "0 AS i4", "1 AS level", "name", "is_it",
+        "CAST(share AS BIGINT) AS share",
+    )
+    l2 = expand(l1, 2, L2_RANGE, pools.L2_IT, pools.L2_BANK)
+    tag = pick(draw("l3_tag", *NODE, seed=seed), pools.L3_TAGS)
+    l3 = expand(l2, 3, L3_RANGE, pools.L3_NAMES, pools.L3_NAMES).withColumn("name", F.concat_ws(" ", "name", tag))
+    number = uniform_int(draw("l4_number", *NODE, seed=seed), 1, 99).cast("string")
+    l4 = expand(l3, 4, L4_RANGE, pools.L4_NAMES, pools.L4_NAMES).withColumn("name", F.concat_ws("-", "name", number))
     return l1.unionByName(l2).unionByName(l3).unionByName(l4)
 
 
@@ -244,8 +239,11 @@ def leaf_table(units: DataFrame, teams: DataFrame) -> DataFrame:
 def build_organisation(
     blocks: DataFrame, seed: int = DEFAULT_SEED, max_blocks: int | None = None, coverage: tuple[int, int] = COVERAGE
 ) -> Organisation:
-    """All dimension tables.  ``max_blocks`` is a known bound on the number of blocks, if there is one."""
-    units = org_tree(blocks, seed)
-    teams = agile_teams(units, seed, coverage)
+    """All dimension tables, each computed once.
+
+    ``max_blocks`` is a known bound on the number of blocks, if there is one.
+    """
+    units = materialize(org_tree(blocks, seed))
+    teams = materialize(agile_teams(units, seed, coverage))
     bound = None if max_blocks is None else max_blocks * LEAVES_PER_BLOCK
     return Organisation(units, leaf_table(units, teams), teams, bound)

@@ -16,6 +16,7 @@ from rosterloom.plans.leaders import leader_or_none, leaf_leaders
 from rosterloom.plans.org import Organisation, build_organisation, default_blocks
 from rosterloom.plans.roster import PanelSpec, Slots, numbered_slots, roster, with_events
 from rosterloom.sources.schema import PANEL, PANEL_COLUMNS
+from rosterloom.sources.staging import materialize
 
 # Columns that come out of a step of their own; a panel without them leaves the step out.
 LEADER_COLUMNS = {
@@ -68,11 +69,14 @@ def panel(
     rows = base
     if wanted & EVENT_COLUMNS or placed_extra or set(extra) & {"title_month", "move_month", "promotions", "raise_month", "quarter_month"}:
         rows = with_events(base, slots, spec)
+    if wanted & (LEADER_COLUMNS | PEER_COLUMNS):
+        # Read again for leaders and peers, so computed once; it is narrow and stays split by slot.
+        rows = materialize(rows)
+    held = rows
     if placed_extra:
-        evolved = rows
-        rows = place(evolved, org, spec)
+        rows = place(held, org, spec)
         if wanted & LEADER_COLUMNS:
-            managers = place(evolved.where("is_manager"), org, spec)
+            managers = place(held.where("is_manager"), org, spec)
             rows = dimension_lookup(
                 rows,
                 leaf_leaders(managers, org.leaves),
@@ -85,8 +89,10 @@ def panel(
     if wanted & PEER_COLUMNS:
         ordinals = peer_ordinals(slots.count, *attributes.successor_draws())
         count = F.least(attributes.successor_count(), slots.count - F.lit(1))
-        peers = random_peers(base, "month_no", "slot", "emp_no", ordinals, count)
-        rows = rows.join(peers, "slot", "left")
+        peers = random_peers(held, "month_no", "slot", "emp_no", "slot_key", ordinals, count)
+        rows = rows.join(peers, "slot_key", "left")
+    if wanted & HIRE_UNIT_COLUMNS:
+        rows = rows.withColumns(attributes.shuffled())
     built = _expressions(attributes)
     types = {f.name: f.dataType for f in PANEL}
     return rows.select(*[built[c]().cast(types[c]).alias(c) for c in columns], *extra)
