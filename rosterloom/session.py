@@ -16,7 +16,16 @@ SETTINGS = {
 }
 
 
-RUNTIME_SETTINGS = ("spark.sql.codegen.hugeMethodLimit", "spark.python.sql.dataFrameDebugging.enabled")
+# Settings a running session takes over without changing results.
+RUNTIME_SETTINGS = ("spark.sql.codegen.hugeMethodLimit",)
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Applies the runtime settings that the session's owner has not set."""
+    for key in RUNTIME_SETTINGS:
+        if spark.sparkContext.getConf().get(key) is None:
+            spark.conf.set(key, SETTINGS[key])
+    return spark
 
 
 def local_session(cores: int = 8, memory: str = "8g", name: str = "rosterloom") -> SparkSession:
@@ -25,6 +34,7 @@ def local_session(cores: int = 8, memory: str = "8g", name: str = "rosterloom")
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cores))
     )

@@ -20,7 +20,15 @@ vac_days int, lid_tribe_i_pernr bigint, lid_1_lvl_i_pernr bigint, lid_2_lvl_i_pe
 lid_3_lvl_i_pernr bigint, lid_cluster_i_pernr bigint, it_lid_cluster_i_pernr bigint,
 cur_tribe_i_pernr bigint
 """
-PANEL: T.StructType = T.StructType.fromDDL(PANEL_DDL)
+_TYPES: dict[str, T.DataType] = {
+    "date": T.DateType(), "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(),
+    "double": T.DoubleType(), "array<string>": T.ArrayType(T.StringType()), "array<bigint>": T.ArrayType(T.LongType()),
+    "array<int>": T.ArrayType(T.IntegerType()),
+}
+# Declared without a running session, so that modules can be imported before one exists.
+PANEL = T.StructType(
+    [T.StructField(name, _TYPES[kind]) for name, kind in (c.split() for c in PANEL_DDL.replace("\n", " ").split(","))]
+)
 PANEL_COLUMNS: list[str] = PANEL.fieldNames()
 ARRAY_COLUMNS: list[str] = [f.name for f in PANEL if isinstance(f.dataType, T.ArrayType)]
 PERIOD, MEMBER = "report_date", "employee_id"
