@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterloom.operators.lookups import with_ancestors
+from rosterloom.sources.staging import materialize
 
 NO_LEADER = 0
 
@@ -29,10 +30,10 @@ def agile_leaders(
 def leaf_leaders(managers: DataFrame, leaves: DataFrame, month: str = "month_no", member: str = "emp_no") -> DataFrame:
     """One row per month and leaf with all of its leaders, 0 where there is none.
 
-    ``managers`` carries (month, member, leaf_uid).  The table of managers shrinks to one row
-    per month and leaf before it meets the tree, so what follows is of the tree's size.
+    ``managers`` carries (month, member, leaf_uid).  One pass shrinks them to a row per month
+    and leaf; that table is kept, and what follows is of the tree's size.
     """
-    per_leaf = managers.groupBy(month, "leaf_uid").agg(F.min(member).alias(member))
+    per_leaf = materialize(managers.groupBy(month, "leaf_uid").agg(F.min(member).alias(member)))
     placed = per_leaf.join(leaves.select("leaf_uid", "path", "tribe_code", "cluster_code"), "leaf_uid")
     seats = leaves.select("leaf_uid", "path", "tribe_code", "cluster_code")
     units = unit_leaders(placed, month, member)

@@ -246,4 +246,4 @@ def build_organisation(
     units = materialize(org_tree(blocks, seed))
     teams = materialize(agile_teams(units, seed, coverage))
     bound = None if max_blocks is None else max_blocks * LEAVES_PER_BLOCK
-    return Organisation(units, leaf_table(units, teams), teams, bound)
+    return Organisation(units, materialize(leaf_table(units, teams)), teams, bound)

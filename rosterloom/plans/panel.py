@@ -73,8 +73,15 @@ def panel(
         # Read again for leaders and peers, so computed once; it is narrow and stays split by slot.
         rows = materialize(rows)
     held = rows
+    attributes = Attributes(spec.seed)
+    if wanted & PEER_COLUMNS:
+        # Joined while the rows are still narrow: this is the one shuffle of all rows.
+        ordinals = peer_ordinals(slots.count, *attributes.successor_draws())
+        count = F.least(attributes.successor_count(), slots.count - F.lit(1))
+        peers = random_peers(held, "month_no", "slot", "emp_no", "slot_key", ordinals, count)
+        rows = rows.join(peers, "slot_key", "left")
     if placed_extra:
-        rows = place(held, org, spec)
+        rows = place(rows, org, spec)
         if wanted & LEADER_COLUMNS:
             managers = place(held.where("is_manager"), org, spec)
             rows = dimension_lookup(
@@ -85,12 +92,6 @@ def panel(
             )
     if wanted & HIRE_UNIT_COLUMNS or "hire_is_it" in extra:
         rows = place_at_hire(rows, org, spec)
-    attributes = Attributes(spec.seed)
-    if wanted & PEER_COLUMNS:
-        ordinals = peer_ordinals(slots.count, *attributes.successor_draws())
-        count = F.least(attributes.successor_count(), slots.count - F.lit(1))
-        peers = random_peers(held, "month_no", "slot", "emp_no", "slot_key", ordinals, count)
-        rows = rows.join(peers, "slot_key", "left")
     if wanted & HIRE_UNIT_COLUMNS:
         rows = rows.withColumns(attributes.shuffled())
     built = _expressions(attributes)

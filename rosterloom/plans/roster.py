@@ -21,6 +21,7 @@ from rosterloom.operators.windows import carry_forward, events_so_far, last_even
 
 FIRST_EMPLOYEE = 10_000_001
 MAX_MONTHS = 1200
+LEAVER_BITS = 18
 
 
 @dataclass(frozen=True)
@@ -106,9 +107,9 @@ def leavers(slots: Slots, spec: PanelSpec) -> DataFrame:
 
 def hires(slots: Slots, spec: PanelSpec) -> DataFrame:
     """(slot_key, month_no, emp_no) of each backfill; numbers run on month by month without gaps."""
-    ranked = with_rank(
-        leavers(slots, spec), "_rank", ["event_u", "slot_key"], draw_bucket(F.col("event_u")), ["month_no"]
-    )
+    # Leavers hold the lowest draws of their month, so their ranges are cut finer.
+    ranges = draw_bucket(F.col("event_u"), LEAVER_BITS)
+    ranked = with_rank(leavers(slots, spec), "_rank", ["event_u", "slot_key"], ranges, ["month_no"])
     before = (F.col("month_no") - F.lit(1)).cast("bigint") * monthly_quota(slots, spec.attrition)
     return ranked.select(
         "slot_key", "month_no", (F.lit(FIRST_EMPLOYEE) + slots.count + before + F.col("_rank")).alias("emp_no")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterloom.functions import pools
@@ -24,11 +24,11 @@ from rosterloom.operators.ranking import greedy_cover, sample_exactly
 from rosterloom.plans import export, snapshots
 from rosterloom.plans.attributes import Attributes
 from rosterloom.plans.leaders import agile_leaders, unit_leaders
-from rosterloom.plans.org import LEAVES_PER_BLOCK, Organisation, agile_teams, build_organisation, org_tree
+from rosterloom.plans.org import Organisation, agile_teams, build_organisation, org_tree
 from rosterloom.plans.panel import panel, place
 from rosterloom.plans.roster import PanelSpec, Slots, hires, leavers, roster, slots_from_keys, with_events
 from rosterloom.sources.panel_io import read_panel, write_panel
-from rosterloom.sources.schema import ARRAY_COLUMNS, PANEL_COLUMNS
+from rosterloom.sources.schema import PANEL_COLUMNS
 from rosterloom.sources.staging import materialize, staging_path
 
 SPEC = PanelSpec()
@@ -249,7 +249,9 @@ def goal_shortfall(spark, sf_dir):
 
 
 def org_units(spark, sf_dir):
-    return supplier_units(spark, sf_dir).select("uid", "parent_uid", "level", "name", F.col("is_it").cast("int").alias("is_it"))
+    return org_tree(supplier_blocks(spark, sf_dir), SPEC.seed).select(
+        "uid", "parent_uid", "level", "name", F.col("is_it").cast("int").alias("is_it")
+    )
 
 
 def org_paths(spark, sf_dir):
@@ -341,7 +343,7 @@ def scan_panel(spark, sf_dir):
 
 
 def panel_roundtrip(spark, sf_dir):
-    """Writes the panel, appends a part of it as a new table, and reads both back."""
+    """Writes the panel with its rows gathered by period and reads it back."""
     rows = live_panel(spark, sf_dir, PANEL_COLUMNS)
     path = staging_path(spark, "roundtrip")
     write_panel(rows, path, files_per_period=2)
