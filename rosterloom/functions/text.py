@@ -9,8 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-# One JSON scalar (a whole string, or a number, true, false, null) and the comma after it.
-_ITEM_AND_COMMA = r'("[^"\\]*+(?:\\.[^"\\]*+)*+"|[^",\[\]]++),'
+# From the start on, item by item: a whole string, or a number, true, false, null; and the comma after it.
+_ITEM_AND_COMMA = r'\G(\[?(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^",\[\]]++)),'
 
 
 def json_array(col: Column) -> Column:

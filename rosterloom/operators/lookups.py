@@ -47,6 +47,17 @@ def weighted_lookup(
     return joined.select(*[drawn[c] for c in df.columns], *columns.values())
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partitions narrow rows ahead of a step that makes them wide.
+
+    The number of partitions is given, so that adaptive execution does not merge them by
+    their small shuffled size and leave the expensive step to a few tasks.
+    """
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(n, *keys)
+
+
 def dimension_lookup(
     df: DataFrame, dim: DataFrame, on: Sequence[str], rows: int | None = None, salts: int = 32
 ) -> DataFrame:

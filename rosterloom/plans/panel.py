@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rosterloom.functions.draws import draw
 from rosterloom.operators.lookups import (
-    dimension_lookup, peer_ordinals, peers_in_period, random_peers, weighted_lookup,
+    dimension_lookup, peer_ordinals, peers_in_period, random_peers, spread, weighted_lookup,
 )
 from rosterloom.plans.attributes import Attributes
 from rosterloom.plans.leaders import leader_or_none, leaf_leaders
@@ -79,7 +79,7 @@ def panel(
         ordinals = peer_ordinals(slots.count, *attributes.successor_draws())
         count = F.least(attributes.successor_count(), slots.count - F.lit(1))
         peers = random_peers(held, "month_no", "slot", "emp_no", "slot_key", ordinals, count)
-        rows = rows.join(peers, "slot_key", "left")
+        rows = spread(rows, "slot_key").join(peers, "slot_key", "left")
     if placed_extra:
         rows = place(rows, org, spec)
         if wanted & LEADER_COLUMNS:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from rosterloom.functions.dates import is_quarter_end, month_end
 from rosterloom.functions.draws import DEFAULT_SEED, chance, draw
 from rosterloom.functions.scores import half_even
+from rosterloom.operators.lookups import spread
 from rosterloom.operators.ranking import broadcast_within, draw_bucket, in_sample, sample_limits, with_rank
 from rosterloom.operators.windows import carry_forward, events_so_far, last_event
 
@@ -129,7 +130,8 @@ def roster(spark: SparkSession, slots: Slots, spec: PanelSpec) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("month_no", "emp_no"))).alias("_hires"))
     )
     laid_out = (
-        slots.ranked.join(by_slot, "slot_key", "left")
+        spread(slots.ranked, "slot_key")
+        .join(by_slot, "slot_key", "left")
         .withColumn("month_no", F.explode(F.sequence(F.lit(0), F.lit(spec.months - 1))))
         .join(broadcast_within(month_spine(spark, spec), spec.months), "month_no")
     )
