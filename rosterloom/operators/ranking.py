@@ -77,18 +77,21 @@ def sample_limits(
     within: Sequence[str] = (),
     groups: int | None = None,
     bits: int = BUCKET_BITS,
+    distinct: bool = False,
 ) -> DataFrame:
     """Draw and key of the k-th row in (draw, key) order, per group; no row for a group of fewer than k.
 
     Two narrow passes: counts per range of the draw, then an order inside the one range
     that crosses k.  ``groups`` is a known bound on the number of groups, if there is one.
+    ``distinct`` counts a key once however many rows it has.
     """
     k = F.lit(k) if isinstance(k, int) else k
     keys = [*within, "_bucket"]
     ranged = df.select(*within, u, key, draw_bucket(F.col(u), bits).alias("_bucket"))
     across = Window.partitionBy(*(within or [F.lit(0)])).orderBy("_bucket")
     counted = (
-        ranged.groupBy(*keys)
+        (ranged.distinct() if distinct else ranged)
+        .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_upto", F.sum("_n").over(across))
     )
@@ -98,8 +101,9 @@ def sample_limits(
     if groups is not None or not within:
         crossing = broadcast_within(crossing, groups or 1)
     inside = Window.partitionBy(*keys).orderBy(u, key)
+    candidates = ranged.join(crossing, keys)
     return (
-        ranged.join(crossing, keys)
+        (candidates.distinct() if distinct else candidates)
         .withColumn("_rank", F.row_number().over(inside))
         .where(F.col("_rank") == F.col("_need"))
         .select(*within, F.col(u).alias("_limit_draw"), F.col(key).alias("_limit_key"))

@@ -17,16 +17,16 @@ def entity_sample(
 ) -> DataFrame:
     """All rows of n members chosen at random; all members if there are fewer.
 
-    The draw hangs on the member alone, so the choice is one cut-off: members are made distinct
-    and counted by draw range, and the long table is only filtered, neither joined nor shuffled.
+    The draw hangs on the member alone, so the choice is one cut-off: distinct members are counted
+    by draw range, and the long table itself is only filtered, neither joined nor shuffled.
     ``key`` is a unique numeric form of the member, needed where the member is text.
     """
     numeric = F.col(member) if key is None else key
     keyed = df.withColumn("_member", numeric.cast("bigint")).withColumn(
         "_member_u", draw("entity_sample", "_member", seed=seed)
     )
-    members = keyed.select("_member", "_member_u").distinct()
-    limit = sample_limits(members, n, "_member_u", "_member").select(F.struct("_limit_draw", "_limit_key")).scalar()
+    limits = sample_limits(keyed.select("_member", "_member_u"), n, "_member_u", "_member", distinct=True)
+    limit = limits.select(F.struct("_limit_draw", "_limit_key")).scalar()
     sided = keyed.withColumn("_limit", limit).select(
         "*", F.col("_limit._limit_draw").alias("_limit_draw"), F.col("_limit._limit_key").alias("_limit_key")
     )

@@ -17,6 +17,7 @@ from rosterloom.operators.ranking import draw_bucket, greedy_cover, key_bucket,
 from rosterloom.operators.windows import chunk_no, share_in_group
 from rosterloom.sources.staging import materialize
 
+# First numbers of the code sequences, children per level, covered share of leaves.
 FIRST_UID = 1001
 FIRST_TRIBE, FIRST_CLUSTER, FIRST_TEAM = 5001, 6001, 7001
 L2_RANGE, L3_RANGE, L4_RANGE = (3, 5), (2, 4), (2, 5)

@@ -20,6 +20,7 @@ from rosterloom.operators.lookups import spread
 from rosterloom.operators.ranking import broadcast_within, draw_bucket, in_sample, sample_limits, with_rank
 from rosterloom.operators.windows import carry_forward, events_so_far, last_event
 
+# Fixed value: number of the first employee.
 FIRST_EMPLOYEE = 10_000_001
 MAX_MONTHS = 1200
 LEAVER_BITS = 18
