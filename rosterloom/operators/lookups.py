@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterloom.functions.draws import DRAW_BITS
-from rosterloom.operators.ranking import BROADCAST_ROWS, broadcast_within
+from rosterloom.operators.sides import broadcast_within
 
 INTERVAL_BITS = 12
 
@@ -47,33 +45,6 @@ def weighted_lookup(
     return joined.select(*[drawn[c] for c in df.columns], *columns.values())
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partitions narrow rows ahead of a step that makes them wide.
-
-    The number of partitions is given, so that adaptive execution does not merge them by
-    their small shuffled size and leave the expensive step to a few tasks.
-    """
-    spark = df.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return df.repartition(n, *keys)
-
-
-def dimension_lookup(
-    df: DataFrame, dim: DataFrame, on: Sequence[str], rows: int | None = None, salts: int = 32
-) -> DataFrame:
-    """Left join with a dimension that is unique on ``on``.
-
-    Within a known small bound the dimension is broadcast.  Beyond it both sides are
-    shuffled, each key split over ``salts`` so that a hot key does not fill one task.
-    """
-    on = list(on)
-    if rows is not None and rows <= BROADCAST_ROWS:
-        return df.join(F.broadcast(dim), on, "left")
-    spread = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns[:8]), F.lit(salts)).cast("int"))
-    return salted.join(spread, [*on, "_salt"], "left").drop("_salt")
-
-
 def with_ancestors(df: DataFrame, path: str, name: str) -> DataFrame:
     """One row per unit on the path of each row, the own unit included."""
     return df.withColumn(name, F.explode(path))

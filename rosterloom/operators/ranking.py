@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterloom.functions.draws import DRAW_BITS
+from rosterloom.operators.sides import broadcast_within, dimension_lookup
 
 BUCKET_BITS = 12
 
@@ -110,14 +111,6 @@ def sample_limits(
     )
 
 
-BROADCAST_ROWS = 200_000
-
-
-def broadcast_within(df: DataFrame, rows: int | None, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a side of at most ``rows`` rows, if that bound is known and small."""
-    return F.broadcast(df) if rows is not None and rows <= limit else df
-
-
 def in_sample(u: str, key: str, k: Column | int) -> Column:
     """Row test against the columns of :func:`sample_limits`."""
     k = F.lit(k) if isinstance(k, int) else k
@@ -139,7 +132,7 @@ def sample_exactly(
     """Exactly k rows per group, or all of a smaller group; the rows themselves are not shuffled."""
     limits = sample_limits(df, k, u, key, within, groups, bits)
     if within:
-        sided = df.join(broadcast_within(limits, groups), list(within), "left")
+        sided = dimension_lookup(df, limits, within, groups)
     else:
         limit = limits.select(F.struct("_limit_draw", "_limit_key")).scalar()
         sided = df.withColumn("_limit", limit).select(

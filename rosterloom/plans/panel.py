@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterloom.functions.draws import draw
-from rosterloom.operators.lookups import (
-    dimension_lookup, peer_ordinals, peers_in_period, random_peers, spread, weighted_lookup,
-)
+from rosterloom.operators.lookups import peer_ordinals, peers_in_period, random_peers, weighted_lookup
+from rosterloom.operators.sides import dimension_lookup, spread
 from rosterloom.plans.attributes import Attributes
 from rosterloom.plans.leaders import leader_or_none, leaf_leaders
 from rosterloom.plans.org import Organisation, build_organisation, default_blocks

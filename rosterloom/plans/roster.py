@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from rosterloom.functions.dates import is_quarter_end, month_end
 from rosterloom.functions.draws import DEFAULT_SEED, chance, draw
 from rosterloom.functions.scores import half_even
-from rosterloom.operators.lookups import spread
-from rosterloom.operators.ranking import broadcast_within, draw_bucket, in_sample, sample_limits, with_rank
+from rosterloom.operators.ranking import draw_bucket, in_sample, sample_limits, with_rank
+from rosterloom.operators.sides import broadcast_within, spread
 from rosterloom.operators.windows import carry_forward, events_so_far, last_event
 
 # Fixed value: number of the first employee.

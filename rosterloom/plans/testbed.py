@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterloom.functions import pools
-from rosterloom.functions.dates import is_quarter_end, month_end, month_ends
+from rosterloom.functions.dates import is_quarter_end, month_ends
 from rosterloom.functions.draws import chance, draw, pick, uniform_decimal, uniform_int, weighted
 from rosterloom.functions.scores import half_even
 from rosterloom.functions.text import (
@@ -26,7 +26,7 @@ from rosterloom.plans.attributes import Attributes
 from rosterloom.plans.leaders import agile_leaders, unit_leaders
 from rosterloom.plans.org import Organisation, agile_teams, build_organisation, org_tree
 from rosterloom.plans.panel import panel, place
-from rosterloom.plans.roster import PanelSpec, Slots, hires, leavers, roster, slots_from_keys, with_events
+from rosterloom.plans.roster import PanelSpec, Slots, leavers, roster, slots_from_keys, with_events
 from rosterloom.sources.panel_io import read_panel, write_panel
 from rosterloom.sources.schema import PANEL_COLUMNS
 from rosterloom.sources.staging import materialize, staging_path

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from rosterloom.functions.draws import draw, repeated
 from rosterloom.functions.scores import letter_score, shortfall
 from rosterloom.functions.text import contains_pattern, json_array, json_first, last_token, prefix_before, strip_leading_word
-from rosterloom.operators.lookups import dimension_lookup, peer_ordinals, weighted_lookup
+from rosterloom.operators.lookups import peer_ordinals, weighted_lookup
 from rosterloom.operators.ranking import draw_bucket, greedy_cover, sample_exactly, with_rank
+from rosterloom.operators.sides import dimension_lookup
 from rosterloom.operators.windows import chunk_no
 from rosterloom.plans import snapshots
 from rosterloom.plans.export import entity_sample, flatten
