@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -20,8 +22,22 @@ SETTINGS = {
 RUNTIME_SETTINGS = ("spark.sql.codegen.hugeMethodLimit",)
 
 
+def share_package(spark: SparkSession) -> SparkSession:
+    """Lets Python workers import this package from the folder the driver has it from.
+
+    A cluster whose machines lack that folder gets the package with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+    return spark
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Applies the runtime settings that the session's owner has not set."""
+    share_package(spark)
     for key in RUNTIME_SETTINGS:
         if spark.sparkContext.getConf().get(key) is None:
             spark.conf.set(key, SETTINGS[key])
@@ -42,4 +58,4 @@ def local_session(cores: int = 8, memory: str = "8g", name: str = "rosterloom")
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return share_package(spark)
