@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from rosterloom.llm import decontaminate
+from rosterloom.llm import decontaminate, simhash
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
+    "op4_simhash": simhash.op4_simhash,
 }
 
 ORACLES = {
