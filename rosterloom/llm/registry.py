@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from rosterloom.llm import decontaminate, simhash
+from rosterloom.llm import decontaminate, simhash, substrings
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
     "op4_simhash": simhash.op4_simhash,
+    "op9_substrings": substrings.op9_substrings,
 }
 
 ORACLES = {
     "op1_decontamination": decontaminate.OP1_SQL,
+    "op9_substrings": substrings.OP9_SQL,
 }
