@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from rosterloom.llm import decontaminate, simhash, substrings
+from rosterloom.llm import decontaminate, packing, simhash, substrings
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
     "op4_simhash": simhash.op4_simhash,
+    "op7_packing": packing.op7_packing,
     "op9_substrings": substrings.op9_substrings,
 }
 
