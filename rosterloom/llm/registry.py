@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from rosterloom.llm import decontaminate, packing, simhash, substrings
+from rosterloom.llm import decontaminate, lines, packing, simhash, substrings
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
     "op4_simhash": simhash.op4_simhash,
     "op7_packing": packing.op7_packing,
+    "op8_line_dedup": lines.op8_line_dedup,
     "op9_substrings": substrings.op9_substrings,
 }
 
 ORACLES = {
     "op1_decontamination": decontaminate.OP1_SQL,
+    "op8_line_dedup": lines.OP8_SQL,
     "op9_substrings": substrings.OP9_SQL,
 }
