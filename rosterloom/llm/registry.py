@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from rosterloom.llm import decontaminate, lines, packing, simhash, substrings
+from rosterloom.llm import decontaminate, lines, packing, quality, simhash, substrings
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
     "op4_simhash": simhash.op4_simhash,
+    "op5_quality_rules": quality.op5_quality_rules,
     "op7_packing": packing.op7_packing,
     "op8_line_dedup": lines.op8_line_dedup,
     "op9_substrings": substrings.op9_substrings,
