@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from rosterloom.llm import decontaminate, lines, packing, quality, simhash, substrings
+from rosterloom.llm import credentials, decontaminate, lines, packing, quality, simhash, substrings
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
+    "op2_secret_links": credentials.op2_secret_links,
     "op4_simhash": simhash.op4_simhash,
     "op5_quality_rules": quality.op5_quality_rules,
     "op7_packing": packing.op7_packing,
