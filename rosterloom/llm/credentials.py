@@ -106,7 +106,7 @@ def _scan(texts: pa.Array, reach: int) -> pa.Array:
             end.append(place + part[2])
             row.append(k)
             scope = int(np.searchsorted(ends, part[1])) if weak else 0
-            low.append(place + max(part[1] - reach, int(ends[scope - 1]) if weak and scope else 0))
+            low.append(place + max(part[1] - reach, int(ends[scope - 1]) + 1 if weak and scope else 0))
             high.append(place + min(part[2] + reach, int(ends[scope])) if weak else place + part[2])
         place += len(text) + 1
     kind, start, end, row, low, high = (np.array(x, np.int64) for x in (kind, start, end, row, low, high))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from rosterloom.llm import credentials, decontaminate, lines, packing, quality, simhash, substrings
+from rosterloom.llm import archives, credentials, decontaminate, lines, packing, quality, simhash, substrings
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
     "op2_secret_links": credentials.op2_secret_links,
+    "op3_warc": archives.op3_warc,
     "op4_simhash": simhash.op4_simhash,
     "op5_quality_rules": quality.op5_quality_rules,
     "op7_packing": packing.op7_packing,
@@ -16,6 +17,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_decontamination": decontaminate.OP1_SQL,
+    "op3_warc": archives.OP3_SQL,
     "op8_line_dedup": lines.OP8_SQL,
     "op9_substrings": substrings.OP9_SQL,
 }
