@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rosterloom.llm import archives, credentials, decontaminate, lines, packing, quality, simhash, substrings
+from rosterloom.llm import archives, credentials, decontaminate, html_text, lines, packing, quality, simhash, substrings
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_warc": archives.op3_warc,
     "op4_simhash": simhash.op4_simhash,
     "op5_quality_rules": quality.op5_quality_rules,
+    "op6_html_text": html_text.op6_html_text,
     "op7_packing": packing.op7_packing,
     "op8_line_dedup": lines.op8_line_dedup,
     "op9_substrings": substrings.op9_substrings,
