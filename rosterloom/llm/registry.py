@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from rosterloom.llm import archives, credentials, decontaminate, html_text, lines, packing, quality, simhash, substrings
+from rosterloom.llm import archives, credentials, decontaminate, html_text, licenses, lines, packing, quality, simhash, substrings
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
+    "op10_license_scan": licenses.op10_license_scan,
     "op2_secret_links": credentials.op2_secret_links,
     "op3_warc": archives.op3_warc,
     "op4_simhash": simhash.op4_simhash,
