@@ -137,17 +137,21 @@ def scan(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
     n: int = N, max_windows: int = MAX_WINDOWS,
 ) -> DataFrame:
-    """Adds ``contamination``: struct of n_words, hits (word, start, end; code points) and items."""
+    """Adds ``contamination``: struct of n_words, hits (word, start, end; code points) and items.
+
+    A column of that name is replaced; the other columns stay as they are, whatever their names.
+    """
     windows = benchmark_windows(benchmark, item_id, item_text, n)
     blocks = max(1, -(-windows.count() // max_windows))
     if blocks == 1:
         return docs.withColumn("contamination", _scanner(windows)(F.col(text)))
     key = [F.xxhash64(text).alias("_k1"), F.xxhash64(F.lit(1), F.col(text)).alias("_k2")]
-    keyed = docs.select("*", *key)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != "contamination"]).alias("_row")
+    keyed = docs.select(row, F.col(text).alias("_text"), *key)
     parts = None
     for block in range(blocks):
         own = windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == block)
-        part = keyed.select("_k1", "_k2", _scanner(own)(F.col(text)).alias("_c"))
+        part = keyed.select("_k1", "_k2", _scanner(own)(F.col("_text")).alias("_c"))
         parts = part if parts is None else parts.unionByName(part)
     merged = parts.groupBy("_k1", "_k2").agg(
         F.struct(
@@ -156,7 +160,7 @@ def scan(
             F.sort_array(F.array_distinct(F.flatten(F.collect_set("_c.items")))).alias("items"),
         ).alias("contamination")
     )
-    return keyed.join(merged, ["_k1", "_k2"]).drop("_k1", "_k2")
+    return keyed.join(merged, ["_k1", "_k2"]).select("_row.*", "contamination")
 
 
 def is_contaminated() -> Column:

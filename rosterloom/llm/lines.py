@@ -219,7 +219,9 @@ def _probe_broadcast(docs: DataFrame, doc_id: str, text: str, built: DataFrame,
 def _probe_routed(docs: DataFrame, doc_id: str, text: str, built: DataFrame, n_shards: int, min_chars: int, probes: int) -> DataFrame:
     id_type = docs.schema[doc_id].dataType.simpleString()
     crowded = {r.shard: -(-r.lines // probes) for r in built.where(F.col("lines") > probes).select("shard", "lines").collect()}
-    keyed = docs.select("*", F.xxhash64(doc_id, text).alias("_k1"), F.xxhash64(F.lit(1), doc_id, text).alias("_k2"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != "lines"]).alias("_row")
+    key = [F.xxhash64(doc_id, text).alias("_k1"), F.xxhash64(F.lit(1), doc_id, text).alias("_k2")]
+    keyed = docs.select(row, F.col(doc_id).alias("_doc"), F.col(text).alias("_text"), *key)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,7 +237,7 @@ def _probe_routed(docs: DataFrame, doc_id: str, text: str, built: DataFrame, n_s
                 ["shard", "salt", "_k1", "_k2", "doc", "h1", "h2"],
             )
 
-    sent = keyed.select("_k1", "_k2", F.col(doc_id).alias("doc"), text).mapInArrow(
+    sent = keyed.select("_k1", "_k2", F.col("_doc").alias("doc"), "_text").mapInArrow(
         send, f"shard int, salt int, _k1 bigint, _k2 bigint, doc {id_type}, h1 bigint, h2 bigint"
     )
     limits = F.greatest(F.ceil(F.col("lines") / F.lit(probes)), F.lit(1)).cast("int")
@@ -260,8 +262,8 @@ def _probe_routed(docs: DataFrame, doc_id: str, text: str, built: DataFrame, n_s
         return _as_struct(_cut_texts(own, row, number, np.array([(a, b) in out[k] for k, a, b in pairs], bool)))
 
     answered = keyed.join(gone, ["_k1", "_k2"], "left")
-    done = answered.withColumn("lines", F.arrow_udf(cut, _RESULT).asNondeterministic()(F.col(text), F.col("_gone")))
-    return done.select(*docs.columns, "lines")
+    done = answered.withColumn("lines", F.arrow_udf(cut, _RESULT).asNondeterministic()(F.col("_text"), F.col("_gone")))
+    return done.select("_row.*", "lines")
 
 
 def dedupe_lines(
@@ -270,7 +272,8 @@ def dedupe_lines(
 ) -> DataFrame:
     """Adds ``lines``: struct of n_lines, n_dropped and kept (the text that is left).
 
-    The repeated keys are found, and their arrays built and checkpointed, at once.
+    A column of that name is replaced; the other columns stay as they are, whatever their names.
+    The repeated keys are found, and their arrays built, at once.
     """
     keys = materialize(repeated_keys(docs, doc_id, text, min_chars))
     n = keys.count()
