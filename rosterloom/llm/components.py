@@ -20,11 +20,10 @@ def _star(directed: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, root) for every node of ``links`` (u, v); root is the least node reachable.
+    """(node, root) for every node of ``links`` (u, v) that has a link to another; root is the least node reachable.
 
-    Rows with a null end are no links; a node linked only to itself is its own root.
+    Rows with a null end, or of a node with itself, are no links.
     """
-    loops = links.where(F.col("u") == F.col("v")).select("u")
     edges = links.where(F.col("u") != F.col("v"))
     edges = materialize(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     seen = None
@@ -37,6 +36,5 @@ def components(links: DataFrame) -> DataFrame:
         if now == seen:
             break
         seen = now
-    nodes = edges.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("root")), F.struct(F.col("v").alias("node"), F.col("v").alias("root")))).alias("n")).select("n.*")
-    alone = loops.select(F.col("u").alias("node"), F.col("u").alias("root"))
-    return nodes.unionByName(alone).groupBy("node").agg(F.min("root").alias("root"))
+    ends = F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("root")), F.struct(F.col("v").alias("node"), F.col("v").alias("root")))
+    return edges.select(F.explode(ends).alias("n")).select("n.*").distinct()

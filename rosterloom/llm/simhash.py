@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterloom.llm.components import components
+from rosterloom.llm.skew import join_counted
 from rosterloom.llm.words import chunks
 from rosterloom.sources.staging import materialize
 
@@ -180,13 +181,13 @@ def near_duplicates(
 ) -> DataFrame:
     """(doc_id, fp, component_id) per row; fingerprints are computed at once and checkpointed."""
     marked = materialize(docs.select(F.col(doc_id).alias("doc_id"), fingerprint(shingle)(F.col(text)).alias("fp")))
-    distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("low"))
+    distinct = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n")))
     found = components(links(distinct.select("fp"), distinct.count(), max_distance, bucket_limit))
     named = found.join(distinct, found["node"] == distinct["fp"]).select("fp", "root", "low")
     lowest = named.groupBy("root").agg(F.min("low").alias("lowest"))
     linked = named.join(lowest, "root").select("fp", "lowest")
-    labels = distinct.join(linked, "fp", "left").select("fp", F.coalesce("lowest", "low").alias("component_id"))
-    return marked.join(labels, "fp").select("doc_id", "fp", "component_id")
+    labels = distinct.join(linked, "fp", "left").select("fp", "n", F.coalesce("lowest", "low").alias("component_id"))
+    return join_counted(marked, labels, ["fp"], "n", marked.count()).select("doc_id", "fp", "component_id")
 
 
 def hex_digits(fp: Column) -> Column:
