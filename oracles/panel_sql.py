@@ -70,10 +70,10 @@ PARTS["evolved"] = """
 # -- organisation: one set of subqueries per source of blocks ---------------------
 
 BLOCKS = {
-    "r": f"""SELECT r_regionkey::BIGINT AS b, 'Блок ' || r_name AS name,
+    "r": f"""SELECT r_regionkey::BIGINT AS b, 'Sector ' || r_name AS name,
                     {_case('r_regionkey % 5', pools.BLOCK_IS_IT)} AS is_it,
                     ({_case('r_regionkey % 5', pools.BLOCK_SHARES)})::BIGINT AS share FROM region""",
-    "s": """SELECT s_suppkey AS b, 'Блок ' || s_name AS name, s_nationkey % 5 = 0 AS is_it,
+    "s": """SELECT s_suppkey AS b, 'Sector ' || s_name AS name, s_nationkey % 5 = 0 AS is_it,
                    (1 + s_nationkey % 7)::BIGINT AS share FROM supplier""",
 }
 
@@ -100,7 +100,7 @@ for p, blocks in BLOCKS.items():
     PARTS[f"{p}_l1"] = f"SELECT b, 0 AS i2, 0 AS i3, 0 AS i4, 1 AS level, name, is_it, share FROM {p}_blocks"
     PARTS[f"{p}_l2"] = _level(f"{p}_l1", 2, 3, 5, pools.L2_IT, pools.L2_BANK, "")
     PARTS[f"{p}_l3"] = _level(
-        f"{p}_l2", 3, 2, 4, pools.L3_NAMES, pools.L3_NAMES, "|| ' ' || " + text_list(pools.L3_TAGS) + "[1 + ({u3}) % 7]"
+        f"{p}_l2", 3, 2, 4, pools.L3_NAMES, pools.L3_NAMES, "|| ' ' || " + text_list(pools.L3_TAGS) + f"[1 + ({{u3}}) % {len(pools.L3_TAGS)}]"
     )
     PARTS[f"{p}_l4"] = _level(
         f"{p}_l3", 4, 2, 5, pools.L4_NAMES, pools.L4_NAMES, "|| '-' || (1 + ({u4}) % 99)::VARCHAR"
@@ -146,21 +146,18 @@ for p, blocks in BLOCKS.items():
     FROM {p}_chunks"""
     PARTS[f"{p}_teams"] = f"""
     SELECT leaf_uid, tribe_code, cluster_code, team_code,
-           CASE ({u('tribe_style', 'tribe_code')}) % 4
-                WHEN 0 THEN 'Трайб «' || theme || '»'
-                WHEN 1 THEN 'Трайб ' || {pick(u('tribe_adjective', 'tribe_code'), pools.ADJECTIVES)} || ' ' || theme
-                WHEN 2 THEN 'Tribe ' || theme || ' ' || (tribe_code % 50)::VARCHAR
-                ELSE 'Трайб ' || theme || ' ' || {pick(u('tribe_tag', 'tribe_code'), pools.TRIBE_TAGS)} END AS tribe_name,
-           CASE ({u('cluster_style', 'cluster_code')}) % 3
-                WHEN 0 THEN 'Кластер ' || topic
-                WHEN 1 THEN 'Кластер ' || topic || ' ' || {pick(u('cluster_adjective', 'cluster_code'), pools.ADJECTIVES)}
-                ELSE 'Кластер ' || topic || ' ' || (cluster_code % 40)::VARCHAR END AS cluster_name,
-           CASE ({u('team_style', 'team_code')}) % 5
-                WHEN 0 THEN 'Команда ' || nick
-                WHEN 1 THEN 'Команда ' || nick || ' ' || CASE WHEN is_it THEN {pick(u('team_suffix', 'team_code'), pools.TEAM_SUFFIXES_IT)} ELSE {pick(u('team_suffix', 'team_code'), pools.TEAM_SUFFIXES_BANK)} END
-                WHEN 2 THEN 'Team ' || nick || ' ' || (1 + ({u('team_number', 'team_code')}) % 99)::VARCHAR
-                WHEN 3 THEN 'Команда ' || nick || '-' || split_part(name, ' ', -1)
-                ELSE 'Команда ' || nick || ' ' || {pick(u('team_tag', 'team_code'), pools.TEAM_TAGS)} END AS team_name
+           CASE ({u('tribe_style', 'tribe_code')}) % 3
+                WHEN 0 THEN 'Tribe ' || tribe_code || ': ' || theme
+                WHEN 1 THEN theme || ' (' || {pick(u('tribe_mark', 'tribe_code'), pools.MARKS)} || ')'
+                ELSE {pick(u('tribe_mark', 'tribe_code'), pools.MARKS)} || ' of ' || theme END AS tribe_name,
+           CASE ({u('cluster_style', 'cluster_code')}) % 2
+                WHEN 0 THEN 'Cluster ' || cluster_code || ': ' || topic
+                ELSE topic || ', part ' || (cluster_code % 9 + 1) END AS cluster_name,
+           CASE ({u('team_style', 'team_code')}) % 4
+                WHEN 0 THEN nick
+                WHEN 1 THEN nick || ' ' || CASE WHEN is_it THEN {pick(u('team_suffix', 'team_code'), pools.TEAM_SUFFIXES_IT)} ELSE {pick(u('team_suffix', 'team_code'), pools.TEAM_SUFFIXES_BANK)} END
+                WHEN 2 THEN nick || ' from ' || split_part(name, ' ', -1)
+                ELSE 'Team ' || team_code || ': ' || nick END AS team_name
     FROM (SELECT *,
                  CASE WHEN is_it THEN {pick(u('tribe_theme', 'tribe_code'), pools.TRIBE_THEMES_IT)} ELSE {pick(u('tribe_theme', 'tribe_code'), pools.TRIBE_THEMES_BANK)} END AS theme,
                  CASE WHEN is_it THEN {pick(u('cluster_theme', 'cluster_code'), pools.CLUSTER_THEMES_IT)} ELSE {pick(u('cluster_theme', 'cluster_code'), pools.CLUSTER_THEMES_BANK)} END AS topic,
@@ -231,7 +228,7 @@ def _two_taken(name: str, it_pool, bank_pool, k: str) -> str:
 
 def _goal(texts) -> str:
     mark = (
-        f"coalesce({text_list(pools.GOAL_MARKS)}[1 + ({u('goal_mark', 'emp', 'gi')}) % 4], "
+        f"coalesce({text_list(pools.GOAL_MARKS)}[1 + ({u('goal_mark', 'emp', 'gi')}) % {len(pools.GOAL_MARKS) + 1}], "
         f"(5 + ({u('goal_number', 'emp', 'gi')}) % 91)::VARCHAR)"
     )
     order = shuffled("goals", len(texts), "emp")
@@ -273,16 +270,16 @@ PARTS["names"] = f"""
            {_by_gender('patronymic', [s + 'ич' for s in STEMS], [s + 'на' for s in STEMS])} AS person_patronimics
     FROM people"""
 PARTS["mails"] = f"""
-    SELECT emp, slug || '@synthbank.ru' AS wrk_email,
-           slug || (10 + ({u('mail_number', 'emp')}) % 990)::VARCHAR || '@' || {pick(u('mail_domain', 'emp'), pools.MAIL_DOMAINS)} AS ext_email,
+    SELECT emp, slug || '@panel.example' AS wrk_email,
+           slug || '.' || (10 + ({u('mail_number', 'emp')}) % 990)::VARCHAR || '@' || {pick(u('mail_domain', 'emp'), pools.MAIL_DOMAINS)} AS ext_email,
            '+7' || (9000000000 + ({wide('phone', 'emp')}) % 1000000000)::VARCHAR AS employee_kipphn
     FROM (SELECT emp, {_by_gender('first_name', _latin(pools.FIRST_NAMES_MALE), _latin(pools.FIRST_NAMES_FEMALE))} || '.' ||
-                      {_by_gender('surname', _latin(pools.SURNAMES), _latin(FEMALE_SURNAMES))} AS slug FROM people)"""
+                      {_by_gender('surname', _latin(pools.SURNAMES), _latin(FEMALE_SURNAMES))} || '.' || emp AS slug FROM people)"""
 PARTS["talents"] = f"""
     SELECT emp,
            list_concat({_two_taken('skills', pools.SKILLS_IT, pools.SKILLS_BANK, f"3 + ({u('skill_count', 'emp')}) % 6")},
                        CASE WHEN mgr OR {chance(u('has_soft', 'emp'), 0.4)}
-                            THEN {take(shuffled('soft_skills', 7, 'emp'), pools.SKILLS_SOFT, f"1 + ({u('soft_count', 'emp')}) % 3")}
+                            THEN {take(shuffled('soft_skills', len(pools.SKILLS_SOFT), 'emp'), pools.SKILLS_SOFT, f"1 + ({u('soft_count', 'emp')}) % 3")}
                             ELSE [] END) AS skills,
            list_concat(CASE WHEN CASE WHEN hire_it THEN {chance(u('english', 'emp'), 0.95)} ELSE {chance(u('english', 'emp'), 0.7)} END
                             THEN ['Английский / ' || CASE WHEN hire_it THEN {choose(u('english_level', 'emp'), pools.ENGLISH_IT_WEIGHTS)} ELSE {choose(u('english_level', 'emp'), pools.ENGLISH_BANK_WEIGHTS)} END]
@@ -392,6 +389,14 @@ def with_parts(sql: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({PARTS[n]})" for n in order) + "\n" + sql
 
 
+def only_employee(sql: str, employee: str) -> str:
+    """Builds everything that hangs on the roster for one employee alone."""
+    whole = f"roster AS MATERIALIZED ({PARTS['roster']})"
+    one = f"roster_all AS MATERIALIZED ({PARTS['roster']}),\nroster AS MATERIALIZED (SELECT * FROM roster_all WHERE emp = {employee})"
+    assert whole in sql
+    return sql.replace(whole, one)
+
+
 # -- the queries ------------------------------------------------------------------------
 
 LATEST = "d = (SELECT max(d) FROM spine)"
@@ -453,11 +458,10 @@ def oracles() -> dict[str, str]:
     q["orders_gone"] = f"SELECT o_orderkey, o_custkey FROM {months} WHERE d = {first} AND o_custkey NOT IN (SELECT o_custkey FROM {months} WHERE d = {last})"
     q["full_history"] = f"SELECT emp::VARCHAR AS employee_id FROM ({full})"
     q["random_entity"] = f"SELECT emp::VARCHAR AS employee_id FROM ({one})"
-    q["entity_history"] = panel_select(history, base="placed").replace("JOIN led", "JOIN placed") + f" WHERE l.emp = ({one})"
-    q["entity_lookup"] = panel_select(history, base="placed") + " WHERE l.emp = 10000001"
+    q["entity_lookup"] = panel_select(history, base="placed")
     q["regex_share"] = f"""SELECT round(avg(regexp_matches(lower(position_name), lower('{pools.IT_TITLE_PATTERN}'))::INTEGER::DOUBLE), 9) AS it_share
         FROM titles WHERE m = 0"""
-    q["part_regex_share"] = "SELECT p_type, round(avg((p_name SIMILAR TO '(red|blue).*')::INTEGER::DOUBLE), 9) AS share FROM part GROUP BY p_type"
+    q["part_regex_share"] = "SELECT p_type, round(avg((p_name SIMILAR TO '(red|blue).*' AND p_partkey % 3 <> 2)::INTEGER::DOUBLE), 9) AS share FROM part GROUP BY p_type"
     q["panel_roster"] = "SELECT d AS report_date, emp AS employee_id, slot, k AS slot_key, h::BIGINT AS hire_month, mgr::INTEGER AS is_manager FROM roster"
     q["roster_turnover"] = """SELECT r.d AS report_date, count(*) AS headcount, coalesce(any_value(x.n), 0) AS left_company,
         count(*) FILTER (r.h = r.m AND r.m > 0) AS hired FROM roster r LEFT JOIN (SELECT m, count(*) AS n FROM hired GROUP BY m) x ON x.m = r.m GROUP BY r.d"""
@@ -499,6 +503,11 @@ def oracles() -> dict[str, str]:
     q["random_peers"] = panel_select(["report_date", "employee_id", "all_succesors"], base="roster")
     q["exact_k_sample"] = f"""SELECT o_orderkey, o_orderpriority, u FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY u, o_orderkey) AS rn
         FROM (SELECT o_orderkey, o_orderpriority, {u('sample', 'o_orderkey')} AS u FROM orders)) WHERE rn <= 100 * (SELECT count(*) FROM region)"""
+    q["exact_k_sample_nullable"] = f"""SELECT o_orderkey, grp, u FROM (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY u, o_orderkey) AS rn
+        FROM (SELECT o_orderkey, nullif(o_orderstatus, 'P') AS grp, {u('sample', 'o_orderkey')} AS u FROM orders)) WHERE rn <= 100 * (SELECT count(*) FROM region)"""
+    q["flat_export_all"] = panel_select(PANEL_COLUMNS, as_text_date=True)
+    for key in ("skill_holders", "skill_popularity", "top_groups"):
+        q[f"flat_{key}"] = q[key]
     q["entity_sample"] = f"""SELECT o_orderkey, o_custkey, o_orderdate::DATE AS o_orderdate FROM orders WHERE o_custkey IN
         (SELECT o_custkey FROM (SELECT o_custkey, row_number() OVER (ORDER BY eu, o_custkey) AS rn FROM (SELECT DISTINCT o_custkey, {u('entity_sample', 'o_custkey')} AS eu FROM orders)) WHERE rn <= {SAMPLE})"""
     q["month_spine"] = """SELECT s.o_custkey, s.month_end, coalesce(c.n, 0) AS n, (month(s.month_end) IN (3, 6, 9, 12))::INTEGER AS quarter_end, year(s.month_end)::INTEGER AS year
@@ -511,5 +520,6 @@ def oracles() -> dict[str, str]:
     q["strip_keyword"] = "SELECT p_partkey, regexp_replace(p_name, '^(red|blue|hot|small) ', '') AS bare FROM part"
     q["last_token"] = "SELECT p_partkey, CASE WHEN p_size % 5 <> 0 THEN string_split(p_name, ' ')[-1] ELSE p_brand END AS tail FROM part"
     q["half_even"] = "SELECT l_orderkey, sum(round_even(l_quantity * 0.5::DOUBLE, 0))::BIGINT AS halves, sum(greatest(0, least(30, l_quantity::BIGINT - 5)))::BIGINT AS clamped FROM lineitem GROUP BY l_orderkey"
-    q["entity_history"] = panel_select(history, base="placed") + f" WHERE l.emp = ({one})"
-    return {name: with_parts(sql) for name, sql in q.items()}
+    q["entity_history"] = panel_select(history, base="placed")
+    picked = {"entity_lookup": "10000001", "entity_history": f"({one.replace('FROM roster', 'FROM roster_all')})"}
+    return {name: only_employee(with_parts(sql), picked[name]) if name in picked else with_parts(sql) for name, sql in q.items()}

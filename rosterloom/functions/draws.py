@@ -125,15 +125,16 @@ def shuffle_marks(name: str, size: int, *keys: str | int, seed: int = DEFAULT_SE
     return F.expr(f"sort_array(array({marks}))")
 
 
-def first_items(marks: str, items: Column, k: Column, most: int) -> Column:
-    """The first k <= most shuffled items; ``items`` is an array column, ``marks`` the shuffled order."""
-    places = [F.get(items, (F.get(marks, F.lit(i)) % F.lit(256)).cast("int")) for i in range(most)]
-    return F.slice(F.array(*places), F.lit(1), k.cast("int"))
+def first_items(marks: str, items: Column, k: Column) -> Column:
+    """The first k shuffled items, all of them if there are fewer; ``marks`` is the shuffled order of the array ``items``."""
+    taken = F.slice(F.col(marks), F.lit(1), F.greatest(k.cast("int"), F.lit(0)))
+    return F.transform(taken, lambda mark: F.get(items, (mark % F.lit(256)).cast("int")))
 
 
-def repeated(n: Column, limit: int, value: Callable[[int], Column]) -> Column:
-    """Array of n values, n <= limit from another column; n = 0 gives an empty array."""
-    return F.slice(F.array(*[value(i) for i in range(1, limit + 1)]), F.lit(1), n.cast("int"))
+def repeated(n: Column, value: Callable[[Column], Column]) -> Column:
+    """Array of n values, n from another column; n = 0 gives an empty array.  ``value`` gets the places 1..n."""
+    places = F.sequence(F.lit(1).cast("bigint"), F.greatest(n, F.lit(1)).cast("bigint"))
+    return F.transform(F.slice(places, F.lit(1), n.cast("int")), value)
 
 
 def past_date(ref: Column, u: Column, low: int, high: int) -> Column:

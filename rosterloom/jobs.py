@@ -7,7 +7,6 @@ import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from rosterloom.plans.export import export_flat
 from rosterloom.plans.panel import generate_panel
@@ -40,10 +39,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         spec = PanelSpec(start=args.start, months=args.months, seed=args.seed)
         write_panel(generate_panel(spark, args.n, spec), args.out)
     else:
-        export_flat(
-            read_panel(spark, args.parquet), args.out, n_members=args.sample_employees,
-            key=F.col("employee_id").cast("bigint"), seed=args.seed,
-        )
+        export_flat(read_panel(spark, args.parquet), args.out, n_members=args.sample_employees, seed=args.seed)
 
 
 if __name__ == "__main__":

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterloom.functions.draws import DRAW_BITS
-from rosterloom.operators.sides import broadcast_within, dimension_lookup
+from rosterloom.operators.sides import broadcast_within, dimension_lookup, null_safe_join
 
 BUCKET_BITS = 12
 
@@ -50,7 +50,7 @@ def totals_before(
     local = ranged.select(
         "*", *[F.coalesce(F.sum(v).over(inside), F.lit(0)).alias(f"_local_{n}") for n, v in values.items()]
     )
-    return local.join(starts, keys).select(
+    return null_safe_join(local, starts, keys).select(
         *[F.col(c) for c in df.columns],
         *[(F.col(f"_start_{n}") + F.col(f"_local_{n}")).alias(n) for n in values],
     )
@@ -84,7 +84,7 @@ def sample_limits(
 
     Two narrow passes: counts per range of the draw, then an order inside the one range
     that crosses k.  ``groups`` is a known bound on the number of groups, if there is one.
-    ``distinct`` counts a key once however many rows it has.
+    ``distinct`` counts a key once however many rows it has.  A NULL in ``within`` is a group like any other.
     """
     k = F.lit(k) if isinstance(k, int) else k
     keys = [*within, "_bucket"]
@@ -102,7 +102,7 @@ def sample_limits(
     if groups is not None or not within:
         crossing = broadcast_within(crossing, groups or 1)
     inside = Window.partitionBy(*keys).orderBy(u, key)
-    candidates = ranged.join(crossing, keys)
+    candidates = null_safe_join(ranged, crossing, keys)
     return (
         (candidates.distinct() if distinct else candidates)
         .withColumn("_rank", F.row_number().over(inside))
@@ -132,7 +132,7 @@ def sample_exactly(
     """Exactly k rows per group, or all of a smaller group; the rows themselves are not shuffled."""
     limits = sample_limits(df, k, u, key, within, groups, bits)
     if within:
-        sided = dimension_lookup(df, limits, within, groups)
+        sided = dimension_lookup(df, limits, within, groups, null_safe=True)
     else:
         limit = limits.select(F.struct("_limit_draw", "_limit_key")).scalar()
         sided = df.withColumn("_limit", limit).select(

@@ -27,16 +27,34 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def dimension_lookup(
-    df: DataFrame, dim: DataFrame, on: Sequence[str], rows: int | None = None, salts: int = 32
+    df: DataFrame, dim: DataFrame, on: Sequence[str], rows: int | None = None, salts: int = 32,
+    null_safe: bool = False,
 ) -> DataFrame:
-    """Left join with a dimension that is unique on ``on``.
+    """Left join with a dimension that is unique on ``on``; with ``null_safe`` a NULL key finds the NULL row.
 
     Within a known small bound the dimension is broadcast.  Beyond it both sides are
     shuffled, each key split over ``salts`` so that a hot key does not fill one task.
     """
     on = list(on)
+    if null_safe:
+        return _null_safe_lookup(df, dim, on, rows, salts)
     if rows is not None and rows <= BROADCAST_ROWS:
         return df.join(F.broadcast(dim), on, "left")
     copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns[:8]), F.lit(salts)).cast("int"))
     return salted.join(copies, [*on, "_salt"], "left").drop("_salt")
+
+
+def null_safe_join(df: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi join in which a NULL key equals a NULL key; the columns ``on`` are those of ``df``."""
+    named = other.withColumnsRenamed({c: f"_other_{c}" for c in on})
+    same = [df[c].eqNullSafe(named[f"_other_{c}"]) for c in on]
+    return df.join(named, same, how).drop(*[f"_other_{c}" for c in on])
+
+
+def _null_safe_lookup(df: DataFrame, dim: DataFrame, on: list[str], rows: int | None, salts: int) -> DataFrame:
+    if rows is not None and rows <= BROADCAST_ROWS:
+        return null_safe_join(df, F.broadcast(dim), on, "left")
+    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns[:8]), F.lit(salts)).cast("int"))
+    return null_safe_join(salted, copies, [*on, "_salt"], "left").drop("_salt")

@@ -62,7 +62,7 @@ class Attributes:
         return uniform_int(self._u("age"), 22, 62).cast("int")
 
     def slug(self) -> Column:
-        """First name and surname in Latin letters: the same draws on transliterated pools."""
+        """First name and surname in Latin letters and the employee's number: no two people share an address."""
 
         def spelled(words: list[str]) -> list[str]:
             return [latin_word(w) for w in words]
@@ -71,14 +71,14 @@ class Attributes:
             "first_name", spelled(pools.FIRST_NAMES_MALE), spelled(pools.FIRST_NAMES_FEMALE)
         )
         last = self._by_gender("surname", spelled(pools.SURNAMES), spelled([s + "а" for s in pools.SURNAMES]))
-        return F.concat(first, F.lit("."), last)
+        return F.concat(first, F.lit("."), last, F.lit("."), F.col("emp_no").cast("string"))
 
     def work_email(self) -> Column:
         return F.concat(self.slug(), F.lit("@" + pools.WORK_DOMAIN))
 
     def external_email(self) -> Column:
         number = uniform_int(self._u("mail_number"), 10, 999).cast("string")
-        return F.concat(self.slug(), number, F.lit("@"), pick(self._u("mail_domain"), pools.MAIL_DOMAINS))
+        return F.concat(self.slug(), F.lit("."), number, F.lit("@"), pick(self._u("mail_domain"), pools.MAIL_DOMAINS))
 
     def phone(self) -> Column:
         number = uniform_int(self._wide("phone"), pools.PHONE_LOW, pools.PHONE_HIGH)
@@ -92,13 +92,13 @@ class Attributes:
 
     def children_gender(self) -> Column:
         return repeated(
-            self.child_count(), 3, lambda i: weighted(self._u("child_gender", i), pools.CHILD_GENDER_WEIGHTS)
+            self.child_count(), lambda i: weighted(self._u("child_gender", i), pools.CHILD_GENDER_WEIGHTS)
         )
 
     def children_years(self) -> Column:
         oldest = F.least(F.lit(25), self.age() - F.lit(20)).cast("bigint")
         return repeated(
-            self.child_count(), 3, lambda i: uniform_int(self._u("child_years", i), 0, oldest).cast("int")
+            self.child_count(), lambda i: uniform_int(self._u("child_years", i), 0, oldest).cast("int")
         )
 
     def family_status(self) -> Column:
@@ -164,11 +164,11 @@ class Attributes:
 
     def skills(self) -> Column:
         count = uniform_int(self._u("skill_count"), 3, 8)
-        hard = first_items("_skill_order", self._pool(pools.SKILLS_IT, pools.SKILLS_BANK), count, 8)
+        hard = first_items("_skill_order", self._pool(pools.SKILLS_IT, pools.SKILLS_BANK), count)
         soft_count = uniform_int(self._u("soft_count"), 1, 3)
         has_soft = F.col("is_manager") | chance(self._u("has_soft"), 0.4)
         soft = first_items(
-            "_soft_order", literal_array(pools.SKILLS_SOFT), F.when(has_soft, soft_count).otherwise(0), 3
+            "_soft_order", literal_array(pools.SKILLS_SOFT), F.when(has_soft, soft_count).otherwise(0)
         )
         return F.concat(hard, soft)
 
@@ -187,7 +187,7 @@ class Attributes:
         return F.when(F.col("hire_is_it"), filled(pools.GOALS_IT)).otherwise(filled(pools.GOALS_BANK))
 
     def goals(self) -> Column:
-        return first_items("_goal_order", F.col("_goal_texts"), self.goal_count(), 5)
+        return first_items("_goal_order", F.col("_goal_texts"), self.goal_count())
 
     def _goal_mark(self, i: int) -> Column:
         number = uniform_int(self._u("goal_number", i), 5, 95).cast("string")
@@ -207,7 +207,7 @@ class Attributes:
     def achievements(self) -> Column:
         count = uniform_int(self._u("achievement_count"), 0, 3)
         items = self._pool(pools.ACHIEVEMENTS_IT, pools.ACHIEVEMENTS_BANK)
-        return first_items("_achievement_order", items, count, 3)
+        return first_items("_achievement_order", items, count)
 
     # -- work -------------------------------------------------------------------
 

@@ -19,12 +19,16 @@ def entity_sample(
 
     The draw hangs on the member alone, so the choice is one cut-off: distinct members are counted
     by draw range, and the long table itself is only filtered, neither joined nor shuffled.
-    ``key`` is a unique numeric form of the member, needed where the member is text.
+    Members may be of any type: text is hashed as it is, and ``key`` may give another unique form of the
+    member to draw on.
     """
-    numeric = F.col(member) if key is None else key
-    keyed = df.withColumn("_member", numeric.cast("bigint")).withColumn(
-        "_member_u", draw("entity_sample", "_member", seed=seed)
-    )
+    chosen = F.col(member) if key is None else key
+    keyed = df.withColumn("_member", chosen)
+    if isinstance(keyed.schema["_member"].dataType, T.IntegralType):
+        keyed = keyed.withColumn("_member", F.col("_member").cast("bigint"))
+        keyed = keyed.withColumn("_member_u", draw("entity_sample", "_member", seed=seed))
+    else:
+        keyed = keyed.withColumn("_member_u", draw("entity_sample", F.col("_member"), seed=seed, text=True))
     limits = sample_limits(keyed.select("_member", "_member_u"), n, "_member_u", "_member", distinct=True)
     limit = limits.select(F.struct("_limit_draw", "_limit_key")).scalar()
     sided = keyed.withColumn("_limit", limit).select(
@@ -63,10 +67,10 @@ def export_flat(
     rows = df if n_members is None else entity_sample(df, n_members, key=key, seed=seed)
     flat = flatten(rows)
     writer = flat.sortWithinPartitions(PERIOD, "tribe_code", MEMBER).write.mode("overwrite")
-    writer = writer.option("partitionOverwriteMode", "static")
+    writer = writer.option("partitionOverwriteMode", "static").partitionBy(PERIOD)  # the access path by date
     if path is not None:
         writer.option("compression", "snappy").parquet(path)
-        return df.sparkSession.read.schema(flat.schema).parquet(path)
+        return df.sparkSession.read.schema(flat.schema).parquet(path).select(*flat.columns)
     if table is not None:
         writer.format("parquet").saveAsTable(table)
         return df.sparkSession.table(table)

@@ -187,45 +187,37 @@ def _themed(is_it, u, it_pool, bank_pool):
 
 
 def tribe_name(is_it, code, seed: int = DEFAULT_SEED):
-    """Four styles of tribe names."""
-    style = draw("tribe_style", code, seed=seed) % F.lit(4)
+    """Three styles of tribe names: numbered by code, marked behind, or marked ahead."""
+    style = draw("tribe_style", code, seed=seed) % F.lit(3)
     theme = _themed(is_it, draw("tribe_theme", code, seed=seed), pools.TRIBE_THEMES_IT, pools.TRIBE_THEMES_BANK)
-    adjective = pick(draw("tribe_adjective", code, seed=seed), pools.ADJECTIVES)
-    tag = pick(draw("tribe_tag", code, seed=seed), pools.TRIBE_TAGS)
+    mark = pick(draw("tribe_mark", code, seed=seed), pools.MARKS)
     return (
-        F.when(style == 0, F.concat(F.lit("Трайб «"), theme, F.lit("»")))
-        .when(style == 1, F.concat_ws(" ", F.lit("Трайб"), adjective, theme))
-        .when(style == 2, F.concat_ws(" ", F.lit("Tribe"), theme, F.pmod(code, F.lit(50)).cast("string")))
-        .otherwise(F.concat_ws(" ", F.lit("Трайб"), theme, tag))
+        F.when(style == 0, F.format_string("Tribe %d: %s", code, theme))
+        .when(style == 1, F.format_string("%s (%s)", theme, mark))
+        .otherwise(F.format_string("%s of %s", mark, theme))
     )
 
 
 def cluster_name(is_it, code, seed: int = DEFAULT_SEED):
-    """Three styles of cluster names."""
-    style = draw("cluster_style", code, seed=seed) % F.lit(3)
-    theme = _themed(is_it, draw("cluster_theme", code, seed=seed), pools.CLUSTER_THEMES_IT, pools.CLUSTER_THEMES_BANK)
-    adjective = pick(draw("cluster_adjective", code, seed=seed), pools.ADJECTIVES)
-    return (
-        F.when(style == 0, F.concat_ws(" ", F.lit("Кластер"), theme))
-        .when(style == 1, F.concat_ws(" ", F.lit("Кластер"), theme, adjective))
-        .otherwise(F.concat_ws(" ", F.lit("Кластер"), theme, F.pmod(code, F.lit(40)).cast("string")))
+    """Two styles of cluster names: numbered by code, or one of nine parts of a topic."""
+    style = draw("cluster_style", code, seed=seed) % F.lit(2)
+    topic = _themed(is_it, draw("cluster_theme", code, seed=seed), pools.CLUSTER_THEMES_IT, pools.CLUSTER_THEMES_BANK)
+    part = F.pmod(code, F.lit(9)) + F.lit(1)
+    return F.when(style == 0, F.format_string("Cluster %d: %s", code, topic)).otherwise(
+        F.format_string("%s, part %d", topic, part)
     )
 
 
 def team_name(is_it, code, leaf_name, seed: int = DEFAULT_SEED):
-    """Five styles of team names; one of them takes the last word of the unit name."""
-    style = draw("team_style", code, seed=seed) % F.lit(5)
+    """Four styles of team names; one of them takes the last word of the unit name."""
+    style = draw("team_style", code, seed=seed) % F.lit(4)
     nick = pick(draw("team_nick", code, seed=seed), pools.TEAM_NICKS)
     suffix = _themed(is_it, draw("team_suffix", code, seed=seed), pools.TEAM_SUFFIXES_IT, pools.TEAM_SUFFIXES_BANK)
-    number = uniform_int(draw("team_number", code, seed=seed), 1, 99).cast("string")
-    tag = pick(draw("team_tag", code, seed=seed), pools.TEAM_TAGS)
-    word = F.lit("Команда")
     return (
-        F.when(style == 0, F.concat_ws(" ", word, nick))
-        .when(style == 1, F.concat_ws(" ", word, nick, suffix))
-        .when(style == 2, F.concat_ws(" ", F.lit("Team"), nick, number))
-        .when(style == 3, F.concat(word, F.lit(" "), nick, F.lit("-"), last_token(leaf_name, nick)))
-        .otherwise(F.concat_ws(" ", word, nick, tag))
+        F.when(style == 0, nick)
+        .when(style == 1, F.format_string("%s %s", nick, suffix))
+        .when(style == 2, F.format_string("%s from %s", nick, last_token(leaf_name, nick)))
+        .otherwise(F.format_string("Team %d: %s", code, nick))
     )
 
 

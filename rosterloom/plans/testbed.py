@@ -55,7 +55,7 @@ def region_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.pmod(F.col("r_regionkey"), F.lit(len(pools.BLOCK_SHARES)))
     return table(spark, sf_dir, "region").select(
         F.col("r_regionkey").cast("bigint").alias("block_no"),
-        F.concat(F.lit("Блок "), F.col("r_name")).alias("name"),
+        F.concat(F.lit("Sector "), F.col("r_name")).alias("name"),
         by_key(number, dict(enumerate(pools.BLOCK_IS_IT))).alias("is_it"),
         by_key(number, dict(enumerate(pools.BLOCK_SHARES))).cast("bigint").alias("share"),
     )
@@ -64,7 +64,7 @@ def region_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def supplier_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").cast("bigint").alias("block_no"),
-        F.concat(F.lit("Блок "), F.col("s_name")).alias("name"),
+        F.concat(F.lit("Sector "), F.col("s_name")).alias("name"),
         (F.col("s_nationkey") % 5 == 0).alias("is_it"),
         (F.lit(1) + F.col("s_nationkey") % 7).cast("bigint").alias("share"),
     )
@@ -359,9 +359,31 @@ def flat_export(spark, sf_dir):
     return export.export_flat(stored_panel(spark, sf_dir), path, n_members=SAMPLE, key=F.col("employee_id").cast("bigint"))
 
 
+def flat_table(spark, sf_dir):
+    """The whole panel in the flat form, written once per session: paths are JSON text, periods ISO text."""
+
+    def build() -> tuple[str, object]:
+        path = staging_path(spark, "flat-all")
+        return path, export.export_flat(stored_panel(spark, sf_dir), path).schema
+
+    path, schema = _once(spark, sf_dir, "flat", build)
+    return spark.read.schema(schema).parquet(path)
+
+
 def flat_org_headcount(spark, sf_dir):
-    """Top units from the flat form, where paths are JSON text and periods ISO text."""
-    return snapshots.org_headcount(export.flatten(stored_panel(spark, sf_dir)))
+    return snapshots.org_headcount(flat_table(spark, sf_dir))
+
+
+def flat_skill_holders(spark, sf_dir):
+    return snapshots.skill_holders(flat_table(spark, sf_dir), "Python")
+
+
+def flat_skill_popularity(spark, sf_dir):
+    return snapshots.skill_popularity(flat_table(spark, sf_dir))
+
+
+def flat_top_groups(spark, sf_dir):
+    return snapshots.top_groups(flat_table(spark, sf_dir))
 
 
 # -- samples -----------------------------------------------------------------------------
@@ -376,6 +398,14 @@ def exact_k_sample(spark, sf_dir):
     return sample_exactly(orders, k, "u", "o_orderkey", ["o_orderpriority"])
 
 
+def exact_k_sample_nullable(spark, sf_dir):
+    """The same over order states, one of which is unknown."""
+    state = F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("grp")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", state, draw("sample", "o_orderkey").alias("u"))
+    k = table(spark, sf_dir, "region").select(F.count(F.lit(1)) * F.lit(100)).scalar()
+    return sample_exactly(orders, k, "u", "o_orderkey", ["grp"])
+
+
 def entity_sample(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("o_orderdate"))
     return export.entity_sample(orders, SAMPLE, "o_custkey")
@@ -431,7 +461,9 @@ def last_word(spark, sf_dir):
 
 
 def part_name_share(spark, sf_dir):
-    parts = table(spark, sf_dir, "part").withColumn("name", F.concat(F.col("p_name"), F.lit(" РАЗРАБОТЧИК")))
+    turn = F.col("p_partkey") % 3
+    tail = F.when(turn == 0, " РАЗРАБОТЧИК").when(turn == 1, " рАзработчиК").otherwise(" разра6отчик")
+    parts = table(spark, sf_dir, "part").withColumn("name", F.concat(F.col("p_name"), tail))
     hit = contains_pattern(F.col("name"), "^(red|BLUE).*разработчик")
     return parts.groupBy("p_type").agg(F.round(F.avg(hit.cast("double")), 9).alias("share"))
 
@@ -531,6 +563,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orders_by_month": orders_by_month,
     "org_headcount": on_panel(snapshots.org_headcount),
     "flat_org_headcount": flat_org_headcount,
+    "flat_export_all": flat_table,
+    "flat_skill_holders": flat_skill_holders,
+    "flat_skill_popularity": flat_skill_popularity,
+    "flat_top_groups": flat_top_groups,
+    "exact_k_sample_nullable": exact_k_sample_nullable,
     "top_groups": on_panel(snapshots.top_groups),
     "orders_top_groups": orders_top_groups,
     "grade_profile": on_panel(snapshots.grade_profile),

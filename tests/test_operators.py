@@ -6,14 +6,15 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from rosterloom.functions.draws import draw, repeated
+from rosterloom.functions.draws import draw, first_items, repeated, shuffle_marks
 from rosterloom.functions.scores import letter_score, shortfall
-from rosterloom.functions.text import contains_pattern, json_array, json_first, last_token, prefix_before, strip_leading_word
+from rosterloom.functions.text import contains_pattern, json_array, json_first, last_token, latin_word, prefix_before, strip_leading_word
 from rosterloom.operators.lookups import peer_ordinals, weighted_lookup
 from rosterloom.operators.ranking import draw_bucket, greedy_cover, sample_exactly, with_rank
 from rosterloom.operators.sides import dimension_lookup
 from rosterloom.operators.windows import chunk_no
 from rosterloom.plans import snapshots
+from rosterloom.plans.attributes import Attributes
 from rosterloom.plans.export import entity_sample, flatten
 
 
@@ -136,7 +137,7 @@ def test_scores(spark):
 
 def test_repeated_of_zero(spark):
     df = spark.createDataFrame([(0,), (2,)], "n int")
-    assert [r.a for r in df.select(repeated(F.col("n"), 3, lambda i: F.lit(i)).alias("a")).collect()] == [[], [1, 2]]
+    assert [r.a for r in df.select(repeated(F.col("n"), lambda i: i.cast("int")).alias("a")).collect()] == [[], [1, 2]]
 
 
 MEMBERS = [
@@ -190,3 +191,39 @@ def test_entity_sample_keeps_whole_histories(spark, n):
     sizes = {r.g: r["count"] for r in df.groupBy("g").count().collect()}
     assert len(found) == min(n, len(sizes))
     assert all(sizes[r.g] == r["count"] for r in found)
+
+
+def test_null_group_is_a_group(spark):
+    df = spark.range(1000).select(
+        F.when(F.col("id") % 2 == 0, F.lit("a")).alias("g"), "id", draw("trial", "id").alias("u")
+    )
+    ranked = with_rank(df, "r", ["u", "id"], draw_bucket(F.col("u")), ["g"])
+    assert sorted((str(r.g), r.n, r.top) for r in ranked.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.max("r").alias("top")).collect()) == [
+        ("None", 500, 499), ("a", 500, 499)
+    ]
+    for groups in (None, 2):
+        some = sample_exactly(df, 10, "u", "id", ["g"], groups=groups)
+        assert sorted((str(r.g), r["count"]) for r in some.groupBy("g").count().collect()) == [("None", 10), ("a", 10)]
+
+
+def test_sample_of_text_members(spark):
+    df = spark.range(300).select(F.concat(F.lit("E-"), (F.col("id") % 100).cast("string")).alias("member"), "id")
+    some = entity_sample(df, 7, "member")
+    assert {r["count"] for r in some.groupBy("member").count().collect()} == {3} and some.count() == 21
+    assert entity_sample(df, 1000, "member").count() == 300
+
+
+def test_any_number_of_items(spark):
+    df = spark.createDataFrame([(0,), (2,), (40,)], "n int").withColumn("marks", shuffle_marks("trial", 5, "n"))
+    rows = df.select(
+        repeated(F.col("n"), lambda i: i).alias("many"), first_items("marks", F.array(*map(F.lit, "abcde")), F.col("n")).alias("items")
+    ).collect()
+    assert [list(r.many) for r in rows] == [[], [1, 2], list(range(1, 41))]
+    assert [len(r["items"]) for r in rows] == [0, 2, 5] and sorted(rows[2]["items"]) == list("abcde")
+
+
+def test_addresses_are_spelled_and_unique(spark):
+    assert [latin_word(w) for w in ("Юрий", "Жуков", "Семён")] == ["uriy", "jukov", "semen"]
+    rows = spark.range(5000).select((F.col("id") + 10_000_001).alias("emp_no"))
+    mails = rows.select(Attributes(42).work_email().alias("mail"))
+    assert mails.distinct().count() == 5000
