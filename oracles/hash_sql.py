@@ -70,6 +70,11 @@ def wide(name: str, *keys, seed: int = 42) -> str:
     return f"(({_full(name, keys, seed)}) >> 1)::BIGINT"
 
 
+def pick_place(name: str, *keys, seed: int = 42) -> str:
+    """Draw in [0, 2^62)."""
+    return f"(({_full(name, keys, seed)}) >> 2)::BIGINT"
+
+
 def text_list(values) -> str:
     quoted = ["NULL" if v is None else "'" + str(v).replace("'", "''") + "'" for v in values]
     return "[" + ", ".join(quoted) + "]"

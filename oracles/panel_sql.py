@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from oracles.hash_sql import chance, choose, json_text, pick, shuffled, take, text_list, u, wide
+from oracles.hash_sql import chance, choose, json_text, pick, pick_place, shuffled, take, text_list, u, wide
 from rosterloom.functions import pools
 from rosterloom.functions.text import latin_word
 from rosterloom.plans.testbed import SAMPLE
@@ -17,7 +17,7 @@ MONTHS = 6
 N = "(SELECT count(*) FROM customer)"
 LEAVE_QUOTA = f"round_even({N} * 0.015::DOUBLE, 0)::BIGINT"
 CHANGE_QUOTA = f"round_even({N} * 0.02::DOUBLE, 0)::BIGINT"
-RANGE = 2**32
+RANGE = 2**62
 FEMALE_SURNAMES = [s + "а" for s in pools.SURNAMES]
 
 
@@ -110,7 +110,7 @@ for p, blocks in BLOCKS.items():
            CASE WHEN level = 4 THEN 600000 + ({u('leaf_weight', 'b', 'i2', 'i3', 'i4')}) % 1000001 END AS raw
     FROM (SELECT * FROM {p}_l1 UNION ALL SELECT * FROM {p}_l2 UNION ALL SELECT * FROM {p}_l3 UNION ALL SELECT * FROM {p}_l4)"""
     PARTS[f"{p}_spans"] = f"""
-    SELECT b, (before * {RANGE}) // total AS low, ((before + share) * {RANGE}) // total AS high,
+    SELECT b, ((before::HUGEINT * {RANGE}) // total)::BIGINT AS low, (((before + share)::HUGEINT * {RANGE}) // total)::BIGINT AS high,
            share::DOUBLE / total::DOUBLE AS part
     FROM (SELECT b, share, sum(share) OVER ()::BIGINT AS total,
                  (sum(share) OVER (ORDER BY b) - share)::BIGINT AS before FROM {p}_blocks)"""
@@ -120,8 +120,8 @@ for p, blocks in BLOCKS.items():
            list_filter([a1.uid, a2.uid, a3.uid, CASE WHEN c.level = 4 THEN c.uid END], lambda x: x IS NOT NULL) AS path,
            concat_ws(' / ', a1.name, a2.name, a3.name, CASE WHEN c.level = 4 THEN c.name END) AS full_name,
            c.raw::DOUBLE / (sum(c.raw) OVER (PARTITION BY c.b))::DOUBLE * s.part AS weight,
-           CASE WHEN c.level = 4 THEN s.low + (coalesce(sum(c.raw) OVER before, 0)::BIGINT * (s.high - s.low)) // (sum(c.raw) OVER (PARTITION BY c.b))::BIGINT END AS low,
-           CASE WHEN c.level = 4 THEN s.low + ((coalesce(sum(c.raw) OVER before, 0) + c.raw)::BIGINT * (s.high - s.low)) // (sum(c.raw) OVER (PARTITION BY c.b))::BIGINT END AS high
+           CASE WHEN c.level = 4 THEN s.low + ((coalesce(sum(c.raw) OVER before, 0)::HUGEINT * (s.high - s.low)) // (sum(c.raw) OVER (PARTITION BY c.b))::HUGEINT)::BIGINT END AS low,
+           CASE WHEN c.level = 4 THEN s.low + (((coalesce(sum(c.raw) OVER before, 0) + c.raw)::HUGEINT * (s.high - s.low)) // (sum(c.raw) OVER (PARTITION BY c.b))::HUGEINT)::BIGINT END AS high
     FROM {p}_all c JOIN {p}_spans s USING (b)
     JOIN {p}_all a1 ON a1.b = c.b AND a1.level = 1
     LEFT JOIN {p}_all a2 ON a2.b = c.b AND a2.level = 2 AND a2.i2 = c.i2
@@ -169,7 +169,7 @@ for p, blocks in BLOCKS.items():
 PARTS["placed"] = f"""
     SELECT e.*, un.uid AS leaf_uid, un.name AS unit_name, un.level AS unit_level, un.is_it, un.path, un.full_name,
            t.tribe_name, t.tribe_code, t.cluster_name, t.cluster_code, t.team_name, t.team_code
-    FROM (SELECT *, {u('unit', 'emp', 'coalesce(move_month, 0)')} AS uu FROM evolved) e
+    FROM (SELECT *, {pick_place('unit', 'emp', 'coalesce(move_month, 0)')} AS uu FROM evolved) e
     JOIN r_units un ON un.level = 4 AND un.low <= e.uu AND e.uu < un.high
     LEFT JOIN r_teams t ON t.leaf_uid = un.uid"""
 PARTS["unit_lead"] = """
@@ -245,7 +245,7 @@ PARTS["people"] = f"""
            2 + ({u('goal_count', 'emp')}) % 4 AS num_goals,
            (3000 + ({u('completion', 'emp', 0)}) % 7001) / 10000.0::DOUBLE AS completion0,
            CASE WHEN h = 0 THEN hd - (30 + ({u('hire_date', 'emp')}) % 5446)::INTEGER ELSE hd - (({u('hire_date', 'emp')}) % 61)::INTEGER END AS hire_date
-    FROM hire_rows p JOIN r_units un ON un.level = 4 AND un.low <= {u('unit', 'p.emp', 0)} AND {u('unit', 'p.emp', 0)} < un.high"""
+    FROM hire_rows p JOIN r_units un ON un.level = 4 AND un.low <= {pick_place('unit', 'p.emp', 0)} AND {pick_place('unit', 'p.emp', 0)} < un.high"""
 PARTS["basics"] = f"""
     SELECT emp, h, hd, mgr, hire_it, gender, age_y, num_goals, completion0, hire_date,
            CASE WHEN age_y >= 24 THEN {choose(u('children', 'emp'), pools.CHILD_COUNT_WEIGHTS)} ELSE 0 END AS child_count,
@@ -494,7 +494,7 @@ def oracles() -> dict[str, str]:
     q["agile_structure"] = "SELECT leaf_uid, tribe_code::INTEGER AS tribe_code, cluster_code::INTEGER AS cluster_code, team_code::INTEGER AS team_code FROM s_codes"
     q["templated_labels"] = "SELECT team_code::INTEGER AS team_code, tribe_name, cluster_name, team_name FROM s_teams"
     q["agile_assignment"] = "SELECT d AS report_date, emp::VARCHAR AS employee_id, tribe_name, tribe_code::INTEGER AS tribe_code, cluster_code::INTEGER AS cluster_code, team_name, team_code::INTEGER AS team_code FROM placed"
-    q["weighted_assignment"] = f"SELECT o_orderkey, un.uid AS leaf_uid FROM (SELECT o_orderkey, {u('assign', 'o_orderkey')} AS ou FROM orders) o JOIN s_units un ON un.level = 4 AND un.low <= ou AND ou < un.high"
+    q["weighted_assignment"] = f"SELECT o_orderkey, un.uid AS leaf_uid FROM (SELECT o_orderkey, {pick_place('assign', 'o_orderkey')} AS ou FROM orders) o JOIN s_units un ON un.level = 4 AND un.low <= ou AND ou < un.high"
     q["subtree_headcount"] = "SELECT d AS report_date, uid, count(*) AS headcount FROM (SELECT d, unnest(path) AS uid FROM placed) GROUP BY ALL"
     q["unit_leaders"] = "SELECT s.d AS report_date, uid, leader FROM unit_lead JOIN spine s USING (m)"
     q["agile_leaders"] = """SELECT s.d AS report_date, 'tribe' AS kind, tribe_code::INTEGER AS code, leader FROM tribe_lead JOIN spine s USING (m)

@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 DEFAULT_SEED = 42
 DRAW_BITS = 32
 WIDE_BITS = 63
+# Draws that pick one of a table's intervals: fine enough for any number of rows that a table can have.
+PICK_BITS = 62
+PICK_RANGE = 1 << PICK_BITS
 DRAW_RANGE = 1 << DRAW_BITS
 
 
@@ -54,6 +57,11 @@ def wide_draw(name: str, *keys: Key, seed: int = DEFAULT_SEED, text: bool = Fals
     return F.shiftrightunsigned(_hash(name, keys, seed, text), 64 - WIDE_BITS)
 
 
+def pick_draw(name: str, *keys: Key, seed: int = DEFAULT_SEED, text: bool = False) -> Column:
+    """Uniform BIGINT in [0, 2^62), to be looked up in intervals."""
+    return F.shiftrightunsigned(_hash(name, keys, seed, text), 64 - PICK_BITS)
+
+
 def uniform_int(u: Column, low: Column | int, high: Column | int) -> Column:
     """Integer in [low, high]; either bound may be a column."""
     low = F.lit(low) if isinstance(low, int) else low

@@ -29,5 +29,12 @@ def shortfall(total: Column, share_done: Column) -> Column:
 
 
 def whole_div(a: Column, b: Column) -> Column:
-    """Exact integer division of BIGINTs."""
+    """Exact integer division of whole numbers; the result is a BIGINT."""
     return F.call_function("div", a, b)
+
+
+def share_of(part: Column, whole: Column, of: Column | int) -> Column:
+    """``of`` * ``part`` // ``whole``, exact although the product may exceed a BIGINT."""
+    of = F.lit(of) if isinstance(of, int) else of
+    exact = part.cast("decimal(19,0)") * of.cast("decimal(19,0)")
+    return whole_div(exact, whole.cast("decimal(19,0)"))

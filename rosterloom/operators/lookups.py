@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterloom.functions.draws import DRAW_BITS
+from rosterloom.functions.draws import PICK_BITS
+from rosterloom.functions.scores import whole_div
 from rosterloom.operators.sides import broadcast_within
 
-INTERVAL_BITS = 12
+LEAST_BITS = 12
 
 
 def weighted_lookup(
@@ -19,24 +20,28 @@ def weighted_lookup(
     low: str = "pick_low",
     high: str = "pick_high",
     rows: int | None = None,
-    bits: int = INTERVAL_BITS,
+    bits: int | None = None,
+    draw_bits: int = PICK_BITS,
 ) -> DataFrame:
-    """Joins each row with the option whose [low, high) holds the row's draw.
+    """Joins each row with the option whose [low, high) holds the row's draw of ``draw_bits`` bits.
 
     ``columns`` maps wanted option columns to output names.  The interval test becomes
     an equi join on the draw's range: an option is repeated once per range it touches,
     so a heavy option is spread over many ranges and no join key is hot.  ``rows`` is a
-    known bound on the number of options; only within it is the side broadcast.
+    known bound on the number of options; only within it is the side broadcast.  There are 2^``bits``
+    ranges; by default about as many as options, which are counted if no bound is known.
     """
-    width = F.lit(1 << (DRAW_BITS - bits))
+    if bits is None:
+        bits = max(LEAST_BITS, (options.count() if rows is None else rows).bit_length())
+    width = F.lit(1 << (draw_bits - bits))
     touched = options.where(F.col(low) < F.col(high)).select(
-        F.explode(F.sequence(F.floor(F.col(low) / width), F.floor((F.col(high) - 1) / width))).alias("_range"),
+        F.explode(F.sequence(whole_div(F.col(low), width), whole_div(F.col(high) - 1, width))).alias("_range"),
         F.col(low).alias("_low"),
         F.col(high).alias("_high"),
         *[F.col(c).alias(n) for c, n in columns.items()],
     )
     bound = None if rows is None else rows + (1 << bits)
-    drawn = df.withColumn("_u", u).withColumn("_range", F.shiftright("_u", DRAW_BITS - bits).cast("bigint"))
+    drawn = df.withColumn("_u", u).withColumn("_range", F.shiftright("_u", draw_bits - bits).cast("bigint"))
     hit = (F.col("_low") <= F.col("_u")) & (F.col("_u") < F.col("_high"))
     joined = drawn.join(
         broadcast_within(touched, bound),

@@ -159,4 +159,5 @@ def greedy_cover(
     num, den = share
     total = df.select(F.sum(weight)).scalar()
     running = totals_before(df, [u, key], draw_bucket(F.col(u), bits), {"_before": F.col(weight)})
-    return running.where(F.col("_before") * F.lit(den) < total * F.lit(num)).drop("_before")
+    wide = "decimal(38,0)"
+    return running.where(F.col("_before").cast(wide) * F.lit(den) < total.cast(wide) * F.lit(num)).drop("_before")

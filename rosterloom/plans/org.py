@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from rosterloom.functions import pools
 from rosterloom.functions.draws import (
-    DEFAULT_SEED, DRAW_RANGE, draw, literal_array, pick, shuffle_marks, uniform_int,
+    DEFAULT_SEED, PICK_RANGE, draw, literal_array, pick, shuffle_marks, uniform_int,
 )
-from rosterloom.functions.scores import whole_div
+from rosterloom.functions.scores import share_of
 from rosterloom.functions.text import by_key, last_token, path_text
 from rosterloom.operators.ranking import draw_bucket, greedy_cover, key_bucket, totals_before
 from rosterloom.operators.windows import chunk_no, share_in_group
@@ -97,8 +97,8 @@ def org_tree(blocks: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
     ).select(
         "block_no",
         "_uid_start",
-        whole_div(F.col("_share_before") * F.lit(DRAW_RANGE), total_share).alias("_low"),
-        whole_div((F.col("_share_before") + F.col("_share")) * F.lit(DRAW_RANGE), total_share).alias("_high"),
+        share_of(F.col("_share_before"), total_share, PICK_RANGE).alias("_low"),
+        share_of(F.col("_share_before") + F.col("_share"), total_share, PICK_RANGE).alias("_high"),
         (F.col("_share").cast("double") / total_share.cast("double")).alias("_part"),
     )
     block = Window.partitionBy("block_no").orderBy("i2", "i3", "i4")
@@ -132,9 +132,9 @@ def org_tree(blocks: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
         share_in_group(F.col("raw_weight"), ["block_no"], F.col("_part")).alias("weight"),
         path.alias("path"),
         path_text(names).alias("full_name"),
-        F.when(depth == 4, F.col("_low") + whole_div(before * span, all_weight)).alias("pick_low"),
+        F.when(depth == 4, F.col("_low") + share_of(before, all_weight, span)).alias("pick_low"),
         F.when(
-            depth == 4, F.col("_low") + whole_div((before + F.col("raw_weight")) * span, all_weight)
+            depth == 4, F.col("_low") + share_of(before + F.col("raw_weight"), all_weight, span)
         ).alias("pick_high"),
     )
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterloom.functions.draws import draw
+from rosterloom.functions.draws import pick_draw
 from rosterloom.operators.lookups import peer_ordinals, peers_in_period, random_peers, weighted_lookup
 from rosterloom.operators.sides import dimension_lookup, spread
 from rosterloom.plans.attributes import Attributes
@@ -36,7 +36,7 @@ PEER_COLUMNS = {"all_succesors"}
 def place(held: DataFrame, org: Organisation, spec: PanelSpec) -> DataFrame:
     """Adds the unit an employee sits in this month: leaf_uid, unit_name, unit_level, is_it, path,
     full_name and the agile columns (NULL where the leaf has no team)."""
-    u = draw("unit", "emp_no", F.coalesce(F.col("move_month"), F.lit(0)), seed=spec.seed)
+    u = pick_draw("unit", "emp_no", F.coalesce(F.col("move_month"), F.lit(0)), seed=spec.seed)
     same = ["leaf_uid", "is_it", "path", "full_name", "tribe_name", "tribe_code", "cluster_name", "cluster_code",
             "team_name", "team_code"]
     names = {**{c: c for c in same}, "name": "unit_name", "level": "unit_level"}
@@ -45,7 +45,7 @@ def place(held: DataFrame, org: Organisation, spec: PanelSpec) -> DataFrame:
 
 def place_at_hire(held: DataFrame, org: Organisation, spec: PanelSpec) -> DataFrame:
     """Adds hire_is_it: the flavour of the unit at hire, which skills, goals and schooling follow."""
-    u = draw("unit", "emp_no", F.lit(0), seed=spec.seed)
+    u = pick_draw("unit", "emp_no", F.lit(0), seed=spec.seed)
     leaves = org.units.where(F.col("level") == 4)
     return weighted_lookup(held, u, leaves, {"is_it": "hire_is_it"}, rows=org.max_leaves)
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rosterloom.functions import pools
 from rosterloom.functions.dates import is_quarter_end, month_ends
-from rosterloom.functions.draws import chance, draw, pick, uniform_decimal, uniform_int, weighted
+from rosterloom.functions.draws import pick_draw, chance, draw, pick, uniform_decimal, uniform_int, weighted
 from rosterloom.functions.scores import half_even
 from rosterloom.functions.text import (
     by_key, contains_pattern, json_array, json_first, last_token, prefix_before, strip_leading_word,
@@ -293,7 +293,7 @@ def weighted_assignment(spark, sf_dir):
     """Every order is given a leaf of the supplier organisation, by leaf weight."""
     leaves = supplier_units(spark, sf_dir).where("level = 4")
     orders = table(spark, sf_dir, "orders").select("o_orderkey")
-    return weighted_lookup(orders, draw("assign", "o_orderkey"), leaves, {"uid": "leaf_uid"})
+    return weighted_lookup(orders, pick_draw("assign", "o_orderkey"), leaves, {"uid": "leaf_uid"})
 
 
 def subtree_headcount(spark, sf_dir):

@@ -76,7 +76,7 @@ def test_greedy_cover_keeps_the_crossing_row(spark):
 def test_weighted_lookup(spark, rows_bound):
     options = spark.createDataFrame([("a", 0, 3 << 30), ("b", 3 << 30, 3 << 30), ("c", 3 << 30, 1 << 32)], "name string, pick_low bigint, pick_high bigint")
     df = spark.range(2000)
-    found = weighted_lookup(df, draw("w", "id"), options, {"name": "chosen"}, rows=rows_bound)
+    found = weighted_lookup(df, draw("w", "id"), options, {"name": "chosen"}, rows=rows_bound, draw_bits=32)
     expected = {r.id: "a" if r.u < 3 << 30 else "c" for r in df.select("id", draw("w", "id").alias("u")).collect()}
     assert {r.id: r.chosen for r in found.collect()} == expected
 
@@ -227,3 +227,14 @@ def test_addresses_are_spelled_and_unique(spark):
     rows = spark.range(5000).select((F.col("id") + 10_000_001).alias("emp_no"))
     mails = rows.select(Attributes(42).work_email().alias("mail"))
     assert mails.distinct().count() == 5000
+
+
+def test_every_option_can_be_picked(spark):
+    """Intervals of width one, far below what 32 bits tell apart, and the last place of the range."""
+    places = [0, 1, 2, 2**31, 2**40 + 1, 2**62 - 2, 2**62 - 1]
+    bounds = sorted({*places, *(p + 1 for p in places)})
+    options = spark.createDataFrame(list(zip(bounds, [*bounds[1:], 2**62])), "pick_low bigint, pick_high bigint").where("pick_low < pick_high")
+    df = spark.createDataFrame([(p,) for p in places], "u bigint")
+    for bits in (None, 20):
+        found = weighted_lookup(df, F.col("u"), options, {"pick_low": "low"}, bits=bits).collect()
+        assert sorted((r.u, r.low) for r in found) == [(p, p) for p in places]
