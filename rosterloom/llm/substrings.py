@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 from rosterloom.llm.words import Words, plain, run_hashes, SPACE_BYTES
 
 LENGTH = 35
-#: Bytes of text per group.
-GROUP_BYTES = 16 << 20
+#: Bytes of text per group; a task that compares entries serves ``GROUPS_SERVED`` groups' worth of them.
+GROUP_BYTES = 4 << 20
+GROUPS_SERVED, LEAST_BUCKETS = 8, 64
 #: Perfect difference sets: every difference modulo the period occurs.
 COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
 _PACKED = "bucket int, g int, entries binary"
@@ -84,33 +85,31 @@ class Group:
         return starts[near[starts]]  # a window across two texts is none; one too many changes nothing
 
 
-def _once(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(index of one of each distinct value, whether a value occurs again) in the order of the input."""
-    order = np.argsort(values, kind="stable", order=values.dtype.names)
-    ranked = values[order]
-    new = np.ones(len(ranked), bool)
-    new[1:] = ranked[1:] != ranked[:-1]
-    follows = np.zeros(len(ranked), bool)
-    follows[:-1] = ~new[1:]
-    again = np.empty(len(values), bool)
-    again[order] = follows | ~new
-    return order[new], again
+def _alike(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of its distinct value for each entry, index of one entry of each distinct value)."""
+    lanes = [values[f] for f in reversed(values.dtype.names)] if values.dtype.names else [values]
+    order = np.lexsort(lanes)
+    new = np.zeros(len(values), bool)
+    new[:1] = True
+    for lane in lanes:
+        ranked = lane[order]
+        new[1:] |= ranked[1:] != ranked[:-1]
+    number = np.empty(len(values), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return number, order[new]
 
 
 def _found_again(values: np.ndarray, at: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Which values occur twice here, or are those at the answered places (elsewhere too)."""
-    _, again = _once(values)
-    told = values[np.searchsorted(at, places)]
-    return again | np.isin(_as_keys(values), _as_keys(told))
-
-
-def _as_keys(values: np.ndarray) -> np.ndarray:
-    return values if values.dtype.names is None else values.copy().view("V12")
+    number, one = _alike(values)
+    again = np.bincount(number, minlength=len(one)) > 1
+    again[number[np.searchsorted(at, places)]] = True
+    return again[number]
 
 
 def _packed(g: int, buckets: int, values: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
     """One row per bucket: the values (one of each) and their positions."""
-    one, _ = _once(values)
+    _, one = _alike(values)
     values, at = values[one], at[one]
     lead = values if values.dtype.names is None else values["a"]
     bucket = ((lead >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)  # grows with the value
@@ -136,7 +135,8 @@ def _repeats(kind: np.dtype):
                 groups.append(np.full(n, g, np.int32))
         if not values:
             return
-        _, again = _once(np.concatenate(values))
+        number, one = _alike(np.concatenate(values))
+        again = (np.bincount(number, minlength=len(one)) > 1)[number]
         place, group = np.concatenate(places)[again], np.concatenate(groups)[again]
         order = np.lexsort((place, group))
         place, group = place[order], group[order]
@@ -163,6 +163,7 @@ def without_repeats(
     """(doc_id, n_words, n_removed, kept): the words left of each text, joined by one blank."""
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     n = max(1, -(-total // group_bytes))
+    buckets = max(min(n, LEAST_BUCKETS), n // GROUPS_SERVED)
     own = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     keyed = own.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(1), "doc_id", "text").alias("k2"))
     dealt = keyed.select(F.pmod("k1", F.lit(n)).cast("int").alias("g"), "*").repartition(n, "g")
@@ -174,13 +175,13 @@ def without_repeats(
     def send_anchors(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         group = Group(table)
         at, values = group.anchors(length)
-        return pa.Table.from_batches([_packed(number(key), n, values, at)])
+        return pa.Table.from_batches([_packed(number(key), buckets, values, at)])
 
     def send_windows(key: tuple[pa.Scalar, ...], table: pa.Table, answers: pa.Table) -> pa.Table:
         group = Group(table)
         at, values = group.anchors(length)
         near = group.near_anchors(length, at[_found_again(values, at, _places(answers))]) if len(at) else at
-        return pa.Table.from_batches([_packed(number(key), n, group.windows(length, near), near)])
+        return pa.Table.from_batches([_packed(number(key), buckets, group.windows(length, near), near)])
 
     def remove(key: tuple[pa.Scalar, ...], table: pa.Table, answers: pa.Table) -> pa.Table:
         group = Group(table)
@@ -210,7 +211,7 @@ def without_repeats(
         )
 
     def answered(sent: DataFrame, kind: np.dtype) -> DataFrame:
-        return sent.repartition(n, "bucket").mapInArrow(_repeats(kind), _ANSWER).repartition(n, "g")
+        return sent.repartition(buckets, "bucket").mapInArrow(_repeats(kind), _ANSWER).repartition(n, "g")
 
     texts = dealt.groupBy("g")
     shared_anchors = answered(texts.applyInArrow(send_anchors, _PACKED), _ANCHOR)
