@@ -15,11 +15,18 @@ SETTINGS = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # The panel projects 54 columns at once; beyond this size the JVM would interpret the generated method.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Python workers hold a batch or two of texts at a time, whatever the texts' lengths.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 
 # Settings a running session takes over without changing results.
-RUNTIME_SETTINGS = ("spark.sql.codegen.hugeMethodLimit",)
+RUNTIME_SETTINGS = (
+    "spark.sql.codegen.hugeMethodLimit",
+    "spark.sql.execution.arrow.maxRecordsPerBatch",
+    "spark.sql.execution.arrow.maxBytesPerBatch",
+)
 
 
 def share_package(spark: SparkSession) -> SparkSession:
