@@ -109,7 +109,8 @@ def _judge_tag(tag: str, rest: str, parent: _Open, regions: list[int]) -> _Open:
         bad = True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", values.get("style", ""), re.IGNORECASE):
         bad = True
-    if tag not in ("html", "body") and tag not in MAIN_TAGS and not main and pieces & BAD_NAMES and not pieces & {"with", "has", "no"}:
+    names = pieces & BAD_NAMES - ({"header"} if region else set())  # the header of an article belongs to it
+    if names and not main and tag not in MAIN_TAGS and tag not in ("html", "body") and not pieces & {"with", "has", "no"}:
         bad = bad or not (tag in ("h1", "h2", "h3", "h4", "h5", "h6") and region)
     if main and not bad and not region:
         regions.append(len(regions) + 1)
