@@ -7,13 +7,19 @@ know are carried along untouched, whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterloom.llm import decontaminate, lines, packing, quality, simhash
+from rosterloom.session import tune
 from rosterloom.sources.staging import staging_path
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
 def _carried(docs: DataFrame) -> DataFrame:
     """doc_id and text for an operator, the whole row in a column that no operator's names can touch."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "text")
@@ -49,12 +55,21 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.report(packing.pack(docs))
 
 
+def _tuned(stage: Stage) -> Stage:
+    """The stage under the runtime settings of this library, which bound what a Python worker holds."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(tune(spark), docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality_rules", quality_rules),
-    ("line_dedup", line_dedup),
-    ("near_duplicates", near_duplicates),
-    ("decontamination", decontamination),
-    ("packing", pack),
+    ("quality_rules", _tuned(quality_rules)),
+    ("line_dedup", _tuned(line_dedup)),
+    ("near_duplicates", _tuned(near_duplicates)),
+    ("decontamination", _tuned(decontamination)),
+    ("packing", _tuned(pack)),
 ]
 
 #: The first stage learns its rules from labels, which SQL cannot express.

@@ -32,7 +32,7 @@ LENGTH = 1024
 END_ID = 0
 SHARD_BYTES = 16 << 20
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
-CACHED_PIECES = 400_000
+CACHED_PIECES = 150_000
 #: Bytes that surely begin a visible character: ASCII, and lead bytes of blocks without white space.
 _VISIBLE = np.zeros(256, bool)
 _VISIBLE[0x21:0x7F] = _VISIBLE[0xC3:0xE0] = _VISIBLE[0xE4:0xF5] = True
@@ -88,8 +88,8 @@ class PieceTokenizer:
 
     def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.sizes = np.zeros(1 << 16, np.int64)
-        self.flat, self.starts, self.filled = np.zeros(1 << 18, np.uint32), np.zeros(1 << 16, np.int64), 0
+        self.sizes = np.zeros(1 << 16, np.int32)
+        self.flat, self.starts, self.filled = np.zeros(1 << 18, np.uint16 if self.top < 1 << 16 else np.uint32), np.zeros(1 << 16, np.int32), 0
 
     def _learn(self, new: list[bytes]) -> None:
         """Tokenizes pieces; those that begin with a blank in one go, as a token surely begins there."""
@@ -140,11 +140,11 @@ class PieceTokenizer:
             coded = pieces.dictionary_encode()
             numbers = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
             counts = self.sizes[numbers]
-            ends = np.cumsum(counts)
+            ends = np.cumsum(counts, dtype=np.int64)
             tokens = self.flat[np.repeat(self.starts[numbers] - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)]
             upto = np.concatenate(([0], ends))[np.searchsorted(bounds, offsets)]
             for a, b in zip(upto[:-1].tolist(), upto[1:].tolist()):
-                out.append(np.append(tokens[a:b], np.uint32(END_ID)))
+                out.append(np.append(tokens[a:b], tokens.dtype.type(END_ID)))
         return out
 
 

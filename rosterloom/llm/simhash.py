@@ -201,10 +201,16 @@ def op4_simhash(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The document with the smallest id of each component; rows of a component without any id all stay."""
+    """The document with the smallest id of each component, once.
+
+    Rows without id cannot be told apart: they stay if nothing in their component has an id.
+    """
     found = near_duplicates(docs, doc_id, text)
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stay")).distinct()
-    same = docs[doc_id].eqNullSafe(stay["_stay"])
-    kept = docs.join(stay, same, "left_semi")
-    named = kept.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id])
-    return named.unionByName(kept.where(F.col(doc_id).isNull()))
+    stay = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_stay")).distinct()
+    named = docs.where(F.col(doc_id).isNotNull())
+    kept = named.join(stay, named[doc_id] == stay["_stay"], "left_semi").dropDuplicates([doc_id])
+    nameless = found.where(F.col("doc_id").isNull() & F.col("component_id").isNull()).select(F.col("fp").alias("_fp")).distinct()
+    if nameless.isEmpty():
+        return kept
+    without = docs.where(F.col(doc_id).isNull()).withColumn("_fp", fingerprint()(F.col(text)))
+    return kept.unionByName(without.join(nameless, "_fp", "left_semi").drop("_fp"))

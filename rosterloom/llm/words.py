@@ -15,8 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-CHUNK_BYTES = 2 << 20
-_SPAN = 1 << 20
+CHUNK_BYTES = 1 << 20
+_SPAN = 1 << 18
 _LONG_WORD = 4096
 #: Odd multipliers, one pair (bytes in a word, words in a run) per independent hash.
 BASES = ((0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93), (0xC2B2AE3D27D4EB4F, 0xA0761D6478BD642F))

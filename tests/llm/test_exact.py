@@ -213,6 +213,7 @@ def test_one_of_each_group_stays(docs):
     assert kept.columns == docs.columns
     ids = Counter(r.doc_id for r in kept.collect())
     assert ids[6] == 1 and ids[3] == 1 and ids[4] == 0 and ids[5] == 0
+    assert [r.text for r in kept.collect() if r.doc_id is None] == [DOCS[7][1]]  # the empty one is a copy of 3
 
 
 # -- 5: counts of quality rules --------------------------------------------------
