@@ -11,7 +11,8 @@ Token ids are shuffled once, two bytes each.
 
 Tokens are found piece by piece: texts are cut where a token surely begins (see :func:`safe_cuts`), and
 each distinct piece of a batch is tokenized once.  The vocabulary file is that of the library's byte-level BPE.
-Strings of special tokens in a text are ordinary text.
+The added tokens of its JSON form (``<|endoftext|>``) get their own ids wherever they stand in a text, and
+what lies between them is tokenized by itself, as ``tokenizers`` does.
 
 Defined results: a null text has no token but the end id; repeated rows are packed like any others; ids may be null.
 """
@@ -19,6 +20,8 @@ Defined results: a null text has no token but the end id; repeated rows are pack
 from __future__ import annotations
 
 import heapq
+import json
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +52,17 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def added_tokens() -> dict[str, int]:
+    """Tokens beside the merges that the library's byte-level BPE recognises inside a text."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        own = json.load(file)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in own):
+        raise ValueError("added tokens that look at what stands around them are not supported")
+    return {t["content"]: t["id"] for t in own}
+
+
 def safe_cuts(data: np.ndarray) -> np.ndarray:
     """For each byte and the end, whether a token surely begins there, whatever stands around.
 
@@ -69,9 +83,12 @@ def safe_cuts(data: np.ndarray) -> np.ndarray:
 
 
 class PieceTokenizer:
-    """Ids of many texts; remembers the ids of pieces it has met, up to a bound."""
+    """Ids of many texts; remembers the ids of pieces it has met, up to a bound.
+
+    ``added`` are strings with an id of their own; without them every string is ordinary text.
+    """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: dict[str, int] | None = None):
         import base64
 
         import public_tokenizers
@@ -80,7 +97,10 @@ class PieceTokenizer:
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.model = tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.top = max(ranks.values())
+        self.added = {token.encode(): number for token, number in (added or {}).items()}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.find_added = re.compile(b"|".join(map(re.escape, longest_first))) if self.added else None
+        self.top = max([*ranks.values(), *self.added.values()])
         self.token_bytes = np.zeros(self.top + 1, np.int64)
         for token, rank in ranks.items():
             self.token_bytes[rank] = len(token)
@@ -100,7 +120,8 @@ class PieceTokenizer:
         reach = np.cumsum(self.token_bytes[ids[0]])
         sizes = [np.diff(np.searchsorted(reach, ends, side="right"), prepend=0)]
         for p in alone:
-            ids.append(np.array(self.model.encode_ordinary(p.decode()), np.uint32))
+            own = self.added.get(p)
+            ids.append(np.array(self.model.encode_ordinary(p.decode()) if own is None else [own], np.uint32))
             sizes.append(np.array([len(ids[-1])]))
         found, counts = np.concatenate(ids), np.concatenate(sizes)
         first, n = len(self.known), len(self.known) + len(new)
@@ -128,14 +149,27 @@ class PieceTokenizer:
             numbers = [get(p) for p in pieces]
         return np.array(numbers, np.int64)
 
+    def _cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Safe cuts, with texts and added tokens cut off from what stands around them."""
+        cut = safe_cuts(data)
+        edges = [offsets]
+        if self.find_added and self.find_added.search(data):
+            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+                for m in self.find_added.finditer(data, a, b):
+                    cut[m.start() : m.end()] = False
+                    edges.append(np.array(m.span()))
+        edge = np.concatenate(edges)
+        last = edge[edge > 0] - 1
+        cut[last[data[last] == 0x20]] = False  # no visible character follows this blank in its own stretch
+        cut[edge] = True
+        return cut
+
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text, with the end id."""
         out: list[np.ndarray] = []
         for chunk in chunks(texts):
             data, offsets = chunk.data, chunk.offsets
-            cut = safe_cuts(data)
-            cut[offsets] = True
-            bounds = np.flatnonzero(cut)
+            bounds = np.flatnonzero(self._cuts(data, offsets))
             pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
             coded = pieces.dictionary_encode()
             numbers = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
@@ -149,14 +183,18 @@ class PieceTokenizer:
 
 
 def tokenize(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, id_bytes: int = 2) -> DataFrame:
-    """(doc_id, k1, k2, ids): ids packed as little-endian numbers of ``id_bytes`` bytes."""
+    """(doc_id, k1, k2, ids): ids packed as little-endian numbers of ``id_bytes`` bytes.
+
+    Added tokens are those of the library's own vocabulary; another vocabulary file has none.
+    """
+    added = {} if path else added_tokens()
     path = path or vocabulary_path()
     made: list[PieceTokenizer] = []
     kind = f"<u{id_bytes}"
 
     def encode(texts: pa.Array) -> pa.Array:
         if not made:
-            made.append(PieceTokenizer(path))
+            made.append(PieceTokenizer(path, added))
             if made[0].top >> 8 * id_bytes:
                 raise ValueError("the vocabulary needs more bytes per id")
         return pa.array([ids.astype(kind).tobytes() for ids in made[0].encode(texts)], pa.binary())

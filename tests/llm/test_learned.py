@@ -116,6 +116,22 @@ def test_pieces_tokenize_like_the_library():
     assert [x.tolist() for x in own.encode(pa.array(texts[:50]))] == want[:50]
 
 
+def test_added_tokens_have_their_own_ids(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    rng = random.Random(5)
+    parts = ["<|endoftext|>", "<|endoftext", "|>", " ", "  ", "\n", "\n\n", "a", "it's", " word", "é", "!", "12"]
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "ends in <|endof", "text|> begins", "x  <|endoftext|>  y", None, ""]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))  # as it comes
+    want = [e.ids + [0] for e in model.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert want[0] == [64, 50256, 65, 0]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = {r.doc_id: np.frombuffer(r.ids, "<u2").tolist() for r in packing.tokenize(docs).collect()}
+    assert [found[k] for k in range(len(texts))] == want
+
+
 def check_pieces(pieces, lengths, length):
     """pieces: (document, start, size, sequence, offset)."""
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
