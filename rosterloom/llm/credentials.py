@@ -33,7 +33,7 @@ _IDENTIFIER = re.compile(
     r"""\b(?:ASIA[A-Z0-9]{16}\b|(?:access_?key(?:_?id)?|client_?id|account_?id|user_?name|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@+-]{4,})""",
     re.ASCII | re.IGNORECASE,
 )
-_SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,128}={0,2}(?![A-Za-z0-9+/_=-])")
+_SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}+={0,2}(?![A-Za-z0-9+/_=-])")
 _ENDPOINT = re.compile(r"""\b[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]{4,}|\b(?:host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+(?::\d{2,5})?""", re.ASCII | re.IGNORECASE)
 _BLANK_LINE = re.compile(r"\n[\x20\t\r]*\n")
 

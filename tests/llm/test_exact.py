@@ -131,6 +131,14 @@ def test_weak_parts_need_company(spark):
     assert masked[1] == "login: bob.smith\nkey [SECRET]\nhost=db.example.com:5432" and masked[2] == texts[1][1]
 
 
+def test_secrets_of_any_length(spark):
+    run = "aB3dE5gH7jK9mN1pQ+" * 60000
+    texts = [(n, f"ASIAABCDEFGHIJKLMNOP {run[:n]}\n") for n in (24, 128, 129, 400, 1_000_000)]
+    found = credentials.with_spans(spark.createDataFrame(texts, "doc_id int, text string"))
+    for r in found.collect():
+        assert [(s.kind, s.start, s.end) for s in r.secrets] == [("identifier", 0, 20), ("secret", 21, 21 + r.doc_id)]
+
+
 # -- 4: SimHash -----------------------------------------------------------------
 
 
