@@ -10,7 +10,8 @@ containers with text, only they count, and what stays open between bad neighbour
 article, only what looks like something else is left out.
 
 Defined results: a null page is empty, a page without blocks gives empty text; the whole page is read; broken
-markup (unclosed tags, cut ends) is read as far as it goes; repeated rows give the same text.
+markup (unclosed tags, cut ends) is read as far as it goes; attribute values of any length are no text and
+open no tags; repeated rows give the same text.
 """
 
 from __future__ import annotations
@@ -65,14 +66,18 @@ MAIN_NAMES = frozenset("content article articlebody article-body post postconten
 COMMENT_TITLES = frozenset("comments|reader comments|leave a comment|leave a reply|kommentare|commentaires|comentarios|leserkommentare".split("|"))
 LABELS = frozenset("advertisement advert sponsored anzeige werbung publicité publicidad".split())
 
+#: A quote that nothing closes is an ordinary character.  Nothing here is read twice, however long a value is.
+_NAME, _VALUE = r"[^\s/>][^\s/>=]*+", r"""\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+)"""
+_ATTRIBUTES = rf"(?:[\s/]++|{_NAME}(?:{_VALUE})?+)*+"
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<opaque>{'|'.join(OPAQUE_TAGS.split())})\b(?:[^>\"']|\"[^\"]{{0,4096}}\"|'[^']{{0,4096}}'|[\"'])*?>.*?(?:</(?P=opaque)\s*>|\Z)"
-    r"|<(?P<close>/)?(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]{0,4096}\"|'[^']{0,4096}'|[\"'])*?)(?:>|\Z)"
+    rf"|<(?P<opaque>{'|'.join(OPAQUE_TAGS.split())})\b{_ATTRIBUTES}>.*?(?:</(?P=opaque)\s*>|\Z)"
+    rf"|<(?P<close>/)?(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>{_ATTRIBUTES})(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
-_NAMES = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
+_ATTRIBUTE = re.compile(rf"({_NAME})({_VALUE})?+")
+_TELLING = frozenset("class id role itemprop hidden aria-hidden style".split())
 _PIECES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -95,9 +100,14 @@ class _Open:
     region: int
 
 
-def _judge_tag(tag: str, rest: str, parent: _Open, regions: list[int]) -> _Open:
+def _attributes(rest: str) -> dict[str, str]:
+    """The attributes of a tag that say something about what it holds."""
+    own = ((k.lower(), v) for k, v in _ATTRIBUTE.findall(rest)) if rest else ()
+    return {k: v.lstrip()[1:].strip().strip("\"'") for k, v in own if k in _TELLING}
+
+
+def _judge_tag(tag: str, values: dict[str, str], parent: _Open, regions: list[int]) -> _Open:
     """What an opening tag says about all it holds."""
-    values = {k.lower(): (v or "").strip("\"'") for k, v in _NAMES.findall(rest)} if rest else {}
     bad, region = parent.bad, parent.region
     named = f"{values.get('class', '')} {values.get('id', '')}"
     words = {w.lower() for w in named.split()}
@@ -177,6 +187,7 @@ def blocks(page: str) -> list[Block]:
                 finish("")
         else:
             rest = m.group("rest") or ""
+            values = _attributes(rest)
             if tag in BLOCK_TAGS:
                 finish(tag)
                 if tag not in ("span", "b"):
@@ -186,14 +197,14 @@ def blocks(page: str) -> list[Block]:
                     siblings = {"li": ("li",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",)}[tag]
                     while stack[-1].tag in siblings:
                         stack.pop()
-                if tag in MAIN_TAGS or MAIN_NAMES & set(_PIECES.findall(rest)):
+                if tag in MAIN_TAGS or MAIN_NAMES & set(_PIECES.findall(" ".join(values.values()))):
                     while any(o.tag in ("nav", "head") for o in stack):
                         stack.pop()  # never closed
                 if tag == "body":
                     del stack[1:]
                 links = 0
             telling = rest or tag in BAD_TAGS or tag in MAIN_TAGS
-            own = _judge_tag(tag, rest, stack[-1], regions) if telling else _Open(tag, stack[-1].bad, stack[-1].region)
+            own = _judge_tag(tag, values, stack[-1], regions) if telling else _Open(tag, stack[-1].bad, stack[-1].region)
             if not rest.endswith("/") and len(stack) < MAX_DEPTH:
                 stack.append(own)
             if tag in BLOCK_TAGS:

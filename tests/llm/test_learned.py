@@ -82,6 +82,21 @@ def test_main_text(html, want):
     assert html_text.main_text(html) == want
 
 
+@pytest.mark.parametrize("size", [10, 5000, 1_000_000])
+@pytest.mark.parametrize("quote", ["'", '"'])
+def test_attribute_values_are_skipped_whole(size, quote):
+    inside = "x > y </article><nav class=ad hidden>leak " * (size // 40 + 1)
+    first, second = LONG.format("first"), LONG.format("second")
+    html = page(f"<article data-a={quote}{inside}{quote}><p>{first}</p><svg data-b={quote}{inside}{quote}>pic</svg><p title={quote}{inside}{quote}>{second}</p></article>")
+    assert html_text.main_text(html) == f"{first}\n{second}"
+
+
+def test_quotes_outside_of_values_open_nothing():
+    first, second = LONG.format("first"), LONG.format("second")
+    html = page(f"<article><p title=it's>{first}</p><p x'y>{second}</p>" + f"<p>{first}</p>" * 200 + "<p title='end>last</p></article>")
+    assert html_text.main_text(html).startswith(f"{first}\n{second}\n{first}") and html_text.main_text(html).endswith(f"{first}\nlast")
+
+
 @pytest.mark.parametrize("broken", ['<a href="' * 20000, "<div>" * 30000 + "x", "<script>" * 20000, "<!--" * 30000, "</b>" * 20000 + "<i>" * 20000 + "</b>" * 20000])
 def test_broken_markup_takes_bounded_work(broken):
     html_text.main_text(broken)
