@@ -28,8 +28,6 @@ SHORT = 70
 HIGH_STOP, LOW_STOP = 0.30, 0.15
 #: Most linked characters of a block: in an article, and elsewhere.
 LINKED, LINKED_OUTSIDE = 0.5, 0.3
-#: Deeper nesting is read as if it were at this depth, which bounds the work on broken pages.
-MAX_DEPTH = 512
 
 # Words and names that the rules look for.
 STOP_WORDS = frozenset(
@@ -132,11 +130,26 @@ def blocks(page: str) -> list[Block]:
     """The blocks of a page that have text, in page order."""
     regions: list[int] = []
     stack = [_Open("", False, 0)]
+    places: dict[str, list[int]] = {}  # of each tag in the stack; finding one takes no walk, whatever the depth
+    block_places: list[int] = []
     out: list[Block] = []
     now = Block("", 0, False)
     links, breaks, at = 0, 0, 0
     shut: set[int] = set()  # regions whose rest is readers' comments
 
+    def push(own: _Open) -> None:
+        places.setdefault(own.tag, []).append(len(stack))
+        if own.tag in BLOCK_TAGS:
+            block_places.append(len(stack))
+        stack.append(own)
+
+    def cut(depth: int) -> None:
+        while len(stack) > depth:
+            own = stack.pop().tag
+            places[own].pop()
+            if own in BLOCK_TAGS:
+                block_places.pop()
+
     def finish(tag: str) -> None:
         nonlocal now, breaks
         now.text = " ".join(entities.unescape("".join(now.parts)).split())
@@ -174,12 +187,10 @@ def blocks(page: str) -> list[Block]:
         elif m.group("close"):
             if tag in BLOCK_TAGS:
                 finish("")
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-                if tag not in BLOCK_TAGS and stack[k].tag in BLOCK_TAGS:
-                    break  # an inline end tag closes nothing around it
+            own_places = places.get(tag)
+            # an inline end tag closes no block around what it ends
+            if own_places and (tag in BLOCK_TAGS or not block_places or block_places[-1] < own_places[-1]):
+                cut(own_places[-1])
             if tag in BLOCK_TAGS:
                 now.region, now.bad, links = stack[-1].region, stack[-1].bad, 0
         elif tag in VOID_TAGS:
@@ -192,21 +203,20 @@ def blocks(page: str) -> list[Block]:
                 finish(tag)
                 if tag not in ("span", "b"):
                     while stack[-1].tag in ("p", "b", "i", "em", "strong", "span", "a", "u", "font", "small"):
-                        stack.pop()  # a block ends an open paragraph and what is left open in it
+                        cut(len(stack) - 1)  # a block ends an open paragraph and what is left open in it
                 if tag in ("li", "tr", "td", "th", "dt", "dd", "option"):
                     siblings = {"li": ("li",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",)}[tag]
                     while stack[-1].tag in siblings:
-                        stack.pop()
+                        cut(len(stack) - 1)
                 if tag in MAIN_TAGS or MAIN_NAMES & set(_PIECES.findall(" ".join(values.values()))):
-                    while any(o.tag in ("nav", "head") for o in stack):
-                        stack.pop()  # never closed
+                    cut(min(p[0] for p in (places.get("nav"), places.get("head"), [len(stack)]) if p))  # never closed
                 if tag == "body":
-                    del stack[1:]
+                    cut(1)
                 links = 0
             telling = rest or tag in BAD_TAGS or tag in MAIN_TAGS
             own = _judge_tag(tag, values, stack[-1], regions) if telling else _Open(tag, stack[-1].bad, stack[-1].region)
-            if not rest.endswith("/") and len(stack) < MAX_DEPTH:
-                stack.append(own)
+            if not rest.endswith("/"):
+                push(own)
             if tag in BLOCK_TAGS:
                 now.region, now.bad = own.region, own.bad
     if at < len(page):

@@ -91,6 +91,14 @@ def test_attribute_values_are_skipped_whole(size, quote):
     assert html_text.main_text(html) == f"{first}\n{second}"
 
 
+@pytest.mark.parametrize("depth", [3, 600, 20_000])
+def test_nesting_of_any_depth(depth):
+    first, second = LONG.format("first"), LONG.format("second")
+    deep = "<div>" * depth + f"<nav><div><p>{LONG.format('menu')}</p></div></nav><p>{first}</p>" + "</div>" * depth
+    html = page(f"<div><article>{deep}<p>{second}</p></article></div><p>{LONG.format('outside')}</p>")
+    assert html_text.main_text(html) == f"{first}\n{second}"
+
+
 def test_quotes_outside_of_values_open_nothing():
     first, second = LONG.format("first"), LONG.format("second")
     html = page(f"<article><p title=it's>{first}</p><p x'y>{second}</p>" + f"<p>{first}</p>" * 200 + "<p title='end>last</p></article>")
