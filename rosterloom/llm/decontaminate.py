@@ -4,7 +4,8 @@ A benchmark item gives a window for each run of ``n`` normalised words; an item
 one window.  The windows are broadcast as a hash set, the words of each text are hashed in a
 rolling way, and every hash hit is verified on the words themselves.  Texts are never shuffled.
 
-The set is broadcast in blocks of at most ``max_windows`` windows.  A larger benchmark is scanned block by
+The set is broadcast in blocks of about ``max_windows`` windows at most, counted once for each item they stand in and
+dealt by item and window, so a window that many items share is spread as well.  A larger benchmark is scanned block by
 block, and the hits of a text are put together by a key of the text, so no size is refused.
 
 Defined results: a null text has no words; a null item text gives no window; an item without id
@@ -150,7 +151,7 @@ def scan(
     keyed = docs.select(row, F.col(text).alias("_text"), *key)
     parts = None
     for block in range(blocks):
-        own = windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == block)
+        own = windows.where(F.pmod(F.xxhash64("item", "window"), F.lit(blocks)) == block)
         part = keyed.select("_k1", "_k2", _scanner(own)(F.col("_text")).alias("_c"))
         parts = part if parts is None else parts.unionByName(part)
     merged = parts.groupBy("_k1", "_k2").agg(

@@ -93,6 +93,15 @@ def test_empty_benchmark(spark, docs):
     assert decontaminate.scan(docs, empty).where(decontaminate.is_contaminated()).count() == 0
 
 
+def test_a_window_of_many_items_is_spread_over_blocks(spark, docs, monkeypatch):
+    own = [(k, "a b a") for k in range(200)]
+    sizes, plain = [], decontaminate._scanner
+    monkeypatch.setattr(decontaminate, "_scanner", lambda rows: sizes.append(rows.count()) or plain(rows))
+    found = decontaminate.report(decontaminate.scan(docs, spark.createDataFrame(own, "item_id bigint, text string"), max_windows=50))
+    assert rows(found, *found.columns) == contamination(DOCS, own)
+    assert sum(sizes) == 200 and max(sizes) < 100
+
+
 # -- 2: secrets -----------------------------------------------------------------
 
 PATTERNS = {
