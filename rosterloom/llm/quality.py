@@ -6,7 +6,8 @@ the labelled rows, pruned on the last third, and kept only if it is precise ther
 covers is set aside and the next rule is sought.  The list becomes one ordered ``CASE WHEN`` expression of
 Spark, so it can be read, stored and applied without the labels.
 
-The fit sees at most ``max_rows`` labelled rows, those with the smallest hash of their id.  Everything else covers all data.
+The fit sees at most ``max_rows`` labelled documents, those with the smallest hash of their id, and one row of each: of
+several texts with one id that with the least ratios.  Everything else covers all data.
 
 Defined results: a null or empty text has no words and fails the base rule; null labels and labels without a
 document are passed over; of several labels of a document the lowest counts; without usable labels the list is
@@ -210,8 +211,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     usable = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("_id")).agg(F.min(label).alias("_label"))
     some = usable.withColumn("_order", F.xxhash64("_id")).orderBy("_order", "_id").limit(max_rows)
     known = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(some), "_id")
-    rows = with_counts(known, "_text").where(~base_fails()).select("_id", "_label", "_order", *[ratio(r).alias(r) for r in RATIOS]).toPandas()
-    rows = rows.drop_duplicates("_id").sort_values(["_order", "_id"])
+    counted = with_counts(known, "_text").where(~base_fails())
+    least = F.min(F.struct("_label", "_order", *[ratio(r).alias(r) for r in RATIOS])).alias("_least")  # of texts with one id
+    rows = counted.groupBy("_id").agg(least).select("_id", "_least.*").toPandas().sort_values(["_order", "_id"])
     if rows.empty:
         return []
     values = {r: rows[r].to_numpy(np.float64) for r in RATIOS}

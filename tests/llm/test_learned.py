@@ -54,6 +54,20 @@ def test_fit_on_the_labels(spark, sf_dir):
     assert judged.where("quality = 1 and not kept").count() <= 0.02 * judged.where("quality = 1").count()
 
 
+def test_fit_takes_one_row_of_each_id(spark, monkeypatch):
+    texts = [" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(80)) + end for end in ("", " ###", " $$$ 12")]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(4)], "doc_id bigint, quality int")
+    seen, collected = [], []
+    monkeypatch.setattr(quality, "learn", lambda values, bad, order: seen.append({k: v.tolist() for k, v in values.items()}) or [])
+    kind = type(labels)
+    to_pandas = kind.toPandas
+    monkeypatch.setattr(kind, "toPandas", lambda self: collected.append(to_pandas(self)) or collected[-1])
+    for own in (texts, texts[::-1]):
+        docs = spark.createDataFrame([(k, t) for k in range(4) for t in own * 5], "doc_id bigint, text string").coalesce(1)
+        quality.fit(docs, labels)
+    assert seen[0] == seen[1] and [len(c) for c in collected] == [4, 4]
+
+
 # -- 6: main text ------------------------------------------------------------------
 
 LONG = "This is the {} of the paragraphs in the article and it is long enough to be decided by the rule."
