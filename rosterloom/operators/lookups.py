@@ -55,16 +55,27 @@ def with_ancestors(df: DataFrame, path: str, name: str) -> DataFrame:
     return df.withColumn(name, F.explode(path))
 
 
-def peer_ordinals(n: Column, d1: Column, d2: Column, d3: Column) -> Column:
-    """Three distinct ordinals of 0..n-1 (as many as n allows) from three draws, in closed form."""
-    one = F.lit(1).cast("bigint")
-    first = d1 % F.greatest(n, one)
-    second = d2 % F.greatest(n - one, one)
-    second = second + F.when(second >= first, one).otherwise(one - one)
-    third = d3 % F.greatest(n - F.lit(2), one)
-    third = third + F.when(third >= F.least(first, second), one).otherwise(one - one)
-    third = third + F.when(third >= F.greatest(first, second), one).otherwise(one - one)
-    return F.array(first, second, third)
+def peer_ordinals(n: Column, *draws: Column) -> Column:
+    """A distinct ordinal of 0..n-1 per draw (as many as n allows): each is moved past the sorted earlier ones.
+
+    Three draws have a closed form; other numbers are folded, where ``n`` and the draws may hold no subquery.
+    """
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    if len(draws) == 3:
+        first = draws[0] % F.greatest(n, one)
+        second = draws[1] % F.greatest(n - one, one)
+        second = second + F.when(second >= first, one).otherwise(none)
+        third = draws[2] % F.greatest(n - F.lit(2), one)
+        third = third + F.when(third >= F.least(first, second), one).otherwise(none)
+        third = third + F.when(third >= F.greatest(first, second), one).otherwise(none)
+        return F.array(first, second, third)
+    left = F.array(*[(d % F.greatest(n - F.lit(k), one)).cast("bigint") for k, d in enumerate(draws)])
+
+    def insert(taken: Column, x: Column) -> Column:
+        moved = F.aggregate(F.array_sort(taken), x, lambda y, t: y + F.when(y >= t, one).otherwise(none))
+        return F.concat(taken, F.array(moved))
+
+    return F.aggregate(left, F.array().cast("array<bigint>"), insert)
 
 
 def random_peers(
@@ -73,12 +84,12 @@ def random_peers(
     """Members of the same period at the drawn ordinals, as (asker, _peers).
 
     ``_peers`` is an array of (period, place, member) over all periods of an asker,
-    so it has at most three entries per period.  Join keys are spread evenly: an
-    ordinal is drawn by chance.
+    so it has at most as many entries per period as ordinals were drawn; a larger count is
+    an error.  Join keys are spread evenly: an ordinal is drawn by chance.
     """
-    asked = roster.select(
-        period, asker, F.posexplode(F.slice(ordinals, F.lit(1), count.cast("int"))).alias("_place", ordinal)
-    )
+    short = F.raise_error(F.lit("more peers wanted than ordinals drawn"))
+    wanted = F.when(count > F.size(ordinals), short).otherwise(F.slice(ordinals, F.lit(1), count.cast("int")))
+    asked = roster.select(period, asker, F.posexplode(wanted).alias("_place", ordinal))
     known = roster.select(period, ordinal, member)
     return (
         asked.join(known, [period, ordinal])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from rosterloom.functions.draws import draw, first_items, repeated, shuffle_marks
 from rosterloom.functions.scores import letter_score, shortfall
 from rosterloom.functions.text import contains_pattern, json_array, json_first, last_token, latin_word, prefix_before, strip_leading_word
-from rosterloom.operators.lookups import peer_ordinals, weighted_lookup
+from rosterloom.operators.lookups import peer_ordinals, random_peers, weighted_lookup
 from rosterloom.operators.ranking import draw_bucket, greedy_cover, sample_exactly, with_rank
 from rosterloom.operators.sides import dimension_lookup
 from rosterloom.operators.windows import chunk_no
@@ -99,6 +99,16 @@ def test_peer_ordinals_are_distinct(spark, n):
         assert len(set(wanted)) == len(wanted) and all(0 <= i < n for i in wanted)
 
 
+@pytest.mark.parametrize("k", [1, 5, 12])
+def test_any_number_of_peers(spark, k):
+    roster = spark.range(20).select(F.lit(1).alias("month"), F.col("id").alias("slot"), (F.col("id") + 100).alias("member"), F.col("id").alias("asker"))
+    ordinals = peer_ordinals(F.lit(20).cast("bigint"), *[draw(f"d{i}", "slot") for i in range(k)])
+    found = random_peers(roster, "month", "slot", "member", "asker", ordinals, F.lit(k)).collect()
+    assert len(found) == 20 and all(len({p.member for p in r._peers}) == k for r in found)
+    with pytest.raises(Exception, match="more peers wanted"):
+        random_peers(roster, "month", "slot", "member", "asker", ordinals, F.lit(k + 1)).collect()
+
+
 def test_chunks_leave_a_remainder(spark):
     df = spark.range(7).select(F.lit(1).alias("g"), "id")
     found = [r.c for r in df.select("id", chunk_no(["g"], ["id"], F.lit(3)).alias("c")).orderBy("id").collect()]
