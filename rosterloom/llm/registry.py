@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from rosterloom.llm import archives, credentials, decontaminate, html_text, licenses, lines, packing, quality, sentencepieces, simhash, substrings
+from rosterloom.llm import alignment, archives, credentials, decontaminate, html_text, licenses, lines, packing, quality, sentencepieces, simhash, substrings
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
     "op10_license_scan": licenses.op10_license_scan,
     "op11_sentencepiece": sentencepieces.op11_sentencepiece,
+    "op12_alignment": alignment.op12_alignment,
     "op2_secret_links": credentials.op2_secret_links,
     "op3_warc": archives.op3_warc,
     "op4_simhash": simhash.op4_simhash,
