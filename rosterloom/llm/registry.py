@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from rosterloom.llm import alignment, archives, credentials, decontaminate, html_text, licenses, lines, packing, quality, sentencepieces, simhash, substrings
+from rosterloom.llm import alignment, archives, credentials, decontaminate, divergence, html_text, licenses, lines, packing, quality, sentencepieces, simhash, substrings
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
     "op10_license_scan": licenses.op10_license_scan,
     "op11_sentencepiece": sentencepieces.op11_sentencepiece,
     "op12_alignment": alignment.op12_alignment,
+    "op13_divergence": divergence.op13_divergence,
     "op2_secret_links": credentials.op2_secret_links,
     "op3_warc": archives.op3_warc,
     "op4_simhash": simhash.op4_simhash,
@@ -21,6 +22,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_decontamination": decontaminate.OP1_SQL,
+    "op13_divergence": divergence.OP13_SQL,
     "op3_warc": archives.OP3_SQL,
     "op8_line_dedup": lines.OP8_SQL,
     "op9_substrings": substrings.OP9_SQL,
