@@ -521,5 +521,11 @@ def oracles() -> dict[str, str]:
     q["last_token"] = "SELECT p_partkey, CASE WHEN p_size % 5 <> 0 THEN string_split(p_name, ' ')[-1] ELSE p_brand END AS tail FROM part"
     q["half_even"] = "SELECT l_orderkey, sum(round_even(l_quantity * 0.5::DOUBLE, 0))::BIGINT AS halves, sum(greatest(0, least(30, l_quantity::BIGINT - 5)))::BIGINT AS clamped FROM lineitem GROUP BY l_orderkey"
     q["entity_history"] = panel_select(history, base="placed")
+    narrow = panel_select(["report_date", "employee_id", "grade_num", "position_name", "tribe_code", "cluster_code"], base="placed")
+    wanted = {"employee_id": "'10000001'", **{c: f"(SELECT min({c}) FROM ({narrow}))" for c in ("tribe_code", "cluster_code", "position_name")}}
+    q["point_lookup_layout"] = " UNION ALL ".join(
+        f"SELECT '{c}' AS path, {c}::VARCHAR AS value, report_date, count(*) AS n, sum(grade_num)::BIGINT AS grades FROM ({narrow}) WHERE {c} = {v} GROUP BY ALL"
+        for c, v in wanted.items()
+    )
     picked = {"entity_lookup": "10000001", "entity_history": f"({one.replace('FROM roster', 'FROM roster_all')})"}
     return {name: only_employee(with_parts(sql), picked[name]) if name in picked else with_parts(sql) for name, sql in q.items()}

@@ -7,6 +7,7 @@ grow with the data as well.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,8 +28,9 @@ from rosterloom.plans.leaders import agile_leaders, unit_leaders
 from rosterloom.plans.org import Organisation, agile_teams, build_organisation, org_tree
 from rosterloom.plans.panel import panel, place
 from rosterloom.plans.roster import PanelSpec, Slots, leavers, roster, slots_from_keys, with_events
+from rosterloom.sources.access_paths import read_by_member, rows_of_member, write_by_member, write_clustered
 from rosterloom.sources.panel_io import read_panel, write_panel
-from rosterloom.sources.schema import PANEL_COLUMNS
+from rosterloom.sources.schema import PANEL, PANEL_COLUMNS
 from rosterloom.sources.staging import materialize, staging_path
 
 SPEC = PanelSpec()
@@ -104,6 +106,32 @@ def stored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_panel(spark, _once(spark, sf_dir, "panel", build))
 
 
+ACCESS_COLUMNS = ("employee_id", "tribe_code", "cluster_code", "position_name")
+MEMBER_BUCKETS = 32
+
+
+def clustered_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored panel sorted by a space-filling key of employee, tribe, cluster and position."""
+
+    def build() -> str:
+        path = staging_path(spark, "panel-clustered")
+        write_clustered(stored_panel(spark, sf_dir), path, ACCESS_COLUMNS)
+        return path
+
+    return read_panel(spark, _once(spark, sf_dir, "clustered", build))
+
+
+def panel_by_member(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored panel in a folder per bucket of employees."""
+
+    def build() -> str:
+        path = staging_path(spark, "panel-by-member")
+        write_by_member(stored_panel(spark, sf_dir), path, MEMBER_BUCKETS)
+        return path
+
+    return read_by_member(spark, _once(spark, sf_dir, "by_member", build), PANEL)
+
+
 def texts(df: DataFrame) -> DataFrame:
     """Array columns as JSON text."""
     return df.select(*[json_array(F.col(n)).alias(n) if t.startswith("array") else n for n, t in df.dtypes])
@@ -538,11 +566,28 @@ def one_full_member(spark, sf_dir):
 
 
 def one_history(spark, sf_dir):
-    return snapshots.entity_history(stored_panel(spark, sf_dir), one_full_member(spark, sf_dir))
+    """The chosen employee's rows: one folder of the layout by member, found while the query runs."""
+    rows = rows_of_member(panel_by_member(spark, sf_dir), one_full_member(spark, sf_dir))
+    return rows.select(*snapshots.HISTORY_COLUMNS).orderBy("report_date")
 
 
 def first_history(spark, sf_dir):
-    return snapshots.lookup_history(stored_panel(spark, sf_dir), "10000001")
+    return snapshots.lookup_history(rows_of_member(panel_by_member(spark, sf_dir), "10000001"), "10000001")
+
+
+def point_lookup_layout(spark, sf_dir):
+    """Rows of one employee, tribe, cluster and position per month, each a lookup on the clustered layout."""
+    rows = clustered_panel(spark, sf_dir)
+    known = stored_panel(spark, sf_dir)
+    found = []
+    for column in ACCESS_COLUMNS:
+        value = F.lit("10000001") if column == "employee_id" else known.select(F.min(column)).scalar()
+        hit = rows.where(F.col(column) == value)
+        found.append(
+            hit.groupBy(F.lit(column).alias("path"), F.col(column).cast("string").alias("value"), "report_date")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("grade_num").alias("grades"))
+        )
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 def it_share(spark, sf_dir):
@@ -582,6 +627,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "random_entity": one_full_member,
     "entity_history": one_history,
     "entity_lookup": first_history,
+    "point_lookup_layout": point_lookup_layout,
     "regex_share": it_share,
     "part_regex_share": part_name_share,
     "panel_roster": panel_roster,
