@@ -9,6 +9,9 @@ built by hand; all texts of a chunk lie on one byte axis, as the products never
 * Bytes where tokens of both end cut the tokens into groups.  With token-by-group matrices the same product gives the
   *group* links; its size is known before it is computed, and it is computed in blocks of rows.
 
+Where both tokenizers surely begin a token, texts are cut, and each distinct stretch of a batch is aligned once; a bounded
+number of them is remembered (:class:`Stretches`).  Texts are never cut off.
+
 How often a pair of ids is linked corpus-wide is counted per task in one array and added up.  Tokens that end
 together are such that the bytes of one end with the bytes of the other, so the two vocabularies alone bound the number of
 pairs by their total length (:func:`possible_pairs`, about 324,000 here); only that table reaches the driver and the workers.
@@ -37,8 +40,9 @@ from rosterloom.llm.sentencepieces import BYTE, NORMAL, agenda_of, gathered, mod
 from rosterloom.llm.words import chunks, plain
 from rosterloom.sources.staging import staging_path
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 2 << 20
 BLOCK = 1 << 20
+CACHED_STRETCHES, CACHED_BYTES, LEARNED_STRETCHES = 1 << 19, 1 << 25, 1 << 15
 
 
 class Sparse(NamedTuple):
@@ -139,27 +143,34 @@ def decimal_table(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Aligned:
-    """Tokens of some texts: ids and ends (on one byte axis) of A and B, and each text's first token of both."""
+    """Tokens of some texts: ids and ends (on one byte axis) of A and B, and each text's first token of both.
+
+    ``rows`` are the bytes the tokens should give back; a text whose tokens do not has none.
+    """
 
-    def __init__(self, sides: Sides, texts: pa.Array):
-        own = plain(texts)
-        blank, none = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
-        whole = pc.if_else(pc.equal(own, none), own, pc.binary_join_element_wise(blank, own, none))
-        b_ids, b_first = sides.b.encode(own)
+    def __init__(self, sides: Sides, rows: list[bytes], a_lists: list[np.ndarray], b_ids: np.ndarray, b_first: np.ndarray):
         b_sizes = sides.b.sizes[b_ids]
-        a_lists = [x[:-1].astype(np.int64) for x in sides.a.encode(whole)]
-        a_bytes = [gathered(sides.a_bytes, sides.a_begins[x], sides.a.token_bytes[x]).tobytes() for x in a_lists]
-        b_data, b_upto = gathered(sides.b.shown, sides.b.begins[b_ids], b_sizes).tobytes(), np.concatenate(([0], np.cumsum(b_sizes)))[b_first].tolist()
-        rows = [text.encode() for text in whole.to_pylist()]
-        used = [bool(w) and w == x and w == b_data[s:e] for w, x, s, e in zip(rows, a_bytes, b_upto, b_upto[1:])]
-        a_counts = np.array([len(x) if u else 0 for x, u in zip(a_lists, used)], np.int64)
-        b_counts = np.where(used, np.diff(b_first), 0)
+        a_all, a_upto = np.concatenate([np.zeros(0, np.int64), *a_lists]).astype(np.int64), np.cumsum([0, *map(len, a_lists)])
+        a_sizes = sides.a.token_bytes[a_all]
+        a_data, a_bytes = gathered(sides.a_bytes, sides.a_begins[a_all], a_sizes).tobytes(), np.concatenate(([0], np.cumsum(a_sizes)))[a_upto].tolist()
+        b_data, b_bytes = gathered(sides.b.shown, sides.b.begins[b_ids], b_sizes).tobytes(), np.concatenate(([0], np.cumsum(b_sizes)))[b_first].tolist()
+        used = [bool(w) and w == a_data[s:e] and w == b_data[t:f] for w, s, e, t, f in zip(rows, a_bytes, a_bytes[1:], b_bytes, b_bytes[1:])]
         self.used = np.array(used, bool)
-        self.a_ids = np.concatenate([np.zeros(0, np.int64), *[x for x, u in zip(a_lists, used) if u]])
-        self.b_ids = b_ids[np.repeat(self.used, np.diff(b_first))].astype(np.int64)
-        self.a_first, self.b_first = (np.concatenate(([0], np.cumsum(n))) for n in (a_counts, b_counts))
+        self.a_ids, self.b_ids = a_all[np.repeat(self.used, np.diff(a_upto))], b_ids[np.repeat(self.used, np.diff(b_first))].astype(np.int64)
+        self.a_first, self.b_first = (np.concatenate(([0], np.cumsum(np.where(self.used, np.diff(n), 0)))) for n in (a_upto, b_first))
         self.a_ends, self.b_ends = np.cumsum(sides.a.token_bytes[self.a_ids]), np.cumsum(sides.b.sizes[self.b_ids])
 
+    @classmethod
+    def of_texts(cls, sides: Sides, texts: pa.Array) -> Aligned:
+        whole = with_blank(texts)
+        return cls(sides, [t.encode() for t in whole.to_pylist()], [x[:-1] for x in sides.a.encode(whole)], *sides.b.encode(texts))
+
+    @classmethod
+    def of_stretches(cls, sides: Sides, stretches: list[bytes]) -> Aligned:
+        encode, lists = sides.a.model.encode_ordinary, [sides.b.stretch_ids(s) for s in stretches]
+        b_ids = np.array([i for own in lists for i in own], np.int64)
+        return cls(sides, stretches, [np.array(encode(s.decode()), np.int64) for s in stretches], b_ids, np.cumsum([0, *map(len, lists)]))
+
     def overlaps(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(A token, B token, shared bytes) of the overlap links."""
         return product(spans(self.a_ends), spans(self.b_ends).transposed())
@@ -204,31 +215,99 @@ def sides_of(a_path: str, b_path: str) -> Sides:
 
 
 SUMMARY = "struct<n_a: bigint, n_b: bigint, n_groups: bigint, n_links: bigint, n_overlaps: bigint, n_shared: bigint, groups_sha256: string, pairs: array<int>>"
+SUMMARY_TYPE = pa.struct(
+    [*[(n, pa.int64()) for n in ("n_a", "n_b", "n_groups", "n_links", "n_overlaps", "n_shared")], ("groups_sha256", pa.string()), ("pairs", pa.list_(pa.int32()))]
+)
 
 
-def _summary(sides: Sides, texts: pa.Array) -> pa.Array:
-    own = Aligned(sides, texts)
-    a_links, b_links, _ = own.end_links()
-    a, b = own.grouped(a_links)
-    text, begins = own.group_text(sides, a, b)
-    data = text.tobytes()
-    hashes = [hashlib.sha256(data[s : e - 1]).hexdigest() if u else "" for u, s, e in zip(own.used.tolist(), begins[:-1].tolist(), begins[1:].tolist())]
-    groups = np.searchsorted(a_links, own.a_first)  # links before each text; a text's groups end with its links
-    pairs = np.searchsorted(sides.pairs, own.a_ids[a_links] << 32 | own.b_ids[b_links])
-    n_a, n_b, n_links = np.diff(own.a_first), np.diff(own.b_first), np.diff(groups)
-    # Tokens cover the bytes of a text without a gap, so each end of A's or B's begins the next overlap.
-    n_overlaps = n_a + n_b - n_links
-    upto = np.concatenate(([0], np.cumsum(np.diff(b.transposed().indptr)[a.indices])))
-    n_shared = np.diff(upto[own.a_first])
-    lists = pa.ListArray.from_arrays(pa.array(groups, pa.int32()), pa.array(pairs, pa.int32()))
-    numbers = [pa.array(x.astype(np.int64)) for x in (n_a, n_b, n_links, n_links, n_overlaps, n_shared)]
-    return pa.StructArray.from_arrays([*numbers, pa.array(hashes, pa.string()), lists], [f.split(":")[0].strip() for f in SUMMARY[7:-1].split(",")])
+class Stretches:
+    """What is known of the stretches met so far; both tokenizers surely begin a token where a stretch begins.
 
+    So a stretch holds whole groups, and a text's groups and links are those of its stretches in a row.
+    """
 
-def _parts(texts: pa.Array) -> Iterator[pa.Array]:
-    """Whole texts, about a megabyte at a time."""
-    for chunk in chunks(texts, CHUNK_BYTES):
-        yield texts.slice(chunk.first_row, len(chunk))
+    def __init__(self, sides: Sides):
+        self.sides = sides
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        #: Per stretch: tokens of A and B, end links, group links, bytes of its group text, and 1 if it has no alignment.
+        self.numbers = np.zeros((0, 6), np.int64)
+        self.text_starts, self.pair_starts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.text, self.pairs = np.zeros(0, np.uint8), np.zeros(0, np.int32)
+
+    def _learn(self, new: list[bytes]) -> None:
+        own = Aligned.of_stretches(self.sides, new)
+        a_links, b_links, _ = own.end_links()
+        a, b = own.grouped(a_links)
+        text, begins = own.group_text(self.sides, a, b)
+        links = np.searchsorted(a_links, own.a_first)  # links before each stretch; its groups end with its links
+        shared = np.concatenate(([0], np.cumsum(np.diff(b.transposed().indptr)[a.indices])))[own.a_first]
+        pairs = np.searchsorted(self.sides.pairs, own.a_ids[a_links] << 32 | own.b_ids[b_links])
+        columns = [*map(np.diff, (own.a_first, own.b_first, links, shared, begins)), ~own.used]
+        self.text_starts = np.concatenate([self.text_starts, len(self.text) + begins[:-1]])
+        self.pair_starts = np.concatenate([self.pair_starts, len(self.pairs) + links[:-1]])
+        self.text, self.pairs = np.concatenate([self.text, text]), np.concatenate([self.pairs, pairs.astype(np.int32)])
+        self.numbers = np.concatenate([self.numbers, np.stack(columns, axis=1).astype(np.int64)])
+        for k, s in enumerate(new, len(self.known)):
+            self.known[s] = k
+
+    def places(self, stretches: list[bytes]) -> np.ndarray:
+        found = [*map(self.known.get, stretches)]
+        if None in found:
+            new = [s for s, k in zip(stretches, found) if k is None]
+            if self.known and (len(self.known) + len(new) > CACHED_STRETCHES or len(self.text) > CACHED_BYTES):
+                self._forget()
+                new = stretches
+            for k in range(0, len(new), LEARNED_STRETCHES):
+                self._learn(new[k : k + LEARNED_STRETCHES])
+            found = [*map(self.known.get, stretches)]
+        return np.array(found, np.int64)
+
+    def summary(self, texts: pa.Array) -> pa.Array:
+        """The struct of SUMMARY for some whole texts."""
+        out = []
+        for chunk in chunks(with_blank(texts), CHUNK_BYTES):
+            data, offsets = chunk.data, chunk.offsets
+            cut = self.sides.a.cuts(data, offsets) & self.sides.b.cuts(data, offsets)
+            bounds = np.flatnonzero(cut) if len(data) else np.zeros(1, np.int64)
+            coded = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
+            ).dictionary_encode()
+            places = self.places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+            first = np.searchsorted(bounds, offsets)
+            wrong = np.concatenate(([0], np.cumsum(self.numbers[places, 5])))[first]
+            used = (np.diff(first) > 0) & (np.diff(wrong) == 0)
+            places = places[np.repeat(used, np.diff(first))]
+            first = np.concatenate(([0], np.cumsum(np.where(used, np.diff(first), 0))))
+            upto = np.concatenate((np.zeros((1, 6), np.int64), np.cumsum(self.numbers[places], axis=0)))[first]
+            n_a, n_b, n_links, n_shared = np.diff(upto[:, :4], axis=0).T
+            text = gathered(self.text, self.text_starts[places], self.numbers[places, 4]).tobytes()
+            ends = upto[:, 4].tolist()
+            hashes = [hashlib.sha256(text[s : e - 1]).hexdigest() if u else "" for u, s, e in zip(used.tolist(), ends, ends[1:])]
+            pairs = gathered(self.pairs, self.pair_starts[places], self.numbers[places, 2])
+            lists = pa.ListArray.from_arrays(pa.array(upto[:, 2], pa.int32()), pa.array(pairs, pa.int32()))
+            # Tokens cover the bytes of a text without a gap, so each end of A's or B's begins the next overlap.
+            numbers = [pa.array(np.ascontiguousarray(x)) for x in (n_a, n_b, n_links, n_links, n_a + n_b - n_links, n_shared)]
+            out.append(pa.StructArray.from_arrays([*numbers, pa.array(hashes, pa.string()), lists], fields=list(SUMMARY_TYPE)))
+        return pa.concat_arrays(out) if out else pa.array([], SUMMARY_TYPE)
+
+
+def with_blank(texts: pa.Array) -> pa.Array:
+    """A blank before each text; null and empty texts stay empty."""
+    own = plain(texts)
+    blank, none = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
+    return pc.if_else(pc.equal(own, none), own, pc.binary_join_element_wise(blank, own, none))
+
+
+_stretches: dict[tuple[str, str], Stretches] = {}
+
+
+def _summary(a_path: str, b_path: str, texts: pa.Array) -> pa.Array:
+    if (a_path, b_path) not in _stretches:
+        _stretches[a_path, b_path] = Stretches(sides_of(a_path, b_path))
+    return _stretches[a_path, b_path].summary(texts)
 
 
 def align_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", a_path: str | None = None, b_path: str | None = None) -> DataFrame:
@@ -239,10 +318,7 @@ def align_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     a_path, b_path = a_path or vocabulary_path(), b_path or model_path()
 
     def run(texts: pa.Array) -> pa.Array:
-        texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
-        sides = sides_of(a_path, b_path)
-        found = [_summary(sides, part) for part in _parts(texts)]
-        return pa.concat_arrays(found) if found else _summary(sides, texts)
+        return _summary(a_path, b_path, texts)
 
     column = F.arrow_udf(run, SUMMARY).asNondeterministic()(F.col(text))
     return docs.select(F.col(doc_id).alias("doc_id"), column.alias("_found")).select("doc_id", "_found.*")
@@ -264,8 +340,9 @@ def token_links(
         sides = sides_of(a_path, b_path)
         for batch in batches:
             done = 0
-            for part in _parts(batch.column(1)):
-                own = Aligned(sides, part)
+            for chunk in chunks(batch.column(1)):
+                part = batch.column(1).slice(chunk.first_row, len(chunk))
+                own = Aligned.of_texts(sides, part)
                 links = own.overlaps()
                 if kind == "group":
                     a, b = own.grouped(own.end_links()[0])

@@ -149,7 +149,7 @@ class PieceTokenizer:
             numbers = [get(p) for p in pieces]
         return np.array(numbers, np.int64)
 
-    def _cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    def cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Safe cuts, with texts and added tokens cut off from what stands around them."""
         cut = safe_cuts(data)
         edges = [offsets]
@@ -169,7 +169,7 @@ class PieceTokenizer:
         out: list[np.ndarray] = []
         for chunk in chunks(texts):
             data, offsets = chunk.data, chunk.offsets
-            bounds = np.flatnonzero(self._cuts(data, offsets))
+            bounds = np.flatnonzero(self.cuts(data, offsets))
             pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
             coded = pieces.dictionary_encode()
             numbers = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]

@@ -95,17 +95,10 @@ class PieceAgenda:
 
     def pieces(self, stretch: str) -> list[str]:
         """The symbols of ``stretch`` (blanks as U+2581) once no pair on the agenda is left."""
-        symbols: list[str] = list(stretch)
-        before, after = list(range(-1, len(symbols) - 1)), list(range(1, len(symbols) + 1))
+        symbols, score_of = list(stretch), self.scores.get
+        last = len(symbols)
+        before, after = list(range(-1, last - 1)), list(range(1, last + 1))
         agenda: list[tuple[float, int, int, int]] = []
-        score_of, last = self.scores.get, len(symbols)
-
-        def propose(left: int, right: int) -> None:
-            joined = symbols[left] + symbols[right]
-            score = score_of(joined)
-            if score is not None:
-                heapq.heappush(agenda, (-score, left, right, len(joined)))
-
         for i in range(last - 1):
             score = score_of(stretch[i : i + 2])
             if score is not None:
@@ -113,16 +106,21 @@ class PieceAgenda:
         heapq.heapify(agenda)
         while agenda:
             _, left, right, size = heapq.heappop(agenda)
-            if not symbols[left] or not symbols[right] or len(symbols[left]) + len(symbols[right]) != size:
+            joined = symbols[left] + symbols[right]
+            if not symbols[right] or not symbols[left] or len(joined) != size:
                 continue  # one of the two has been joined with something else meanwhile
-            symbols[left] += symbols[right]
-            symbols[right] = ""
-            after[left] = after[right]
-            if after[right] < last:
-                before[after[right]] = left
-                propose(left, after[right])
-            if before[left] >= 0:
-                propose(before[left], left)
+            symbols[left], symbols[right] = joined, ""
+            following, leading = after[right], before[left]
+            after[left] = following
+            if following < last:
+                before[following] = left
+                score = score_of(joined + symbols[following])
+                if score is not None:
+                    heapq.heappush(agenda, (-score, left, following, size + len(symbols[following])))
+            if leading >= 0:
+                score = score_of(symbols[leading] + joined)
+                if score is not None:
+                    heapq.heappush(agenda, (-score, leading, left, len(symbols[leading]) + size))
         return [s for s in symbols if s]
 
     def stretch_ids(self, stretch: bytes) -> list[int]:
@@ -153,6 +151,14 @@ class PieceAgenda:
             self.known[s] = k
         return np.array([*map(self.known.get, stretches)], np.int64)
 
+    def cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """For each byte and the end, whether a piece surely begins there; always where a text does."""
+        cut = np.ones(len(data) + 1, bool)
+        if len(data):
+            cut[1:-1] = ~self.joins[data[:-1], data[1:]]
+        cut[offsets] = True
+        return cut
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets of each text in them)."""
         texts = pc.replace_substring(plain(texts), BLANK, " ")
@@ -160,11 +166,7 @@ class PieceAgenda:
         ids, upto, done = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], 0
         for chunk in chunks(texts, CHUNK_BYTES):
             data, offsets = chunk.data, chunk.offsets
-            cut = np.ones(len(data) + 1, bool)
-            if len(data):
-                cut[1:-1] = ~self.joins[data[:-1], data[1:]]
-            cut[offsets] = True
-            bounds = np.flatnonzero(cut) if len(data) else np.zeros(1, np.int64)
+            bounds = np.flatnonzero(self.cuts(data, offsets)) if len(data) else np.zeros(1, np.int64)
             coded = pa.LargeBinaryArray.from_buffers(
                 pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
             ).dictionary_encode()
