@@ -520,6 +520,8 @@ def oracles() -> dict[str, str]:
     q["strip_keyword"] = "SELECT p_partkey, regexp_replace(p_name, '^(red|blue|hot|small) ', '') AS bare FROM part"
     q["last_token"] = "SELECT p_partkey, CASE WHEN p_size % 5 <> 0 THEN string_split(p_name, ' ')[-1] ELSE p_brand END AS tail FROM part"
     q["half_even"] = "SELECT l_orderkey, sum(round_even(l_quantity * 0.5::DOUBLE, 0))::BIGINT AS halves, sum(greatest(0, least(30, l_quantity::BIGINT - 5)))::BIGINT AS clamped FROM lineitem GROUP BY l_orderkey"
+    q["price_rank"] = """SELECT o_orderkey, cents, row_number() OVER (ORDER BY cents, o_orderkey) - 1 AS place
+        FROM (SELECT o_orderkey, round(o_totalprice * 100)::BIGINT AS cents FROM orders)"""
     q["entity_history"] = panel_select(history, base="placed")
     narrow = panel_select(["report_date", "employee_id", "grade_num", "position_name", "tribe_code", "cluster_code"], base="placed")
     wanted = {"employee_id": "'10000001'", **{c: f"(SELECT min({c}) FROM ({narrow}))" for c in ("tribe_code", "cluster_code", "position_name")}}

@@ -88,6 +88,8 @@ def _sql_literal(value: object) -> str:
         return "NULL"
     if isinstance(value, str):
         return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(value, int) and not -(1 << 31) <= value < 1 << 31:
+        return f"CAST('{value}' AS BIGINT)"
     return str(value)
 
 

@@ -2,7 +2,8 @@
 
 Each of them splits the order into ranges (``bucket``, a column that never falls
 along the order), adds up the ranges first, and orders only inside a range.  With
-a draw as the order the ranges are equally full whatever the data looks like.
+a draw as the order the ranges are equally full whatever the data looks like; for any other number
+:func:`even_bucket` takes the ranges from a sketch of the data.
 """
 
 from __future__ import annotations
@@ -12,10 +13,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rosterloom.functions.draws import DRAW_BITS
+from rosterloom.functions.draws import DRAW_BITS, literal_array
 from rosterloom.operators.sides import broadcast_within, dimension_lookup, null_safe_join
 
 BUCKET_BITS = 12
+RANGES = 1 << 10
+#: Rows of a group that one task may order when a sample's limit is looked for.
+CANDIDATE_ROWS = 200_000
 
 
 def draw_bucket(u: Column, bits: int = BUCKET_BITS) -> Column:
@@ -63,11 +67,26 @@ def with_rank(
     return totals_before(df, order, bucket, {name: F.lit(1).cast("bigint")}, within)
 
 
-def key_bucket(df: DataFrame, key: str, bits: int = BUCKET_BITS) -> Column:
-    """Ranges of equal width over an integer key, at most 2^bits of them."""
-    low = df.select(F.min(key)).scalar()
-    high = df.select(F.max(key)).scalar()
-    return F.floor((F.col(key) - low) * F.lit(1 << bits) / (high - low + F.lit(1)).cast("double"))
+def even_bucket(df: DataFrame, key: str, ranges: int = RANGES) -> Column:
+    """Ranges of an integer key that are about equally full, however the key is distributed.
+
+    The splitters are quantiles of a mergeable sketch (KLL), whose rank error is about a quarter of a range, so the fullest
+    range stays under twice the mean.  The sketch is one job; a row finds its range by
+    looking at about the square root of their number, twice.  Equal keys are in one range; null is in the first.
+    """
+    if ranges < 2:
+        return F.lit(0)
+    step = max(2, round(ranges**0.5))
+    size = min(65_535, max(200, int((2.296 * 4 * ranges) ** 1.11)))  # the sketch's published error is 2.296 / size ^ 0.9021
+    marks = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    sketch = F.kll_sketch_agg_bigint(F.col(key).cast("bigint"), F.lit(size))
+    cuts = df.where(F.col(key).isNotNull()).agg(F.when(F.count(key) > 0, F.kll_sketch_get_quantile_bigint(sketch, marks))).first()[0]
+    if not cuts:
+        return F.lit(0).cast("bigint")
+    value = F.coalesce(F.col(key).cast("bigint"), F.lit(-(1 << 63)))
+    block = F.size(F.filter(literal_array(cuts[step - 1 :: step]), lambda x: x <= value))
+    inside = F.size(F.filter(F.slice(literal_array(cuts), block * step + 1, F.lit(step)), lambda x: x <= value))
+    return (block * step + inside).cast("bigint")
 
 
 def sample_limits(
@@ -79,38 +98,49 @@ def sample_limits(
     groups: int | None = None,
     bits: int = BUCKET_BITS,
     distinct: bool = False,
+    levels: int = 1,
 ) -> DataFrame:
     """Draw and key of the k-th row in (draw, key) order, per group; no row for a group of fewer than k.
 
-    Two narrow passes: counts per range of the draw, then an order inside the one range
-    that crosses k.  ``groups`` is a known bound on the number of groups, if there is one.
-    ``distinct`` counts a key once however many rows it has.  A NULL in ``within`` is a group like any other.
+    Narrow passes: counts per range of the draw, which merge by addition, name the range that crosses k; that range is
+    counted again by finer ranges, ``levels`` times in all; the rows of the last one are put in order.  ``groups`` is a known bound
+    on the number of groups, if there is one.  ``distinct`` counts a key once however many rows it has.
+    A NULL in ``within`` is a group like any other.
     """
     k = F.lit(k) if isinstance(k, int) else k
     keys = [*within, "_bucket"]
-    ranged = df.select(*within, u, key, draw_bucket(F.col(u), bits).alias("_bucket"))
     across = Window.partitionBy(*(within or [F.lit(0)])).orderBy("_bucket")
-    counted = (
-        (ranged.distinct() if distinct else ranged)
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(across))
-    )
-    crossing = counted.where((F.col("_upto") >= k) & (F.col("_upto") - F.col("_n") < k)).select(
-        *keys, (k - F.col("_upto") + F.col("_n")).alias("_need")
-    )
-    if groups is not None or not within:
-        crossing = broadcast_within(crossing, groups or 1)
+    bound = (groups or 1) if groups is not None or not within else None
+    rows = df.select(*within, u, key, draw_bucket(F.col(u), bits).alias("_bucket"), k.alias("_need"))
+    for level in range(1, levels + 1):
+        if level > 1:
+            rows = rows.withColumn("_bucket", draw_bucket(F.col(u), min(DRAW_BITS, bits * level)))
+        counted = (
+            (rows.distinct() if distinct else rows)
+            .groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("_n"), F.first("_need").alias("_k"))
+            .withColumn("_upto", F.sum("_n").over(across))
+        )
+        crossing = counted.where((F.col("_upto") >= F.col("_k")) & (F.col("_upto") - F.col("_n") < F.col("_k"))).select(
+            *keys, (F.col("_k") - F.col("_upto") + F.col("_n")).alias("_need")
+        )
+        rows = null_safe_join(rows.drop("_need"), broadcast_within(crossing, bound), keys)
     inside = Window.partitionBy(*keys).orderBy(u, key)
-    candidates = null_safe_join(ranged, crossing, keys)
     return (
-        (candidates.distinct() if distinct else candidates)
+        (rows.distinct() if distinct else rows)
         .withColumn("_rank", F.row_number().over(inside))
         .where(F.col("_rank") == F.col("_need"))
         .select(*within, F.col(u).alias("_limit_draw"), F.col(key).alias("_limit_key"))
     )
 
 
+def group_bounds(df: DataFrame, within: Sequence[str]) -> tuple[int, int]:
+    """(number of groups, rows of the largest), by one pass with partial counts."""
+    sizes = df.groupBy(*within).agg(F.count(F.lit(1)).alias("_n"))
+    row = sizes.agg(F.count(F.lit(1)), F.coalesce(F.max("_n"), F.lit(0))).first()
+    return row[0], row[1]
+
+
 def in_sample(u: str, key: str, k: Column | int) -> Column:
     """Row test against the columns of :func:`sample_limits`."""
     k = F.lit(k) if isinstance(k, int) else k
@@ -129,8 +159,18 @@ def sample_exactly(
     groups: int | None = None,
     bits: int = BUCKET_BITS,
 ) -> DataFrame:
-    """Exactly k rows per group, or all of a smaller group; the rows themselves are not shuffled."""
-    limits = sample_limits(df, k, u, key, within, groups, bits)
+    """Exactly k rows per group, or all of a smaller group.
+
+    A limit per group filters the rows where they are: they are not shuffled.  Without a known bound ``groups`` the groups are
+    counted first (a job); their largest size sets how often the crossing range is refined.  The limits
+    of at most ``BROADCAST_ROWS`` groups are broadcast; beyond that, groups are joined with their limits by a salted shuffle.
+    """
+    levels = 1
+    if within and groups is None:
+        groups, largest = group_bounds(df, within)
+        while largest >> (bits * levels) > CANDIDATE_ROWS and bits * levels < DRAW_BITS:
+            levels += 1
+    limits = sample_limits(df, k, u, key, within, groups, bits, levels=levels)
     if within:
         sided = dimension_lookup(df, limits, within, groups, null_safe=True)
     else:

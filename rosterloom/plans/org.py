@@ -13,7 +13,7 @@ from rosterloom.functions.draws import (
 )
 from rosterloom.functions.scores import share_of
 from rosterloom.functions.text import by_key, last_token, path_text
-from rosterloom.operators.ranking import draw_bucket, greedy_cover, key_bucket, totals_before
+from rosterloom.operators.ranking import draw_bucket, even_bucket, greedy_cover, totals_before
 from rosterloom.operators.windows import chunk_no, share_in_group
 from rosterloom.sources.staging import materialize
 
@@ -92,7 +92,7 @@ def org_tree(blocks: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
     )
     total_share = blocks.select(F.sum(F.col("share").cast("bigint"))).scalar()
     starts = totals_before(
-        sizes, ["block_no"], key_bucket(blocks, "block_no"),
+        sizes, ["block_no"], even_bucket(blocks, "block_no"),
         {"_uid_start": F.col("_units"), "_share_before": F.col("_share")},
     ).select(
         "block_no",

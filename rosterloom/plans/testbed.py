@@ -21,7 +21,7 @@ from rosterloom.functions.text import (
     by_key, contains_pattern, json_array, json_first, last_token, prefix_before, strip_leading_word,
 )
 from rosterloom.operators.lookups import weighted_lookup, with_ancestors
-from rosterloom.operators.ranking import greedy_cover, sample_exactly
+from rosterloom.operators.ranking import even_bucket, greedy_cover, sample_exactly, with_rank
 from rosterloom.plans import export, snapshots
 from rosterloom.plans.attributes import Attributes
 from rosterloom.plans.leaders import agile_leaders, unit_leaders
@@ -434,6 +434,13 @@ def exact_k_sample_nullable(spark, sf_dir):
     return sample_exactly(orders, k, "u", "o_orderkey", ["grp"])
 
 
+def price_rank(spark, sf_dir):
+    """Place of every order by price, cheapest first; ranges come from the prices, no task orders all rows."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
+    ranked = with_rank(orders, "place", ["cents", "o_orderkey"], even_bucket(orders, "cents"))
+    return ranked.select("o_orderkey", "cents", F.col("place").cast("bigint").alias("place"))
+
+
 def entity_sample(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("o_orderdate"))
     return export.entity_sample(orders, SAMPLE, "o_custkey")
@@ -660,6 +667,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "random_peers": peers,
     "exact_k_sample": exact_k_sample,
     "entity_sample": entity_sample,
+    "price_rank": price_rank,
     "month_spine": month_spine_of_orders,
     "array_to_json": array_to_json,
     "json_first": json_first_of_events,

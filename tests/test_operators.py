@@ -10,7 +10,8 @@ from rosterloom.functions.draws import draw, first_items, repeated, shuffle_mark
 from rosterloom.functions.scores import letter_score, shortfall
 from rosterloom.functions.text import contains_pattern, json_array, json_first, last_token, latin_word, prefix_before, strip_leading_word
 from rosterloom.operators.lookups import peer_ordinals, random_peers, weighted_lookup
-from rosterloom.operators.ranking import draw_bucket, greedy_cover, sample_exactly, with_rank
+from rosterloom.operators import ranking, sides
+from rosterloom.operators.ranking import draw_bucket, even_bucket, greedy_cover, sample_exactly, with_rank
 from rosterloom.operators.sides import dimension_lookup
 from rosterloom.operators.windows import chunk_no
 from rosterloom.plans import snapshots
@@ -248,3 +249,66 @@ def test_every_option_can_be_picked(spark):
     for bits in (None, 20):
         found = weighted_lookup(df, F.col("u"), options, {"pick_low": "low"}, bits=bits).collect()
         assert sorted((r.u, r.low) for r in found) == [(p, p) for p in places]
+
+
+# -- even ranges, limits without a shuffle of the rows ---------------------------------------
+
+
+def exchanges_above(df, table_size):
+    """Exchanges between the result and the scan of the rows: down the plan, on the streamed side of joins."""
+    node, found = df._jdf.queryExecution().sparkPlan(), []
+    while True:
+        name = node.getClass().getSimpleName()
+        children = node.children()
+        if "Exchange" in name or "SortMergeJoin" in name or "Shuffled" in name:
+            found.append(name)
+        if children.size() == 0:
+            return found
+        at = 0
+        if children.size() == 2 and node.getClass().getSimpleName() == "BroadcastHashJoinExec" and "Left" in str(node.buildSide()):
+            at = 1
+        node = children.apply(at)
+
+
+def test_a_sample_filters_rows_where_they_are(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        df = skewed(spark)
+        assert exchanges_above(sample_exactly(df, 60, "u", "id", ["g"]), 4000) == []
+        assert exchanges_above(sample_exactly(df, 60, "u", "id"), 4000) == []
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("k", [1, 700, 1300, 5000])
+def test_limits_found_by_finer_ranges(spark, monkeypatch, k):
+    """Ranges of two bits, refined until no more than three rows are ordered; nulls and equal draws among them."""
+    monkeypatch.setattr(ranking, "CANDIDATE_ROWS", 3)
+    df = skewed(spark).withColumn("u", F.when(F.col("id") % 10 == 1, F.lit(77)).otherwise(F.col("u"))).withColumn("g", F.nullif("g", F.lit(7)))
+    found = by_group(sample_exactly(df, k, "u", "id", ["g"], bits=2).collect())
+    assert found == {g: v[:k] for g, v in by_group(df.collect()).items()}
+
+
+def test_more_groups_than_are_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(sides, "BROADCAST_ROWS", 5)
+    df = skewed(spark)
+    assert by_group(sample_exactly(df, 20, "u", "id", ["g"]).collect()) == {g: v[:20] for g, v in by_group(df.collect()).items()}
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 5, 64, 1000])
+def test_even_ranges_follow_the_order(spark, ranges):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([None, -5, -(1 << 63), (1 << 63) - 1, 7, 7, 7, *range(200)])], "id int, v bigint")
+    rows = df.withColumn("b", even_bucket(df, "v", ranges)).collect()
+    known = sorted((r.v, r.b) for r in rows if r.v is not None)
+    assert all(x[1] <= y[1] for x, y in zip(known, known[1:])) and all(0 <= r.b < max(ranges, 1) for r in rows)
+    ranked = with_rank(df, "r", ["v", "id"], even_bucket(df, "v", ranges)).collect()
+    assert {r.id: r.r for r in ranked} == {i: k for k, (_, i) in enumerate(sorted((r.v is not None, r.v or 0, r.id)[1:] if r.v is not None else (-(1 << 64), r.id) for r in rows))}
+    empty = df.limit(0)
+    assert empty.withColumn("b", even_bucket(empty, "v", ranges)).count() == 0
+
+
+def test_ranges_of_a_skewed_key_are_even(spark):
+    """Ten million keys, most of them tiny and a few huge: no range holds twice the mean."""
+    df = spark.range(10_000_000).select(F.floor(F.exp(F.col("id") / 300_000.0)).alias("v"), "id").select((F.col("v") * 64 + F.col("id") % 64).alias("v"))
+    n, most = df.groupBy(even_bucket(df, "v", 256).alias("b")).count().agg(F.count(F.lit(1)), F.max("count")).first()
+    assert n == 256 and most <= 2 * 10_000_000 / 256
