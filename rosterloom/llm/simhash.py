@@ -18,7 +18,7 @@ smallest of a component, which is null if it has no other; repeated rows share a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterloom.llm.components import components
-from rosterloom.llm.skew import join_counted
+from rosterloom.llm.skew import HOT_PART, join_counted
 from rosterloom.llm.words import chunks
 from rosterloom.sources.staging import materialize
 
@@ -177,17 +177,20 @@ def links(distinct: DataFrame, n: int, max_distance: int = MAX_DISTANCE, bucket_
 
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-    max_distance: int = MAX_DISTANCE, bucket_limit: int = BUCKET_LIMIT,
+    max_distance: int = MAX_DISTANCE, bucket_limit: int = BUCKET_LIMIT, carry: Sequence[str] = (),
 ) -> DataFrame:
-    """(doc_id, fp, component_id) per row; fingerprints are computed at once and checkpointed."""
-    marked = materialize(docs.select(F.col(doc_id).alias("doc_id"), fingerprint(shingle)(F.col(text)).alias("fp")))
+    """(doc_id, fp, component_id, component, and the columns ``carry``) per row.
+
+    ``component`` is a fingerprint of the component, never null.  Fingerprints are computed at once and checkpointed.
+    """
+    marked = materialize(docs.select(F.col(doc_id).alias("doc_id"), fingerprint(shingle)(F.col(text)).alias("fp"), *carry))
     distinct = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n")))
     found = components(links(distinct.select("fp"), distinct.count(), max_distance, bucket_limit))
     named = found.join(distinct, found["node"] == distinct["fp"]).select("fp", "root", "low")
     lowest = named.groupBy("root").agg(F.min("low").alias("lowest"))
-    linked = named.join(lowest, "root").select("fp", "lowest")
-    labels = distinct.join(linked, "fp", "left").select("fp", "n", F.coalesce("lowest", "low").alias("component_id"))
-    return join_counted(marked, labels, ["fp"], "n", marked.count()).select("doc_id", "fp", "component_id")
+    linked = named.join(lowest, "root").select("fp", "root", "lowest")
+    labels = distinct.join(linked, "fp", "left").select("fp", "n", F.coalesce("lowest", "low").alias("component_id"), F.coalesce("root", "fp").alias("component"))
+    return join_counted(marked, labels, ["fp"], "n", marked.count()).select("doc_id", "fp", "component_id", "component", *carry)
 
 
 def hex_digits(fp: Column) -> Column:
@@ -200,17 +203,24 @@ def op4_simhash(spark, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The document with the smallest id of each component, once.
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hot_part: int = HOT_PART) -> DataFrame:
+    """One row of each component: that with the smallest (id, fingerprint, hash of the row), rows without id last.
 
-    Rows without id cannot be told apart: they stay if nothing in their component has an id.
+    Rows are told apart by 128 bits of hash over all their columns but maps, so equal ids may have different
+    texts; of rows equal in all columns one stays.  Rows repeated very often are not shuffled as such: their keys,
+    fewer than ``hot_part``, are broadcast, and copies meet after each task has dropped its own.
     """
-    found = near_duplicates(docs, doc_id, text)
-    stay = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_stay")).distinct()
-    named = docs.where(F.col(doc_id).isNotNull())
-    kept = named.join(stay, named[doc_id] == stay["_stay"], "left_semi").dropDuplicates([doc_id])
-    nameless = found.where(F.col("doc_id").isNull() & F.col("component_id").isNull()).select(F.col("fp").alias("_fp")).distinct()
-    if nameless.isEmpty():
-        return kept
-    without = docs.where(F.col(doc_id).isNull()).withColumn("_fp", fingerprint()(F.col(text)))
-    return kept.unionByName(without.join(nameless, "_fp", "left_semi").drop("_fp"))
+    used = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    keys = ["_key_1", "_key_2"]
+    # A null leaves a hash as it is, so places of nulls are hashed as well.
+    nulls = F.concat(*[F.when(c.isNull(), F.lit("1")).otherwise(F.lit("0")) for c in used])
+    keyed = docs.select("*", F.xxhash64(nulls, *used).alias(keys[0]), F.xxhash64(F.lit(1), nulls, *used).alias(keys[1]))
+    rows = near_duplicates(keyed, doc_id, text, carry=keys)
+    known = materialize(rows.groupBy("component", "doc_id", "fp", *keys).agg(F.count(F.lit(1)).alias("_n")))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp", *keys, "_n")).alias("_first")
+    stay = known.groupBy("component").agg(first).select(*[f"_first.{c}" for c in (*keys, "_n")])
+    limit = max(1, (known.agg(F.sum("_n")).first()[0] or 0) // hot_part)
+    hot = F.broadcast(known.where(F.col("_n") > limit).select(*keys))
+    rest = keyed.join(hot, keys, "left_anti").join(stay.where(F.col("_n") <= limit), keys, "left_semi")
+    repeated = keyed.join(F.broadcast(stay.where(F.col("_n") > limit)), keys, "left_semi")
+    return rest.dropDuplicates(keys).unionByName(repeated.dropDuplicates(keys)).drop(*keys)

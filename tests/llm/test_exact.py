@@ -233,6 +233,28 @@ def test_one_of_each_group_stays(docs):
     assert [r.text for r in kept.collect() if r.doc_id is None] == [DOCS[7][1]]  # the empty one is a copy of 3
 
 
+def test_one_row_of_each_group_whatever_its_id(spark):
+    """Equal ids with different texts, equal texts, null ids, repeated rows, rows that differ in another column."""
+    import random
+
+    texts = ["a", "zq", "mm", "", None, "one two three four five", "One two three four FIVE", "five four three two one", "q w e r t y u i o p"]
+    r = random.Random(8)
+    rows = [(r.choice([None, 3, 5, 5, 7, 9]), r.choice(texts), r.choice(["x", "y", None])) for _ in range(150)] + [(5, "zq", "x")] * 60
+    fps = [fingerprint(t) for _, t, _ in rows]
+    group = classes([(i, f) for i, f in enumerate(fps)])  # the smallest place in the group
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    best = {g: min((rows[i][0] is None, rows[i][0] or 0, signed[i]) for i in range(len(rows)) if group[i] == g) for g in set(group)}
+    seen = set()
+    for parts, hot_part in ((1, 10_000), (8, 4), (64, 10_000)):
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string, n string").repartition(parts)
+        kept = [tuple(x) for x in simhash.keep_one(docs, hot_part=hot_part).collect()]
+        places = [rows.index(x) for x in kept]
+        assert sorted(group[i] for i in places) == sorted(set(group))
+        assert all((rows[i][0] is None, rows[i][0] or 0, signed[i]) == best[group[i]] for i in places)
+        seen.add(tuple(sorted(kept, key=repr)))
+    assert len(seen) == 1
+
+
 # -- 5: counts of quality rules --------------------------------------------------
 
 
