@@ -429,6 +429,7 @@ def oracles() -> dict[str, str]:
     q["panel_roundtrip"] = """SELECT l.d AS report_date, count(*) AS n, count(DISTINCT l.emp) AS members, sum(len(ta.skills))::BIGINT AS skills,
         sum(least(17, mo.base_grade + mo.promotions))::BIGINT AS grades, count(l.tribe_code) AS in_tribe, sum(l.lid1)::BIGINT AS leader_sum
         FROM led l JOIN talents ta ON ta.emp = l.emp JOIN monthly mo ON mo.emp = l.emp AND mo.m = l.m GROUP BY l.d"""
+    q["appended_month"] = panel_select(PANEL_COLUMNS) + f" WHERE l.m >= {MONTHS - 2}"
     q["flat_export"] = panel_select(PANEL_COLUMNS, as_text_date=True) + f" WHERE l.emp IN ({sampled})"
     for key, end in (("latest_snapshot", "max"), ("earliest_snapshot", "min")):
         q[key] = arrays("report_date", "employee_id", "grade_num").replace("FROM led l", "FROM roster l") + f" WHERE l.d = (SELECT {end}(d) FROM spine)"

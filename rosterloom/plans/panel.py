@@ -68,6 +68,15 @@ def panel(
     rows = base
     if wanted & EVENT_COLUMNS or placed_extra or set(extra) & {"title_month", "move_month", "promotions", "raise_month", "quarter_month"}:
         rows = with_events(base, slots, spec)
+    return panel_of(rows, slots, org, spec, columns, extra)
+
+
+def panel_of(
+    rows: DataFrame, slots: Slots, org: Organisation, spec: PanelSpec, columns: Sequence[str] = tuple(PANEL_COLUMNS), extra: Sequence[str] = ()
+) -> DataFrame:
+    """The panel of given roster rows; those of :func:`with_events` where a wanted column depends on events."""
+    wanted = set(columns)
+    placed_extra = wanted & UNIT_COLUMNS or set(extra) & {"leaf_uid", "path", "is_it", "unit_name"}
     if wanted & (LEADER_COLUMNS | PEER_COLUMNS):
         # Read again for leaders and peers, so computed once; it is narrow and stays split by slot.
         rows = materialize(rows)

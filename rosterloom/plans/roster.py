@@ -8,7 +8,7 @@ that happens later follows from draws on the slot or the employee, without a loo
 from __future__ import annotations
 
 import datetime
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,20 +98,20 @@ def monthly_quota(slots: Slots, rate: float) -> Column:
     return half_even(slots.count * F.lit(rate))
 
 
-def leavers(slots: Slots, spec: PanelSpec) -> DataFrame:
-    """(slot_key, month_no, event_u) of each leaver; their places are filled in the same month."""
-    moves = _monthly(slots, spec, "leave", 1)
+def leavers(slots: Slots, spec: PanelSpec, first: int = 1) -> DataFrame:
+    """(slot_key, month_no, event_u) of each leaver from month ``first`` on; their places are filled in the same month."""
+    moves = _monthly(slots, spec, "leave", first)
     quota = monthly_quota(slots, spec.attrition)
     limits = sample_limits(moves, quota, "event_u", "slot_key", ["month_no"], groups=spec.months)
     sided = moves.join(broadcast_within(limits, spec.months), "month_no", "left")
     return sided.where(in_sample("event_u", "slot_key", quota)).select("slot_key", "month_no", "event_u")
 
 
-def hires(slots: Slots, spec: PanelSpec) -> DataFrame:
+def hires(slots: Slots, spec: PanelSpec, first: int = 1) -> DataFrame:
     """(slot_key, month_no, emp_no) of each backfill; numbers run on month by month without gaps."""
     # Leavers hold the lowest draws of their month, so their ranges are cut finer.
     ranges = draw_bucket(F.col("event_u"), LEAVER_BITS)
-    ranked = with_rank(leavers(slots, spec), "_rank", ["event_u", "slot_key"], ranges, ["month_no"])
+    ranked = with_rank(leavers(slots, spec, first), "_rank", ["event_u", "slot_key"], ranges, ["month_no"])
     before = (F.col("month_no") - F.lit(1)).cast("bigint") * monthly_quota(slots, spec.attrition)
     return ranked.select(
         "slot_key", "month_no", (F.lit(FIRST_EMPLOYEE) + slots.count + before + F.col("_rank")).alias("emp_no")
@@ -187,3 +187,44 @@ def with_events(held: DataFrame, slots: Slots, spec: PanelSpec) -> DataFrame:
             "quarter_month"
         ),
     )
+
+
+def next_month(held: DataFrame, month: int, slots: Slots, spec: PanelSpec) -> DataFrame:
+    """The rows of :func:`with_events` for ``month`` from those of the month before, without looking further back.
+
+    One row per slot carries all that the past has left: the occupant, the months of the last events, the promotions.
+    A backfill starts anew; what happens to anyone in the month is drawn as in a full build.
+    """
+    only = replace(spec, months=month + 1)
+    quota = monthly_quota(slots, spec.job_changes)
+    limits = sample_limits(_monthly(slots, only, "change", month), quota, "event_u", "slot_key", ["month_no"], groups=1)
+    new = hires(slots, only, month).select("slot_key", F.col("emp_no").alias("_new"))
+    report_date = month_end(F.lit(spec.start), F.lit(month))
+    quarter = F.when(is_quarter_end(report_date), F.lit(month)).otherwise(F.col("last_quarter"))
+    hired = F.col("_new").isNotNull()
+    moved_on = held.drop("month_no", "report_date").join(new, "slot_key", "left").select(
+        "slot_key", "slot", F.lit(month).alias("month_no"), report_date.alias("report_date"), quarter.alias("last_quarter"),
+        F.when(hired, F.lit(month)).otherwise(F.col("hire_month")).alias("hire_month"),
+        F.when(hired, report_date).otherwise(F.col("hire_report_date")).alias("hire_report_date"),
+        F.coalesce("_new", "emp_no").alias("emp_no"),
+        F.when(hired, chance(draw("manager", "_new", seed=spec.seed), spec.backfill_managers)).otherwise(F.col("is_manager")).alias("is_manager"),
+        *[F.when(~hired, F.col(c)).alias(c) for c in ("title_month", "move_month", "raise_month")],
+        F.when(hired, F.lit(0)).otherwise(F.col("promotions")).alias("promotions"),
+    )
+    drawn = moved_on.withColumn("event_u", draw("change", "slot_key", "month_no", seed=spec.seed)).join(broadcast_within(limits, 1), "month_no", "left")
+    changed = in_sample("event_u", "slot_key", quota)
+
+    def happens(name: str, p: float) -> Column:
+        return chance(draw(name, "emp_no", "month_no", seed=spec.seed), p)
+
+    def latest(now: Column, column: str) -> Column:
+        return F.when(now, F.lit(month)).otherwise(F.col(column)).alias(column)
+
+    return drawn.select(
+        "slot_key", "slot", "month_no", "report_date", "last_quarter", "hire_month", "emp_no", "hire_report_date", "is_manager",
+        latest(changed, "title_month"),
+        latest(changed & happens("move", 0.3), "move_month"),
+        (F.col("promotions") + (changed & happens("promote", 0.3)).cast("bigint")).alias("promotions"),
+        latest(happens("raise", 0.03), "raise_month"),
+        F.when(F.col("last_quarter") >= F.greatest(F.lit(1), F.col("hire_month")), F.col("last_quarter")).alias("quarter_month"),
+    )

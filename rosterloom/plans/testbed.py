@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterloom.functions import pools
-from rosterloom.functions.dates import is_quarter_end, month_ends
+from rosterloom.functions.dates import is_quarter_end, month_end, month_ends
 from rosterloom.functions.draws import pick_draw, chance, draw, pick, uniform_decimal, uniform_int, weighted
 from rosterloom.functions.scores import half_even
 from rosterloom.functions.text import (
@@ -23,6 +24,7 @@ from rosterloom.functions.text import (
 from rosterloom.operators.lookups import weighted_lookup, with_ancestors
 from rosterloom.operators.ranking import even_bucket, greedy_cover, sample_exactly, with_rank
 from rosterloom.plans import export, snapshots
+from rosterloom.plans.append import append_month, start_panel
 from rosterloom.plans.attributes import Attributes
 from rosterloom.plans.leaders import agile_leaders, unit_leaders
 from rosterloom.plans.org import Organisation, agile_teams, build_organisation, org_tree
@@ -382,6 +384,21 @@ def panel_roundtrip(spark, sf_dir):
     )
 
 
+def appended_month(spark, sf_dir):
+    """The last two months of the panel, each made from the stored state of the month before."""
+
+    def build() -> str:
+        path, state = staging_path(spark, "grown"), staging_path(spark, "grown-state")
+        parts = slots(spark, sf_dir), organisation(spark, sf_dir)
+        start_panel(spark, *parts, replace(SPEC, months=SPEC.months - 2), path, state)
+        for month in (SPEC.months - 2, SPEC.months - 1):
+            append_month(spark, *parts, SPEC, month, path, state)
+        return path
+
+    rows = read_panel(spark, _once(spark, sf_dir, "grown", build))
+    return texts(rows.where(F.col("report_date") > month_end(F.lit(SPEC.start), F.lit(SPEC.months - 3))))
+
+
 def flat_export(spark, sf_dir):
     path = staging_path(spark, "flat")
     return export.export_flat(stored_panel(spark, sf_dir), path, n_members=SAMPLE, key=F.col("employee_id").cast("bigint"))
@@ -605,6 +622,7 @@ def it_share(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_panel": scan_panel,
     "panel_roundtrip": panel_roundtrip,
+    "appended_month": appended_month,
     "flat_export": flat_export,
     "panel_rows": panel_rows,
     "latest_snapshot": latest_members,
