@@ -116,3 +116,12 @@ def json_text(items: str) -> str:
         f"'[' || coalesce(array_to_string(list_transform({items}, "
         f"lambda ji: CASE WHEN ji IS NULL THEN 'null' ELSE to_json(ji)::VARCHAR END), ', '), '') || ']'"
     )
+
+
+def permutation_step(x: str, rows: str, columns: str, name: str, *keys) -> str:
+    """One pass of the keyed permutation over the cell ``x`` of a square with that many rows and columns."""
+    text = "fr * fc + fa"
+    for turn in (3, 2, 1):
+        text = _let("fr", f"(fr + {u(f'{name}/up', *keys, turn, 'fa')}) % fn", text)
+        text = _let("fa", f"(fa + {u(f'{name}/across', *keys, turn, 'fr')}) % fc", text)
+    return _let("fc", columns, _let("fn", rows, _let("fr", f"({x}) // ({columns})", _let("fa", f"({x}) % ({columns})", text))))

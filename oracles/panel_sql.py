@@ -7,10 +7,10 @@ from __future__ import annotations
 
 import re
 
-from oracles.hash_sql import chance, choose, json_text, pick, pick_place, shuffled, take, text_list, u, wide
+from oracles.hash_sql import chance, choose, json_text, permutation_step, pick, pick_place, shuffled, take, text_list, u, wide
 from rosterloom.functions import pools
 from rosterloom.functions.text import latin_word
-from rosterloom.plans.testbed import SAMPLE
+from rosterloom.plans.testbed import CHAIN, SAMPLE
 from rosterloom.sources.schema import ARRAY_COLUMNS, PANEL, PANEL_COLUMNS
 
 MONTHS = 6
@@ -521,6 +521,31 @@ def oracles() -> dict[str, str]:
     q["strip_keyword"] = "SELECT p_partkey, regexp_replace(p_name, '^(red|blue|hot|small) ', '') AS bare FROM part"
     q["last_token"] = "SELECT p_partkey, CASE WHEN p_size % 5 <> 0 THEN string_split(p_name, ' ')[-1] ELSE p_brand END AS tail FROM part"
     q["half_even"] = "SELECT l_orderkey, sum(round_even(l_quantity * 0.5::DOUBLE, 0))::BIGINT AS halves, sum(greatest(0, least(30, l_quantity::BIGINT - 5)))::BIGINT AS clamped FROM lineitem GROUP BY l_orderkey"
+    def pairs(rows: str, member: str) -> str:
+        """Every pair of periods by the plain set form."""
+        return f"""SELECT a.d AS first, b.d AS last, a.n AS at_start, b.n AS at_end, a.n - coalesce(s.n, 0) AS left_company, b.n - coalesce(s.n, 0) AS hired
+            FROM (SELECT d, count(DISTINCT {member}) AS n FROM {rows} GROUP BY d) a JOIN (SELECT d, count(DISTINCT {member}) AS n FROM {rows} GROUP BY d) b ON a.d < b.d
+            LEFT JOIN (SELECT x.d AS d1, y.d AS d2, count(*) AS n FROM (SELECT DISTINCT d, {member} AS e FROM {rows}) x JOIN (SELECT DISTINCT d, {member} AS e FROM {rows}) y
+                       ON x.e = y.e AND x.d < y.d GROUP BY ALL) s ON s.d1 = a.d AND s.d2 = b.d"""
+
+    q["turnover_pairs"] = pairs("roster", "emp")
+    q["orders_turnover_pairs"] = pairs(months, "o_custkey")
+    q["presence_counts"] = f"SELECT (SELECT count(*) FROM ({full}))::BIGINT AS n, (SELECT count(DISTINCT emp) FROM roster)::BIGINT AS ever"
+    q["deep_subtree_headcount"] = f"""
+        WITH RECURSIVE edge AS MATERIALIZED (SELECT c_custkey AS k, CASE WHEN c_custkey BETWEEN 2 AND {CHAIN} THEN c_custkey - 1
+                WHEN c_custkey > {CHAIN} THEN 1 + {u('below', 'c_custkey')} % (c_custkey - 1) END AS p FROM customer),
+        down AS (SELECT k, [k] AS path FROM edge WHERE p IS NULL UNION ALL SELECT e.k, list_append(d.path, e.k) FROM edge e JOIN down d ON e.p = d.k),
+        laid AS MATERIALIZED (SELECT k, path, len(path)::BIGINT AS depth, row_number() OVER (ORDER BY path) - 1 AS pos FROM down),
+        own AS (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY o_custkey),
+        sums AS (SELECT a AS k, count(*) AS units, coalesce(sum(n), 0)::BIGINT AS orders FROM (SELECT k, unnest(path) AS a FROM laid) LEFT JOIN own USING (k) GROUP BY a)
+        SELECT k AS c_custkey, pos AS first, pos + units - 1 AS last, depth, units, orders FROM laid JOIN sums USING (k)"""
+    cell = permutation_step("x", "nr", "nc", "parts", "o_orderkey")
+    q["part_picks"] = f"""
+        WITH RECURSIVE square AS MATERIALIZED (SELECT n, nr, (n + nr - 1) // nr AS nc FROM (SELECT n, ceil(sqrt(n))::BIGINT AS nr FROM (SELECT count(*) AS n FROM part))),
+        walk AS (SELECT o_orderkey, x AS nth, n, nr, nc, {cell} AS x FROM orders, square, range(5) r(x)
+                 UNION ALL SELECT o_orderkey, nth, n, nr, nc, {cell} AS x FROM walk WHERE x >= n),
+        numbered AS (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) - 1 AS ordinal FROM part)
+        SELECT o_orderkey, nth::INTEGER AS place, p_partkey FROM walk JOIN numbered ON x = ordinal WHERE x < n"""
     q["price_rank"] = """SELECT o_orderkey, cents, row_number() OVER (ORDER BY cents, o_orderkey) - 1 AS place
         FROM (SELECT o_orderkey, round(o_totalprice * 100)::BIGINT AS cents FROM orders)"""
     q["entity_history"] = panel_select(history, base="placed")

@@ -7,6 +7,7 @@ lost partition gives the same rows again.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Callable, Sequence
 
@@ -20,6 +21,9 @@ WIDE_BITS = 63
 PICK_BITS = 62
 PICK_RANGE = 1 << PICK_BITS
 DRAW_RANGE = 1 << DRAW_BITS
+FEISTEL_TURNS = 3
+#: Steps of a permutation outside its range, beyond which it is an error; of 4,096 numbers and fewer none walks so far.
+MOST_STEPS = 64
 
 
 def draw_tag(name: str, seed: int = DEFAULT_SEED) -> int:
@@ -128,7 +132,7 @@ def shuffle_marks(name: str, size: int, *keys: str | int, seed: int = DEFAULT_SE
     Select it as a column before :func:`first_items` reads it several times.
     """
     if size > 256:
-        raise ValueError("pools hold at most 256 items")
+        raise ValueError("pools hold at most 256 items; distinct_picks takes larger ones")
     marks = ", ".join(
         f"shiftrightunsigned({_hash_text(name, [*keys, i], seed)}, {64 - DRAW_BITS}) * 256 + {i}" for i in range(size)
     )
@@ -141,6 +145,44 @@ def first_items(marks: str, items: Column, k: Column) -> Column:
     return F.transform(taken, lambda mark: F.get(items, (mark % F.lit(256)).cast("int")))
 
 
+def _rounds(size: int) -> tuple[int, int]:
+    """Sides of the smallest near-square that holds ``size`` numbers."""
+    wide = max(1, math.isqrt(max(size, 1) - 1) + 1)
+    return wide, -(-size // wide)
+
+
+def permuted(place: Column, size: int, name: str, *keys: Key, seed: int = DEFAULT_SEED) -> Column:
+    """Where a keyed permutation of 0..size-1 sends ``place``, in constant time and space.
+
+    The place is a cell of a near-square; row and column are moved by a draw on the other one in turn (a Feistel network), which
+    can be undone and so is a permutation of the square.  Cells beyond ``size`` are sent on until one falls inside.
+    """
+    rows, columns = (F.lit(x).cast("bigint") for x in _rounds(size))
+
+    def turn(cell: Column, number: Column) -> Column:
+        across = F.pmod(cell["across"] + draw(f"{name}/across", *keys, number, cell["up"], seed=seed), columns)
+        return F.struct(F.pmod(cell["up"] + draw(f"{name}/up", *keys, number, across, seed=seed), rows).alias("up"), across.alias("across"))
+
+    def step(x: Column) -> Column:
+        cell = F.struct(F.floor(x / columns).cast("bigint").alias("up"), F.pmod(x, columns).alias("across"))
+        turns = F.sequence(F.lit(1).cast("bigint"), F.lit(FEISTEL_TURNS).cast("bigint"))
+        return F.aggregate(turns, cell, turn, lambda cell: cell["up"] * columns + cell["across"])
+
+    # A path through the cells outside is no longer than they are many, and almost never as long as MOST_STEPS.
+    outside = math.prod(_rounds(size)) - size
+    walk = F.slice(F.sequence(F.lit(1), F.lit(MOST_STEPS)), F.lit(1), F.lit(min(outside, MOST_STEPS)))
+    lost = F.raise_error(F.lit("permutation walk too long")).cast("bigint")
+    return F.aggregate(
+        walk, step(place.cast("bigint")), lambda x, _: F.when(x < size, x).otherwise(step(x)), lambda x: F.when(x < size, x).otherwise(lost)
+    )
+
+
+def distinct_picks(k: Column | int, size: int, name: str, *keys: Key, seed: int = DEFAULT_SEED) -> Column:
+    """Array of k distinct ordinals of 0..size-1 in random order, all of them if there are fewer; the pool is not laid out."""
+    k = F.lit(k) if isinstance(k, int) else k
+    return repeated(F.least(F.greatest(k, F.lit(0)), F.lit(size)), lambda i: permuted(i - F.lit(1), size, name, *keys, seed=seed))
+
+
 def repeated(n: Column, value: Callable[[Column], Column]) -> Column:
     """Array of n values, n from another column; n = 0 gives an empty array.  ``value`` gets the places 1..n."""
     places = F.sequence(F.lit(1).cast("bigint"), F.greatest(n, F.lit(1)).cast("bigint"))

@@ -16,13 +16,15 @@ from pyspark.sql import functions as F
 
 from rosterloom.functions import pools
 from rosterloom.functions.dates import is_quarter_end, month_end, month_ends
-from rosterloom.functions.draws import pick_draw, chance, draw, pick, uniform_decimal, uniform_int, weighted
+from rosterloom.functions.draws import pick_draw, chance, distinct_picks, draw, pick, uniform_decimal, uniform_int, weighted
 from rosterloom.functions.scores import half_even
 from rosterloom.functions.text import (
     by_key, contains_pattern, json_array, json_first, last_token, prefix_before, strip_leading_word,
 )
 from rosterloom.operators.lookups import weighted_lookup, with_ancestors
+from rosterloom.operators.presence import always_there, presence_bitmaps, turnover_of_all_pairs
 from rosterloom.operators.ranking import even_bucket, greedy_cover, sample_exactly, with_rank
+from rosterloom.operators.trees import tour
 from rosterloom.plans import export, snapshots
 from rosterloom.plans.append import append_month, start_panel
 from rosterloom.plans.attributes import Attributes
@@ -331,6 +333,19 @@ def subtree_headcount(spark, sf_dir):
     return with_ancestors(rows, "unit_id_tree", "uid").groupBy("report_date", "uid").agg(F.count(F.lit(1)).alias("headcount"))
 
 
+CHAIN = 1000
+
+
+def deep_subtree_headcount(spark, sf_dir):
+    """Orders under every customer of a deep tree: a chain of the first ones, the others hung below earlier ones by draw."""
+    key = F.col("c_custkey")
+    parent = F.when(key.between(2, CHAIN), key - 1).when(key > CHAIN, F.lit(1) + draw("below", "c_custkey") % (key - 1))
+    orders = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("orders"))
+    nodes = table(spark, sf_dir, "customer").select("c_custkey", parent.alias("parent")).join(orders, "c_custkey", "left")
+    found = tour(nodes, ["orders"], "c_custkey", "parent")
+    return found.select(F.col("node").alias("c_custkey"), "first", "last", "depth", F.col("size").alias("units"), "orders")
+
+
 def _managers(spark, sf_dir):
     s = slots(spark, sf_dir)
     held = with_events(roster(spark, s, SPEC), s, SPEC)
@@ -431,6 +446,15 @@ def flat_top_groups(spark, sf_dir):
     return snapshots.top_groups(flat_table(spark, sf_dir))
 
 
+def part_picks(spark, sf_dir):
+    """Five distinct parts for every order, out of all parts: ordinals of a keyed permutation, joined with the numbered parts."""
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("bigint").alias("p_partkey"))
+    numbered = with_rank(parts, "ordinal", ["p_partkey"], even_bucket(parts, "p_partkey"))
+    picks = distinct_picks(5, parts.count(), "parts", "o_orderkey")
+    chosen = table(spark, sf_dir, "orders").select("o_orderkey", F.posexplode(picks).alias("place", "ordinal"))
+    return chosen.join(numbered, "ordinal").select("o_orderkey", "place", "p_partkey")
+
+
 # -- samples -----------------------------------------------------------------------------
 
 
@@ -614,6 +638,29 @@ def point_lookup_layout(spark, sf_dir):
     return functools.reduce(DataFrame.unionByName, found)
 
 
+def panel_bitmaps(spark, sf_dir):
+    """The members of every month as stored bitmaps."""
+
+    def build() -> str:
+        path = staging_path(spark, "presence")
+        presence_bitmaps(stored_panel(spark, sf_dir), "employee_id", "report_date").write.parquet(path)
+        return path
+
+    return spark.read.parquet(_once(spark, sf_dir, "presence", build))
+
+
+def turnover_pairs(spark, sf_dir):
+    return turnover_of_all_pairs(panel_bitmaps(spark, sf_dir))
+
+
+def presence_counts(spark, sf_dir):
+    return always_there(panel_bitmaps(spark, sf_dir))
+
+
+def orders_turnover_pairs(spark, sf_dir):
+    return turnover_of_all_pairs(presence_bitmaps(monthly_orders(spark, sf_dir), "o_custkey", "report_date"))
+
+
 def it_share(spark, sf_dir):
     shares = snapshots.regex_share(stored_panel(spark, sf_dir))
     return shares.select(F.round("it_share", 9).alias("it_share"))
@@ -653,6 +700,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "entity_history": one_history,
     "entity_lookup": first_history,
     "point_lookup_layout": point_lookup_layout,
+    "turnover_pairs": turnover_pairs,
+    "orders_turnover_pairs": orders_turnover_pairs,
+    "presence_counts": presence_counts,
     "regex_share": it_share,
     "part_regex_share": part_name_share,
     "panel_roster": panel_roster,
@@ -679,10 +729,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "agile_assignment": agile_assignment,
     "weighted_assignment": weighted_assignment,
     "subtree_headcount": subtree_headcount,
+    "deep_subtree_headcount": deep_subtree_headcount,
     "unit_leaders": led_units,
     "agile_leaders": led_groups,
     "leader_columns": leader_columns,
     "random_peers": peers,
+    "part_picks": part_picks,
     "exact_k_sample": exact_k_sample,
     "entity_sample": entity_sample,
     "price_rank": price_rank,

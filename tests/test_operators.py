@@ -6,11 +6,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from rosterloom.functions.draws import draw, first_items, repeated, shuffle_marks
+from rosterloom.functions.draws import distinct_picks, draw, first_items, permuted, repeated, shuffle_marks
 from rosterloom.functions.scores import letter_score, shortfall
 from rosterloom.functions.text import contains_pattern, json_array, json_first, last_token, latin_word, prefix_before, strip_leading_word
 from rosterloom.operators.lookups import peer_ordinals, random_peers, weighted_lookup
 from rosterloom.operators import ranking, sides
+from rosterloom.operators.presence import always_there, presence_bitmaps, turnover_of_all_pairs
 from rosterloom.operators.ranking import draw_bucket, even_bucket, greedy_cover, sample_exactly, with_rank
 from rosterloom.operators.sides import dimension_lookup
 from rosterloom.operators.windows import chunk_no
@@ -312,3 +313,40 @@ def test_ranges_of_a_skewed_key_are_even(spark):
     df = spark.range(10_000_000).select(F.floor(F.exp(F.col("id") / 300_000.0)).alias("v"), "id").select((F.col("v") * 64 + F.col("id") % 64).alias("v"))
     n, most = df.groupBy(even_bucket(df, "v", 256).alias("b")).count().agg(F.count(F.lit(1)), F.max("count")).first()
     assert n == 256 and most <= 2 * 10_000_000 / 256
+
+
+# -- permutations and large pools, presence bitmaps -----------------------------------------------
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 4, 5, 10, 97, 100, 101, 1000])
+def test_permuted_is_a_permutation(spark, size):
+    df = spark.range(size).select(permuted(F.col("id"), size, "p", F.lit(3)).alias("a"), permuted(F.col("id"), size, "p", F.lit(4)).alias("b"))
+    rows = df.collect()
+    assert sorted(r.a for r in rows) == sorted(r.b for r in rows) == list(range(size))
+    assert size < 90 or [r.a for r in rows] != [r.b for r in rows]
+
+
+def test_picks_of_a_million(spark):
+    """k distinct ordinals out of 10^6 for each of 2,000 keys; all places are about equally likely."""
+    df = spark.range(2000).select(distinct_picks(20, 1_000_000, "m", "id").alias("x"))
+    rows = [r.x for r in df.collect()]
+    assert all(len(set(x)) == 20 and 0 <= min(x) and max(x) < 1_000_000 for x in rows)
+    tenths = [0] * 10
+    for x in rows:
+        for v in x:
+            tenths[v // 100_000] += 1
+    assert all(abs(n - 4000) < 5 * 60 for n in tenths) and len({tuple(x) for x in rows}) == 2000
+    few = spark.range(3).select(distinct_picks(F.col("id") * 4, 5, "m", "id").alias("x")).collect()
+    assert [sorted(r.x) for r in few][::2] == [[], [0, 1, 2, 3, 4]] and len(set(few[1].x)) == 4
+
+
+def test_presence_bitmaps(spark):
+    r = random.Random(6)
+    rows = [(r.choice([None, 0, 1, 32_767, 32_768, 40_000, 10**7, 10**7 + 5]), r.choice([None, 1, 2, 3])) for _ in range(60)] + [(1, 9)]
+    bitmaps = presence_bitmaps(spark.createDataFrame(rows, "member bigint, period int"), "member", "period")
+    held = {p: {m for m, q in rows if q == p and m is not None} for p in (1, 2, 3, 9)}
+    expected = {(a, b, len(held[a]), len(held[b]), len(held[a] - held[b]), len(held[b] - held[a])) for a in held for b in held if a < b}
+    assert {tuple(x) for x in turnover_of_all_pairs(bitmaps).collect()} == expected
+    assert tuple(always_there(bitmaps).first()) == (len(held[1] & held[2] & held[3] & held[9]), len(held[1] | held[2] | held[3] | held[9]))
+    none = bitmaps.limit(0)
+    assert turnover_of_all_pairs(none).count() == 0 and tuple(always_there(none).first()) == (0, 0)
