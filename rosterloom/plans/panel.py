@@ -13,7 +13,7 @@ from rosterloom.operators.sides import dimension_lookup, spread
 from rosterloom.plans.attributes import Attributes
 from rosterloom.plans.leaders import leader_or_none, leaf_leaders
 from rosterloom.plans.org import Organisation, build_organisation, default_blocks
-from rosterloom.plans.roster import PanelSpec, Slots, numbered_slots, roster, with_events
+from rosterloom.plans.roster import PanelSpec, Slots, hire_rows, numbered_slots, roster, with_events
 from rosterloom.sources.schema import PANEL, PANEL_COLUMNS
 from rosterloom.sources.staging import materialize
 
@@ -30,6 +30,7 @@ HIRE_UNIT_COLUMNS = {"all_skills", "lang_with_level", "all_goals_desc", "achieve
 EVENT_COLUMNS = {
     "grade_num", "date_since_salary_change_last", "fp_res", "fp_comp", "mean_value_completion",
 } | UNIT_COLUMNS
+QUARTER_COLUMNS = {"fp_res", "fp_comp", "mean_value_completion"}
 PEER_COLUMNS = {"all_succesors"}
 
 
@@ -71,6 +72,16 @@ def panel(
     return panel_of(rows, slots, org, spec, columns, extra)
 
 
+def panel_at_hire(
+    spark: SparkSession, slots: Slots, org: Organisation, spec: PanelSpec = PanelSpec(), columns: Sequence[str] = tuple(PANEL_COLUMNS)
+) -> DataFrame:
+    """One row per employee ever hired: the panel's row of the month of hire.  Peers are not known here, nor leaders."""
+    if set(columns) & (LEADER_COLUMNS | PEER_COLUMNS):
+        raise ValueError("leaders and peers need the whole roster of a month")
+    events = bool(set(columns) & (EVENT_COLUMNS - QUARTER_COLUMNS))
+    return panel_of(hire_rows(spark, slots, spec, events), slots, org, spec, columns)
+
+
 def panel_of(
     rows: DataFrame, slots: Slots, org: Organisation, spec: PanelSpec, columns: Sequence[str] = tuple(PANEL_COLUMNS), extra: Sequence[str] = ()
 ) -> DataFrame:

@@ -152,6 +152,28 @@ def roster(spark: SparkSession, slots: Slots, spec: PanelSpec) -> DataFrame:
     )
 
 
+def hire_rows(spark: SparkSession, slots: Slots, spec: PanelSpec, events: bool = True) -> DataFrame:
+    """The rows of :func:`with_events` in each employee's month of hire, one per employee.
+
+    The first population and the backfills are put side by side; no other month is laid out.  Without
+    ``events`` only the quarter is known, and months of other events are NULL.
+    """
+    first = slots.ranked.select("slot_key", "slot", F.lit(0).alias("month_no"), (F.lit(FIRST_EMPLOYEE).cast("bigint") + F.col("slot")).alias("emp_no"))
+    later = hires(slots, spec).join(slots.ranked, "slot_key").select("slot_key", "slot", "month_no", "emp_no")
+    spine = broadcast_within(month_spine(spark, spec), spec.months)
+    u = draw("manager", "emp_no", seed=spec.seed)
+    rows = first.unionByName(later).join(spine, "month_no").select(
+        "slot_key", "slot", "month_no", "report_date", "last_quarter", F.col("month_no").alias("hire_month"), "emp_no",
+        F.when(F.col("month_no") == 0, chance(u, spec.managers)).otherwise(chance(u, spec.backfill_managers)).alias("is_manager"),
+        F.col("report_date").alias("hire_report_date"),
+    )
+    quarter = F.when(F.col("last_quarter") >= F.greatest(F.lit(1), F.col("hire_month")), F.col("last_quarter")).alias("quarter_month")
+    if events:
+        return with_events(rows, slots, spec)
+    none = F.lit(None).cast("int")
+    return rows.select("*", *[none.alias(c) for c in ("title_month", "move_month", "raise_month")], F.lit(0).cast("bigint").alias("promotions"), quarter)
+
+
 OCCUPANT = ["slot_key", "hire_month", "emp_no", "hire_report_date", "is_manager"]
 
 

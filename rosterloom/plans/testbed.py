@@ -30,10 +30,10 @@ from rosterloom.plans.append import append_month, start_panel
 from rosterloom.plans.attributes import Attributes
 from rosterloom.plans.leaders import agile_leaders, unit_leaders
 from rosterloom.plans.org import Organisation, agile_teams, build_organisation, org_tree
-from rosterloom.plans.panel import panel, place
+from rosterloom.plans.panel import panel, panel_at_hire, place
 from rosterloom.plans.roster import PanelSpec, Slots, leavers, roster, slots_from_keys, with_events
 from rosterloom.sources.access_paths import read_by_member, rows_of_member, write_by_member, write_clustered
-from rosterloom.sources.panel_io import read_panel, write_panel
+from rosterloom.sources.panel_io import files_for, read_panel, write_panel
 from rosterloom.sources.schema import PANEL, PANEL_COLUMNS
 from rosterloom.sources.staging import materialize, staging_path
 
@@ -143,8 +143,7 @@ def texts(df: DataFrame) -> DataFrame:
 
 def at_hire(spark: SparkSession, sf_dir: str, columns) -> DataFrame:
     """One row per employee: the month of hire."""
-    rows = live_panel(spark, sf_dir, ["employee_id", *columns], extra=("month_no", "hire_month"))
-    return texts(rows.where(F.col("month_no") == F.col("hire_month")).select("employee_id", *columns))
+    return texts(panel_at_hire(spark, slots(spark, sf_dir), organisation(spark, sf_dir), SPEC, ["employee_id", *columns]))
 
 
 # -- the roster and its events --------------------------------------------------
@@ -388,10 +387,11 @@ def scan_panel(spark, sf_dir):
 
 
 def panel_roundtrip(spark, sf_dir):
-    """Writes the panel with its rows gathered by period and reads it back."""
+    """Writes the panel in pieces of a given number of rows and reads it back."""
+    s = slots(spark, sf_dir)
     rows = live_panel(spark, sf_dir, PANEL_COLUMNS)
     path = staging_path(spark, "roundtrip")
-    write_panel(rows, path, files_per_period=2)
+    write_panel(rows, path, files_per_period=files_for(s.keys.count()))
     return read_panel(spark, path).groupBy("report_date").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("employee_id").alias("members"),
         F.sum(F.size("all_skills")).alias("skills"), F.sum("grade_num").alias("grades"),

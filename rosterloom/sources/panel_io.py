@@ -9,6 +9,10 @@ from pyspark.sql import types as T
 from rosterloom.sources.schema import MEMBER, PANEL, PERIOD
 
 
+#: About 250 MB of Parquet in rows of 54 columns.
+ROWS_PER_FILE = 1_000_000
+
+
 def read_panel(spark: SparkSession, path: str, schema: T.StructType = PANEL) -> DataFrame:
     """Parquet scan under the declared schema and column order; nothing is inferred."""
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
@@ -28,6 +32,11 @@ def laid_out(
     return df.sortWithinPartitions(PERIOD, *sort_by)
 
 
+def files_for(rows: int, rows_per_file: int = ROWS_PER_FILE) -> int:
+    """Files that a period of ``rows`` rows is cut into, whatever the number of tasks or periods."""
+    return max(1, -(-rows // rows_per_file))
+
+
 def write_panel(df: DataFrame, path: str, mode: str = "overwrite", files_per_period: int | None = None) -> None:
     """Snappy Parquet, one folder per period.
 
