@@ -8,7 +8,9 @@ Two characters that stand beside each other in no piece are never joined, so tex
 characters (see :class:`PieceAgenda`), and each distinct stretch of a batch is worked through once.  The stretches
 are short (a word with the blanks before it), a cache of them is bounded, and a text is never cut off.
 
-Every batch of results may be compared with ``sentencepiece`` itself, whole texts, both ways.
+Every batch is compared with ``sentencepiece`` itself, both ways: the stretches that are new in it (``check="stretches"``; they
+are joined with characters that no piece joins to anything, so the library sees each as it stands in a text), or
+all whole texts (``check="texts"``), which about doubles the time.
 
 Defined results: a null or empty text has no ids and decodes to the empty text; the character U+2581 is the same as
 a blank; repeated rows are encoded like any others; the column ``pieces`` replaces one of that name, others stay.
@@ -33,6 +35,7 @@ CACHED_TOKENS = 1 << 22
 CHUNK_BYTES = 4 << 20
 #: Texts that the library is given at a time.
 CHECKED_TEXTS = 64
+CHECKED_STRETCHES = 4096
 #: Kinds of pieces in a model file (fixed values of the file format).
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -52,8 +55,8 @@ def gathered(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.nda
 class PieceAgenda:
     """Ids of texts and texts of ids under one model file."""
 
-    def __init__(self, path: str):
-        from sentencepiece import sentencepiece_model_pb2
+    def __init__(self, path: str, check: bool = False):
+        from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
 
         model = sentencepiece_model_pb2.ModelProto()
         with open(path, "rb") as file:
@@ -86,12 +89,33 @@ class PieceAgenda:
         for piece in self.scores:
             own = np.frombuffer(piece.replace(BLANK, " ").encode(), np.uint8)
             self.joins[own[:-1], own[1:]] = True
+        self.library = SentencePieceProcessor(model_file=path) if check else None
+        lone = [i for i in range(128) if not self.joins[i, :0x80].any() and not self.joins[:, i].any() and not self.joins[i, 0xC0:].any()]
+        self.gap = bytes(lone[:1])
+        if check and not lone:
+            raise ValueError("every character stands beside another one in some piece")
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.flat, self.filled = np.zeros(1 << 16, np.int32), 0
         self.starts, self.counts = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.wrong = np.zeros(0, bool)
+
+    def _compare(self, stretches: list[bytes], ids: list[list[int]]) -> list[bool]:
+        """Whether the library gives other ids, or another text of them, for each of the stretches."""
+        def differ(some: list[bytes], own: list[list[int]]) -> bool:
+            gap = self.stretch_ids(self.gap)
+            expected = [*self.stretch_ids(b" "), *(i for x in own for i in (*gap, *x))]
+            theirs = self.library.encode((self.gap + self.gap.join(some)).decode(), add_bos=False, add_eos=False, enable_sampling=False)
+            shown = self.decode(np.array(theirs, np.int64), np.array([0, len(theirs)]))[0].as_py()
+            return theirs != expected or self.library.decode(theirs) != shown
+
+        out: list[bool] = []
+        for k in range(0, len(stretches), CHECKED_STRETCHES):
+            some, own = stretches[k : k + CHECKED_STRETCHES], ids[k : k + CHECKED_STRETCHES]
+            out += [differ([s], [x]) for s, x in zip(some, own)] if differ(some, own) else [False] * len(some)
+        return out
 
     def pieces(self, stretch: str) -> list[str]:
         """The symbols of ``stretch`` (blanks as U+2581) once no pair on the agenda is left."""
@@ -141,8 +165,10 @@ class PieceAgenda:
             new = stretches
         while len(self.known) + len(new) > len(self.starts):
             self.starts, self.counts = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.counts))
-        for s in new:
-            own, k = self.stretch_ids(s), len(self.known)
+        found = [self.stretch_ids(s) for s in new]
+        self.wrong = np.concatenate([self.wrong, np.array(self._compare(new, found) if self.library else [False] * len(new), bool)])
+        for s, own in zip(new, found):
+            k = len(self.known)
             while self.filled + len(own) > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
             self.flat[self.filled : self.filled + len(own)] = own
@@ -161,9 +187,13 @@ class PieceAgenda:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets of each text in them)."""
+        return self.encode_checked(texts)[:2]
+
+    def encode_checked(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same, and whether the library agrees on all stretches of each text (true where nothing is checked)."""
         texts = pc.replace_substring(plain(texts), BLANK, " ")
         texts = pc.if_else(pc.equal(pc.binary_length(texts), 0), texts, pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), texts, pa.scalar("", pa.large_string())))
-        ids, upto, done = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], 0
+        ids, upto, agrees, done = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], [np.zeros(0, bool)], 0
         for chunk in chunks(texts, CHUNK_BYTES):
             data, offsets = chunk.data, chunk.offsets
             bounds = np.flatnonzero(self.cuts(data, offsets)) if len(data) else np.zeros(1, np.int64)
@@ -173,10 +203,12 @@ class PieceAgenda:
             numbers = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
             counts = self.counts[numbers]
             ids.append(gathered(self.flat, self.starts[numbers], counts))
-            ends = np.concatenate(([0], np.cumsum(counts)))[np.searchsorted(bounds, offsets)]
+            first = np.searchsorted(bounds, offsets)
+            ends = np.concatenate(([0], np.cumsum(counts)))[first]
             upto.append(done + ends[1:])
+            agrees.append(np.diff(np.concatenate(([0], np.cumsum(self.wrong[numbers])))[first]) == 0)
             done += int(ends[-1])
-        return np.concatenate(ids), np.concatenate(upto)
+        return np.concatenate(ids), np.concatenate(upto), np.concatenate(agrees)
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
         """The text of each run of ids, as the library's decode() gives it."""
@@ -234,15 +266,15 @@ def replaced(run: bytes) -> str:
     return "".join(out)
 
 
-_made: dict[str, PieceAgenda] = {}
+_made: dict[tuple[str, bool], PieceAgenda] = {}
 _libraries: dict[str, object] = {}
 
 
-def agenda_of(path: str) -> PieceAgenda:
+def agenda_of(path: str, check: bool = False) -> PieceAgenda:
     """The model, read once per Python worker."""
-    if path not in _made:
-        _made[path] = PieceAgenda(path)
-    return _made[path]
+    if (path, check) not in _made:
+        _made[path, check] = PieceAgenda(path, check)
+    return _made[path, check]
 
 
 def library_agrees(path: str, texts: pa.Array, ids: np.ndarray, offsets: np.ndarray, decoded: pa.Array) -> pa.Array:
@@ -262,15 +294,19 @@ def library_agrees(path: str, texts: pa.Array, ids: np.ndarray, offsets: np.ndar
     return pa.array(same, pa.bool_())
 
 
-def encode_texts(docs: DataFrame, text: str = "text", path: str | None = None, check: bool = True) -> DataFrame:
+def encode_texts(docs: DataFrame, text: str = "text", path: str | None = None, check: str | None = "stretches") -> DataFrame:
     """Adds ``pieces``: a struct of ids, the decoded text and, with ``check``, whether the library agrees (else null)."""
+    if check not in (None, "stretches", "texts"):
+        raise ValueError("check is stretches, texts or None")
     path = path or model_path()
 
     def run(texts: pa.Array) -> pa.Array:
-        model = agenda_of(path)
-        ids, offsets = model.encode(texts)
+        model = agenda_of(path, check == "stretches")
+        ids, offsets, same = model.encode_checked(texts)
         decoded = model.decode(ids, offsets)
-        agrees = library_agrees(path, texts, ids, offsets, decoded) if check else pa.nulls(len(texts), pa.bool_())
+        agrees = pa.array(same) if check == "stretches" else pa.nulls(len(texts), pa.bool_())
+        if check == "texts":
+            agrees = library_agrees(path, texts, ids, offsets, decoded)
         lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
         return pa.StructArray.from_arrays([lists, decoded, agrees], ["ids", "decoded", "agrees"])
 
@@ -293,7 +329,7 @@ def decode_ids(ids: Column | str, path: str | None = None) -> Column:
 
 
 def op11_sentencepiece(spark, sf_dir: str) -> DataFrame:
-    """Ids and decoded texts of all documents, each compared with the library."""
+    """Ids and decoded texts of all documents; every stretch is compared with the library."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     coded = encode_texts(docs)
     return coded.select(

@@ -50,6 +50,16 @@ def test_agenda_survives_a_full_cache(library, monkeypatch):
     assert len(model.known) <= 200
 
 
+def test_check_of_stretches_finds_what_differs(monkeypatch):
+    """One stretch with a wrong id: only the texts that hold it disagree."""
+    model = sentencepieces.PieceAgenda(sentencepieces.model_path(), check=True)
+    right = model.stretch_ids
+    monkeypatch.setattr(model, "stretch_ids", lambda s: [5, 6] if s == b" wrong" else right(s))
+    texts = ["all is well", "this is wrong", None, "well", "wrong", "wrongly so", *noise(50, 9)]
+    assert model.encode_checked(pa.array(texts))[2].tolist() == [t is None or "wrong" not in t.split(" ") for t in texts]
+    assert model.encode_checked(pa.array(texts[:3]))[2].tolist() == [True, False, True]
+
+
 def test_decode_of_any_ids(library):
     """Control ids, unknown ids, byte pieces that make no character, blanks at the start."""
     model, r = sentencepieces.agenda_of(sentencepieces.model_path()), random.Random(3)
@@ -70,8 +80,10 @@ def test_encode_texts_on_a_table(spark, library):
         assert row.pieces.agrees and row.pieces.ids == library.encode(texts[row.doc_id] or "")
         assert row.pieces.decoded == row.again == library.decode(row.pieces.ids)
     assert sentencepieces.encode_texts(docs.limit(0)).count() == 0
-    unchecked = sentencepieces.encode_texts(docs, check=False).select("pieces.agrees").distinct().collect()
-    assert [r.agrees for r in unchecked] == [None]
+    for check, agrees in ((None, None), ("texts", True)):
+        assert [r.agrees for r in sentencepieces.encode_texts(docs, check=check).select("pieces.agrees").distinct().collect()] == [agrees]
+    with pytest.raises(ValueError):
+        sentencepieces.encode_texts(docs, check="some")
     lists = spark.createDataFrame([(None,), ([],), ([None, 306],)], "ids array<int>")
     assert [r.t for r in lists.select(sentencepieces.decode_ids("ids").alias("t")).collect()] == [None, "", library.decode([306])]
 
