@@ -4,14 +4,16 @@ An ARC file begins with a version block that names the fields of its record head
 field is the declared length of what follows.  Version 1 has five fields, version 2 ten.  The converter reads header
 lines by their version, takes exactly the declared bytes, and writes WARC records with the
 identifiers, timestamps, types and digests that ARC lacks.  A payload that another record holds too is
-stored once; the others become revisit records that point to it.
+stored once; the others become revisit records that point to it.  Records are bytes throughout: pages in any
+encoding, images, and records that are no HTTP response (name look-ups and the like), which become resource records.
 
 Files are written and read by Spark's own sources, so they may lie in any store: a task packs
 records into rows of about ``ARCHIVE_BYTES``, each row becomes one gzip file.  No payload is collected, and only
 compressed archives, joined with the short list of their revisits, are shuffled.
 
 Defined results: a null html is an empty payload; null urls get a placeholder; of equal payloads the record with the
-largest page id is the response, a null id ranking lowest, and of tied ids the one later in the archives.
+largest page id is the response, a null id ranking lowest, and of tied ids the one later in the archives.  Ids of any
+text come back as they were.  Header bytes that are no UTF-8 are percent-encoded.  Columns other than id, url and html are not carried along.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -60,18 +63,34 @@ def one_line(value: str | None) -> str:
     return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m.group()):02X}", value)
 
 
+def header_text(raw: bytes) -> str:
+    """A header line as text; where it is no UTF-8, all its bytes beyond ASCII are percent-encoded."""
+    try:
+        return raw.decode()
+    except UnicodeDecodeError:
+        return re.sub(rb"[\x80-\xff]", lambda m: b"%%%02X" % m.group()[0], raw).decode()
+
+
 def http_block(page_id: str | None, payload: bytes) -> bytes:
-    head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\nX-Page-Id: {page_id or ''}\r\n\r\n"
-    return head.encode() + payload
+    own = "" if page_id is None else f"X-Page-Id: {quote(page_id, safe='')}\r\n"
+    return f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n{own}\r\n".encode() + payload
 
 
-def split_http(block: bytes) -> tuple[dict[str, str], bytes]:
-    """(header fields in lower case, payload) of an HTTP response."""
-    head, _, payload = block.partition(b"\r\n\r\n")
-    pairs = (line.partition(":") for line in head.decode("utf-8", "replace").split("\r\n")[1:])
+def split_http(block: bytes) -> tuple[dict[str, str] | None, bytes]:
+    """(header fields in lower case, payload) of an HTTP response; (None, block) of anything else."""
+    if not block.startswith(b"HTTP/"):
+        return None, block
+    end = re.search(rb"\r?\n\r?\n", block)
+    head, payload = (block[: end.start()], block[end.end() :]) if end else (block, b"")
+    pairs = (header_text(line).partition(":") for line in re.split(rb"\r?\n", head)[1:])
     return {name.strip().lower(): value.strip() for name, _, value in pairs}, payload
 
 
+def page_of(fields: dict[str, str] | None, name: str = "x-page-id") -> str | None:
+    value = (fields or {}).get(name)
+    return None if value is None else unquote(value)
+
+
 def arc_header(version: int, url: str, date: str, mime: str, length: int, payload: bytes = b"") -> bytes:
     if version == 1:
         return f"{url} 0.0.0.0 {date} {mime} {length}\n".encode()
@@ -98,14 +117,14 @@ def parse_arc(data: bytes) -> Iterator[ArcRecord]:
             raise ValueError(f"damaged ARC record at byte {at}")
         block = data[end + 1 : end + 1 + int(length)]
         if line.startswith(b"filedesc://"):
-            first, names = block.decode().split("\n")[:2]
+            first, names = block.decode("latin-1").split("\n")[:2]
             version, fields = int(first.split(" ")[0]), names.split(" ")
             if version not in ARC_FIELDS:
                 raise ValueError(f"unknown ARC version {version}")
         else:
             if fields is None:
                 raise ValueError("an ARC file begins with its version block")
-            values = line.decode().rsplit(" ", len(fields) - 1)  # only the URL can hold blanks
+            values = header_text(line).rsplit(" ", len(fields) - 1)  # only the URL can hold blanks
             if len(values) != len(fields):
                 raise ValueError(f"damaged ARC header at byte {at}")
             yield ArcRecord(at, version, dict(zip(fields, values)), block)
@@ -140,6 +159,12 @@ def digest_label(raw: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(raw).digest()).decode()
 
 
+def bare_digest(label: str | None) -> str | None:
+    """The SHA-1 of a digest header in lower-case hex; null for other digests."""
+    value = (label or "").removeprefix("sha1:")
+    return base64.b32decode(value).hex() if re.fullmatch("[A-Z2-7]{32}", value) else value.lower() if re.fullmatch("[0-9A-Fa-f]{40}", value) else None
+
+
 def warc_record(fields: dict[str, str], block: bytes) -> bytes:
     lines = [WARC_VERSION, *(f"{k}: {v}" for k, v in fields.items()), f"Content-Length: {len(block)}"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block
@@ -152,7 +177,7 @@ def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         if data[at : at + 5] != b"WARC/":
             raise ValueError(f"damaged WARC record at byte {at}")
         end = data.index(b"\r\n\r\n", at)
-        pairs = (line.partition(":") for line in data[at:end].decode().split("\r\n")[1:])
+        pairs = (header_text(line).partition(":") for line in data[at:end].split(b"\r\n")[1:])
         fields = {name.strip().lower(): value.strip() for name, _, value in pairs}
         length = int(fields["content-length"])
         yield fields, data[end + 4 : end + 4 + length]
@@ -162,13 +187,13 @@ def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at += 4
 
 
-def _as_text(contents: list[bytes]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(contents, pa.binary()).cast(pa.string())], ["value"])
+def _as_row(content: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], ["value"])
 
 
 def _write_files(rows: DataFrame, path: str, separator: str) -> None:
-    """One gzip file per row, closed by the separator that ends the last record."""
-    rows.write.option("maxRecordsPerFile", 1).option("compression", "gzip").option("lineSep", separator).text(path)
+    """One gzip file per row, closed by the separator that ends the last record; Spark's text sink writes any bytes as they are."""
+    rows.select(F.col("value").cast("string")).write.option("maxRecordsPerFile", 1).option("compression", "gzip").option("lineSep", separator).text(path)
 
 
 def _read_files(spark: SparkSession, path: str) -> DataFrame:
@@ -188,16 +213,16 @@ def write_arc(pages: DataFrame, path: str, page_id: str = "page_id", url: str =
                 parts.append(arc_header(version, one_line(urls[k]), ARCHIVE_DATE, "text/html", len(block), payload) + block)
                 size += len(parts[-1])
                 if size >= archive_bytes:
-                    yield _as_text([b"\n".join([arc_version_block(version), *parts])])
+                    yield _as_row(b"\n".join([arc_version_block(version), *parts]))
                     version, parts, size = 3 - version, [], 0
         if parts:
-            yield _as_text([b"\n".join([arc_version_block(version), *parts])])
+            yield _as_row(b"\n".join([arc_version_block(version), *parts]))
 
-    _write_files(pages.select(F.col(page_id).cast("string"), url, html).mapInArrow(pack, "value string"), path, "\n")
+    _write_files(pages.select(F.col(page_id).cast("string"), url, html).mapInArrow(pack, "value binary"), path, "\n")
 
 
 def read_arc(spark: SparkSession, path: str) -> DataFrame:
-    """A row per ARC record, without its payload: archive, offset, version, url, date, mime, page_id, payload_bytes, payload_digest."""
+    """A row per ARC record, without its payload: archive, offset, version, url, date, mime, page_id, payload_bytes, payload_digest, http."""
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,28 +233,28 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
                     rows.append(
                         {
                             "archive": archive, "offset": r.offset, "version": r.version, "url": r.fields["URL"], "date": r.fields["Archive-date"],
-                            "mime": r.fields["Content-type"], "page_id": http.get("x-page-id") or None, "payload_bytes": len(payload),
-                            "payload_digest": hashlib.sha1(payload).hexdigest(),
+                            "mime": r.fields["Content-type"], "page_id": page_of(http), "payload_bytes": len(payload),
+                            "payload_digest": hashlib.sha1(payload).hexdigest(), "http": http is not None,
                         }
                     )
                 yield pa.RecordBatch.from_pylist(rows, _ARC_ROW)
 
     return _read_files(spark, path).mapInArrow(
-        parse, "archive string, offset bigint, version int, url string, date string, mime string, page_id string, payload_bytes bigint, payload_digest string"
+        parse, "archive string, offset bigint, version int, url string, date string, mime string, page_id string, payload_bytes bigint, payload_digest string, http boolean"
     )
 
 
 _ARC_ROW = pa.schema(
     [
         ("archive", pa.string()), ("offset", pa.int64()), ("version", pa.int32()), ("url", pa.string()), ("date", pa.string()),
-        ("mime", pa.string()), ("page_id", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
+        ("mime", pa.string()), ("page_id", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("http", pa.bool_()),
     ]
 )
 
 
 def revisits(records: DataFrame, id_type: str, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """(archive, offset, response) of the records whose payload another record keeps."""
-    large = records.where(F.col("payload_bytes") >= min_bytes).select(
+    """(archive, offset, response) of the HTTP records whose payload another record keeps."""
+    large = records.where(F.col("http") & (F.col("payload_bytes") >= min_bytes)).select(
         "archive", "offset", F.struct(F.col("page_id").cast(id_type).alias("page"), "archive", "offset", "url", "date").alias("own"), "payload_digest"
     )
     groups = large.groupBy("payload_digest").agg(F.max("own").alias("response"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -258,9 +283,10 @@ def write_warc(spark: SparkSession, arc_path: str, path: str, found: DataFrame)
                 ]
                 for r in parse_arc(unzipped(content.as_py())):
                     http, payload = split_http(r.block)
+                    kind, content_type = ("resource", r.fields["Content-type"]) if http is None else ("response", "application/http; msgtype=response")
                     fields = {
-                        "WARC-Type": "response", "WARC-Record-ID": record_id(archive, r.offset), "WARC-Date": iso_date(r.fields["Archive-date"]),
-                        "WARC-Target-URI": r.fields["URL"], "Content-Type": "application/http; msgtype=response", "WARC-Payload-Digest": digest_label(payload),
+                        "WARC-Type": kind, "WARC-Record-ID": record_id(archive, r.offset), "WARC-Date": iso_date(r.fields["Archive-date"]),
+                        "WARC-Target-URI": r.fields["URL"], "Content-Type": content_type, "WARC-Payload-Digest": digest_label(payload),
                     }
                     block = r.block
                     if target := targets.get(r.offset):
@@ -268,14 +294,16 @@ def write_warc(spark: SparkSession, arc_path: str, path: str, found: DataFrame)
                         fields |= {
                             "WARC-Type": "revisit", "WARC-Profile": REVISIT_PROFILE, "WARC-Refers-To": record_id(target["archive"], target["at"]),
                             "WARC-Refers-To-Target-URI": target["url"], "WARC-Refers-To-Date": iso_date(target["date"]),
-                            "X-Refers-To-Page-Id": target["page"] or "",
+                            "X-Payload-Length": str(len(payload)),
                         }
+                        if target["page"] is not None:
+                            fields["X-Refers-To-Page-Id"] = quote(target["page"], safe="")
                     fields["WARC-Block-Digest"] = digest_label(block)
                     out.append(warc_record(fields, block))
-                yield _as_text([b"\r\n\r\n".join(out)])
+                yield _as_row(b"\r\n\r\n".join(out))
 
     archives = _read_files(spark, arc_path).join(lists, "archive", "left")
-    _write_files(archives.select("archive", "content", "revisits").mapInArrow(convert, "value string"), path, "\r\n\r\n")
+    _write_files(archives.select("archive", "content", "revisits").mapInArrow(convert, "value binary"), path, "\r\n\r\n")
 
 
 _WARC_ROW = pa.schema(
@@ -287,7 +315,10 @@ _WARC_ROW = pa.schema(
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """A row per response or revisit record; the digests of blocks and stored payloads are checked."""
+    """A row per response, resource or revisit record; the digests that are given of blocks and stored payloads are checked.
+
+    The size of a revisited payload is null where the record does not tell it.
+    """
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -295,19 +326,20 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 rows = []
                 for fields, block in parse_warc(unzipped(content.as_py())):
                     kind = fields["warc-type"]
-                    if kind not in ("response", "revisit"):
+                    if kind not in ("response", "resource", "revisit"):
                         continue
                     http, payload = split_http(block)
-                    digest = fields["warc-payload-digest"]
-                    if digest_label(block) != fields["warc-block-digest"] or kind == "response" and digest_label(payload) != digest:
+                    told = fields.get("x-payload-length") or (http or {}).get("content-length") or ""
+                    stored = None if kind == "revisit" else digest_label(payload)
+                    digest = fields.get("warc-payload-digest", stored)
+                    if fields.get("warc-block-digest", "").startswith("sha1:") and digest_label(block) != fields["warc-block-digest"] or stored and digest.startswith("sha1:") and stored != digest:
                         raise ValueError(f"a digest does not fit in {fields['warc-record-id']}")
                     rows.append(
                         {
-                            "record_id": fields["warc-record-id"], "record_type": kind, "date": fields["warc-date"], "url": fields["warc-target-uri"],
-                            "page_id": http.get("x-page-id") or None,
-                            "payload_bytes": len(payload) if kind == "response" else int(http["content-length"]),
-                            "payload_digest": base64.b32decode(digest.removeprefix("sha1:")).hex(),
-                            "refers_to_id": fields.get("warc-refers-to"), "refers_to": fields.get("x-refers-to-page-id") or None,
+                            "record_id": fields["warc-record-id"], "record_type": kind, "date": fields["warc-date"], "url": fields.get("warc-target-uri"),
+                            "page_id": page_of(http), "payload_bytes": len(payload) if stored else int(told) if told.isdigit() else None,
+                            "payload_digest": bare_digest(stored or digest), "refers_to_id": fields.get("warc-refers-to"),
+                            "refers_to": page_of(fields, "x-refers-to-page-id"),
                         }
                     )
                 yield pa.RecordBatch.from_pylist(rows, _WARC_ROW)

@@ -29,12 +29,13 @@ KINDS = (*BASE_KINDS, "identifier", "secret", "endpoint")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")  # a shorter run never is a part of a longer one
+# A name may follow a prefix that ends in _ or -, as in GITHUB_CLIENT_ID or db-host.
 _IDENTIFIER = re.compile(
-    r"""\b(?:ASIA[A-Z0-9]{16}\b|(?:access_?key(?:_?id)?|client_?id|account_?id|user_?name|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@+-]{4,})""",
+    r"""(?<![A-Za-z0-9])(?:(?-i:ASIA[A-Z0-9]{16})(?![A-Za-z0-9])|(?:access_?key(?:_?id)?|client_?id|account_?id|user_?name|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@+-]{4,})""",
     re.ASCII | re.IGNORECASE,
 )
 _SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}+={0,2}(?![A-Za-z0-9+/_=-])")
-_ENDPOINT = re.compile(r"""\b[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]{4,}|\b(?:host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+(?::\d{2,5})?""", re.ASCII | re.IGNORECASE)
+_ENDPOINT = re.compile(r"""\b[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]{4,}|(?<![A-Za-z0-9])(?:host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+(?::\d{2,5})?""", re.ASCII | re.IGNORECASE)
 _BLANK_LINE = re.compile(r"\n[\x20\t\r]*\n")
 
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("partner", pa.int32())])
