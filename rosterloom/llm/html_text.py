@@ -1,13 +1,13 @@
 """Main text of web pages by two-pass block rules.
 
-A page is cut into blocks at block-level tags.  The first pass decides what it can: markup of menus, headers, footers,
-sidebars, notices, adverts, forms and comments makes a block bad; so does a high share of linked text; long blocks with
-a natural share of stop words are good.  What is short or unclear stays open.  In the second pass
-every open block inherits the label of its nearest decided neighbour of the same region.
+A page is cut into blocks at block-level tags.  The first pass gives a block points: for length, for a natural share of stop words
+(or against it, where a long block has next to none), against a high share of linked text, and for or against what its
+containers are called.  Enough points either way decide it; short and contradictory blocks stay open.  In the second pass
+every open block inherits the label of its nearest decided neighbour, good or bad, of the same region.
 
-A region is what one main container (article, main or the like) holds, or the rest of the page.  If a page has such
-containers with text, only they count, and what stays open between bad neighbours there is good: inside an
-article, only what looks like something else is left out.
+A region is what one main container (article, main or the like) holds, or the rest of the page.  If no block of a region is
+decided, its open blocks are judged together, by the same points, as if they were one.  If a page has main containers with
+good text, only they count.
 
 Defined results: a null page is empty, a page without blocks gives empty text; the whole page is read; broken
 markup (unclosed tags, cut ends) is read as far as it goes; attribute values of any length are no text and
@@ -28,6 +28,8 @@ SHORT = 70
 HIGH_STOP, LOW_STOP = 0.30, 0.15
 #: Most linked characters of a block: in an article, and elsewhere.
 LINKED, LINKED_OUTSIDE = 0.5, 0.3
+#: How much each feature counts; 0 leaves it out.
+WEIGHTS = {"length": 1, "stop": 1, "links": 1, "container": 1}
 
 # Words and names that the rules look for.
 STOP_WORDS = frozenset(
@@ -225,33 +227,52 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
+def points(size: int, stop: float, linked: float, region: int, bad: bool, listed: bool) -> int:
+    """What length, share of stop words, share of linked text and container say about a block."""
+    total = WEIGHTS["container"] * (-3 if bad else 1 if region else 0)
+    if linked > (LINKED if region else LINKED_OUTSIDE) and (listed or not region):
+        total += WEIGHTS["links"] * -3
+    if size >= SHORT:
+        total += WEIGHTS["length"]
+        total += WEIGHTS["stop"] * (1 if stop >= HIGH_STOP else -1 if stop < LOW_STOP else 0)
+    return total
+
+
+def _verdict(total: int) -> bool | None:
+    return True if total >= 2 else False if total <= -1 else None
+
+
+def _stop_share(text: str) -> float:
+    words = _WORD.findall(text.lower())
+    return sum(map(STOP_WORDS.__contains__, words)) / max(len(words), 1)
+
+
 def first_pass(block: Block) -> None:
-    """Decides a block by its markup, links, length and stop words, or leaves it open."""
+    """Decides a block by its points, or leaves it open."""
     size = len(block.text)
-    words = _WORD.findall(block.text.lower())
-    stop = sum(map(STOP_WORDS.__contains__, words)) / max(len(words), 1)
-    if block.bad or block.text.strip(" :").lower() in LABELS:
-        block.good = False
-    elif block.linked > (LINKED if block.region else LINKED_OUTSIDE) * size and (not block.region or block.tag in ("li", "td", "div", "ul", "")):
-        block.good = False
-    elif size >= SHORT and stop >= HIGH_STOP:
-        block.good = True
-    elif size >= SHORT and stop < LOW_STOP and not block.region:
-        block.good = False
+    listed = block.tag in ("li", "td", "div", "ul", "")
+    bad = block.bad or block.text.strip(" :").lower() in LABELS
+    block.good = _verdict(points(size, _stop_share(block.text), block.linked / max(size, 1), block.region, bad, listed))
 
 
 def second_pass(page: list[Block]) -> None:
     """Gives every open block the label of the nearest decided one of its region; ties are good."""
     by_region: dict[int, list[Block]] = {}
     for block in page:
-        if not (block.region and block.good is False):  # inside an article, what is left out says nothing about the rest
-            by_region.setdefault(block.region, []).append(block)
+        by_region.setdefault(block.region, []).append(block)
     for region, own in by_region.items():
         before: list[tuple[int, bool] | None] = []
         last = None
         for k, block in enumerate(own):
             last = (k, block.good) if block.good is not None else last
             before.append(last)
+        if last is None or region and not any(b.good for b in own):  # nothing speaks for any block alone
+            text = " ".join(b.text for b in own if b.good is None)
+            linked = sum(b.linked for b in own if b.good is None) / max(len(text), 1)
+            alike = points(len(text), _stop_share(text), linked, region, False, False) >= 1
+            for block in own:
+                block.good = alike if block.good is None else block.good
+            continue
         last = None
         for k in range(len(own) - 1, -1, -1):
             block = own[k]
@@ -259,7 +280,7 @@ def second_pass(page: list[Block]) -> None:
                 last = (k, block.good)
                 continue
             near = [(abs(k - at), not good) for at, good in filter(None, (before[k], last))]
-            block.good = not min(near)[1] if near else bool(region)
+            block.good = not min(near)[1]
 
 
 def main_text(page: str | None) -> str:

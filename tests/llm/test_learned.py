@@ -303,3 +303,71 @@ def test_pipeline_stages(spark, sf_dir, tmp_path):
         before = after
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
     assert {r.doc_id for r in pieces.collect()} == {r.doc_id for r in before}
+
+
+# -- 6: what decides a block ------------------------------------------------------------
+
+LONG = "the house by the river was old and it had been empty for so many years that no one in the town would go there"
+BARE = "granite basalt quartzite limestone sandstone dolomite gneiss marble slate shale chert obsidian pumice schist tuff diorite"
+ABLATION_PAGE = (
+    f"<body><div><p>{LONG}</p><p>Short one.</p><p>{BARE}</p><p>{LONG}</p></div><div><a href=1>{LONG}</a></div><div><a href=2>{BARE}</a></div>"
+    f"<p>Tiny</p><p>{BARE}</p><p>{BARE} {BARE}</p><p>Last</p></body>"
+)
+
+
+def test_each_feature_and_the_second_pass_decide(monkeypatch):
+    """A page without telling names: each rule that is left out changes what is taken."""
+    whole = html_text.main_text(ABLATION_PAGE)
+    assert whole.split("\n") == [LONG, "Short one.", BARE, LONG]
+    seen = []
+    for feature in ("length", "stop", "links"):
+        monkeypatch.setitem(html_text.WEIGHTS, feature, 0)
+        seen.append(html_text.main_text(ABLATION_PAGE))
+        monkeypatch.setitem(html_text.WEIGHTS, feature, 1)
+    monkeypatch.setattr(html_text, "second_pass", lambda page: None)
+    seen.append(html_text.main_text(ABLATION_PAGE))
+    assert len(seen) == 4 and whole not in seen
+
+
+def test_names_are_one_feature(monkeypatch):
+    page = f"<body><article><p>{LONG}</p><div class=promo>{LONG}</div><p>{LONG}</p></article></body>"
+    assert html_text.main_text(page) == f"{LONG}\n{LONG}"
+    monkeypatch.setitem(html_text.WEIGHTS, "container", 0)
+    assert html_text.main_text(page) == f"{LONG}\n{LONG}\n{LONG}"
+
+
+def test_short_blocks_follow_bad_neighbours_inside_articles():
+    """Between two bad blocks a short one is left out; between a good and a bad one it stays."""
+    bad = "<div class=share>Share this</div>"
+    page = f"<article><p>{LONG}</p><p>kept</p>{bad}<p>lost</p>{bad}<p>{LONG}</p></article>"
+    assert html_text.main_text(page) == f"{LONG}\nkept\n{LONG}"
+
+
+def test_second_pass_against_all_distances():
+    r = random.Random(11)
+    for _ in range(500):
+        page = [html_text.Block("p", r.choice([0, 1, 2]), False, text=r.choice([LONG, BARE, "x"]), good=r.choice([None, None, True, False])) for _ in range(r.randint(1, 12))]
+        before = [(b.region, b.good, b.text) for b in page]
+        html_text.second_pass(page)
+        for k, block in enumerate(page):
+            region, good, _ = before[k]
+            own = [(at, g, t) for at, (rg, g, t) in enumerate(before) if rg == region]
+            place = next(i for i, x in enumerate(own) if x[0] == k)
+            decided = [(abs(i - place), not g) for i, (_, g, _) in enumerate(own) if g is not None]
+            if good is not None:
+                assert block.good == good
+            elif decided and (not region or any(g for _, g, _ in own)):
+                assert block.good == (not min(decided)[1])
+            else:  # judged together
+                text = " ".join(t for _, g, t in own if g is None)
+                assert block.good == (html_text.points(len(text), html_text._stop_share(text), 0, region, False, False) >= 1)
+
+
+def test_second_pass_and_length_change_the_test_pages(spark, sf_dir, monkeypatch):
+    pages = [r.html for r in spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/pages.parquet").select("html").collect()]
+    whole = [html_text.main_text(p) for p in pages]
+    monkeypatch.setitem(html_text.WEIGHTS, "length", 0)
+    assert any(html_text.main_text(p) != w for p, w in zip(pages, whole))
+    monkeypatch.setitem(html_text.WEIGHTS, "length", 1)
+    monkeypatch.setattr(html_text, "second_pass", lambda page: None)
+    assert sum(html_text.main_text(p) != w for p, w in zip(pages, whole)) > 0.9 * len(pages)
