@@ -397,6 +397,20 @@ def only_employee(sql: str, employee: str) -> str:
     return sql.replace(whole, one)
 
 
+# Alias table over the leaves of the supplier organisation: what light options lack and heavy ones have too much, on one line.
+PARTS["alias_line"] = """
+    SELECT k, slot, n, total, ov, coalesce(sum(greatest(-ov, 0)) OVER (ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lacking,
+           coalesce(sum(greatest(ov, 0)) OVER (ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS spent
+    FROM (SELECT k, slot, n, total, w::HUGEINT * n - total AS ov
+          FROM (SELECT uid AS k, raw AS w, row_number() OVER (ORDER BY uid) - 1 AS slot, count(*) OVER () AS n, (sum(raw) OVER ())::HUGEINT AS total FROM s_units WHERE level = 4))"""
+PARTS["alias_rows"] = f"""
+    SELECT k, slot, n, CASE WHEN ov < 0 THEN filler WHEN ov > 0 THEN following ELSE following END AS alias,
+           ((CASE WHEN ov < 0 THEN total + ov WHEN ov > 0 THEN total - (until - spent) ELSE total END) * {2**62}::HUGEINT // total)::BIGINT AS cut
+    FROM (SELECT x.*, (SELECT min_by(h.k, h.spent) FROM alias_line h WHERE h.ov > 0 AND h.spent > x.lacking) AS filler,
+                 (SELECT min(l.lacking - l.ov) FROM alias_line l WHERE l.ov < 0 AND l.lacking - l.ov >= x.spent) AS until,
+                 (SELECT min_by(h.k, h.slot) FROM alias_line h WHERE h.ov > 0 AND h.slot > x.slot) AS following
+          FROM alias_line x)"""
+
 # -- the queries ------------------------------------------------------------------------
 
 LATEST = "d = (SELECT max(d) FROM spine)"
@@ -521,6 +535,11 @@ def oracles() -> dict[str, str]:
     q["strip_keyword"] = "SELECT p_partkey, regexp_replace(p_name, '^(red|blue|hot|small) ', '') AS bare FROM part"
     q["last_token"] = "SELECT p_partkey, CASE WHEN p_size % 5 <> 0 THEN string_split(p_name, ' ')[-1] ELSE p_brand END AS tail FROM part"
     q["half_even"] = "SELECT l_orderkey, sum(round_even(l_quantity * 0.5::DOUBLE, 0))::BIGINT AS halves, sum(greatest(0, least(30, l_quantity::BIGINT - 5)))::BIGINT AS clamped FROM lineitem GROUP BY l_orderkey"
+    q["alias_assignment"] = f"""
+        SELECT o_orderkey, CASE WHEN ou < cut THEN k ELSE coalesce(alias, k) END AS leaf_uid
+        FROM (SELECT o_orderkey, {wide('alias_slot', 'o_orderkey')} AS os, {pick_place('alias_cut', 'o_orderkey')} AS ou FROM orders) o
+        JOIN alias_rows a ON a.slot = os % a.n"""
+
     def pairs(rows: str, member: str) -> str:
         """Every pair of periods by the plain set form."""
         return f"""SELECT a.d AS first, b.d AS last, a.n AS at_start, b.n AS at_end, a.n - coalesce(s.n, 0) AS left_company, b.n - coalesce(s.n, 0) AS hired

@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 
 from rosterloom.functions import pools
 from rosterloom.functions.dates import is_quarter_end, month_end, month_ends
-from rosterloom.functions.draws import pick_draw, chance, distinct_picks, draw, pick, uniform_decimal, uniform_int, weighted
+from rosterloom.functions.draws import pick_draw, chance, distinct_picks, draw, pick, uniform_decimal, uniform_int, weighted, wide_draw
 from rosterloom.functions.scores import half_even
 from rosterloom.functions.text import (
     by_key, contains_pattern, json_array, json_first, last_token, prefix_before, strip_leading_word,
 )
+from rosterloom.operators.alias import alias_pick, alias_table
 from rosterloom.operators.lookups import weighted_lookup, with_ancestors
 from rosterloom.operators.presence import always_there, presence_bitmaps, turnover_of_all_pairs
 from rosterloom.operators.ranking import even_bucket, greedy_cover, sample_exactly, with_rank
@@ -327,6 +328,17 @@ def weighted_assignment(spark, sf_dir):
     return weighted_lookup(orders, pick_draw("assign", "o_orderkey"), leaves, {"uid": "leaf_uid"})
 
 
+def leaf_aliases(spark, sf_dir):
+    return _once(spark, sf_dir, "leaf_aliases", lambda: alias_table(supplier_units(spark, sf_dir).where("level = 4"), "uid", "raw_weight"))
+
+
+def alias_assignment(spark, sf_dir):
+    """Every order is given a leaf of the supplier organisation, by raw weight, through an alias table."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    slots_and_count = leaf_aliases(spark, sf_dir)
+    return alias_pick(orders, wide_draw("alias_slot", "o_orderkey"), pick_draw("alias_cut", "o_orderkey"), *slots_and_count, "leaf_uid")
+
+
 def subtree_headcount(spark, sf_dir):
     rows = live_panel(spark, sf_dir, ["report_date", "unit_id_tree"])
     return with_ancestors(rows, "unit_id_tree", "uid").groupBy("report_date", "uid").agg(F.count(F.lit(1)).alias("headcount"))
@@ -728,6 +740,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "templated_labels": templated_labels,
     "agile_assignment": agile_assignment,
     "weighted_assignment": weighted_assignment,
+    "alias_assignment": alias_assignment,
     "subtree_headcount": subtree_headcount,
     "deep_subtree_headcount": deep_subtree_headcount,
     "unit_leaders": led_units,
