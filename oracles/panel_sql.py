@@ -558,13 +558,13 @@ def oracles() -> dict[str, str]:
         own AS (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY o_custkey),
         sums AS (SELECT a AS k, count(*) AS units, coalesce(sum(n), 0)::BIGINT AS orders FROM (SELECT k, unnest(path) AS a FROM laid) LEFT JOIN own USING (k) GROUP BY a)
         SELECT k AS c_custkey, pos AS first, pos + units - 1 AS last, depth, units, orders FROM laid JOIN sums USING (k)"""
-    cell = permutation_step("x", "nr", "nc", "parts", "o_orderkey")
+    cell = permutation_step("x", "nr", "nc", "parts", "c_custkey")
     q["part_picks"] = f"""
         WITH RECURSIVE square AS MATERIALIZED (SELECT n, nr, (n + nr - 1) // nr AS nc FROM (SELECT n, ceil(sqrt(n))::BIGINT AS nr FROM (SELECT count(*) AS n FROM part))),
-        walk AS (SELECT o_orderkey, x AS nth, n, nr, nc, {cell} AS x FROM orders, square, range(5) r(x)
-                 UNION ALL SELECT o_orderkey, nth, n, nr, nc, {cell} AS x FROM walk WHERE x >= n),
+        walk AS (SELECT c_custkey, x AS nth, n, nr, nc, {cell} AS x FROM customer, square, range(5) r(x)
+                 UNION ALL SELECT c_custkey, nth, n, nr, nc, {cell} AS x FROM walk WHERE x >= n),
         numbered AS (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) - 1 AS ordinal FROM part)
-        SELECT o_orderkey, nth::INTEGER AS place, p_partkey FROM walk JOIN numbered ON x = ordinal WHERE x < n"""
+        SELECT c_custkey, nth::INTEGER AS place, p_partkey FROM walk JOIN numbered ON x = ordinal WHERE x < n"""
     q["price_rank"] = """SELECT o_orderkey, cents, row_number() OVER (ORDER BY cents, o_orderkey) - 1 AS place
         FROM (SELECT o_orderkey, round(o_totalprice * 100)::BIGINT AS cents FROM orders)"""
     q["entity_history"] = panel_select(history, base="placed")

@@ -459,12 +459,12 @@ def flat_top_groups(spark, sf_dir):
 
 
 def part_picks(spark, sf_dir):
-    """Five distinct parts for every order, out of all parts: ordinals of a keyed permutation, joined with the numbered parts."""
+    """Five distinct parts for every customer, out of all parts: ordinals of a keyed permutation, joined with the numbered parts."""
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("bigint").alias("p_partkey"))
     numbered = with_rank(parts, "ordinal", ["p_partkey"], even_bucket(parts, "p_partkey"))
-    picks = distinct_picks(5, parts.count(), "parts", "o_orderkey")
-    chosen = table(spark, sf_dir, "orders").select("o_orderkey", F.posexplode(picks).alias("place", "ordinal"))
-    return chosen.join(numbered, "ordinal").select("o_orderkey", "place", "p_partkey")
+    picks = distinct_picks(5, parts.count(), "parts", "c_custkey")
+    chosen = table(spark, sf_dir, "customer").select("c_custkey", F.posexplode(picks).alias("place", "ordinal"))
+    return chosen.join(numbered, "ordinal").select("c_custkey", "place", "p_partkey")
 
 
 # -- samples -----------------------------------------------------------------------------
