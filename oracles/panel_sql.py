@@ -282,7 +282,7 @@ PARTS["talents"] = f"""
                             THEN {take(shuffled('soft_skills', len(pools.SKILLS_SOFT), 'emp'), pools.SKILLS_SOFT, f"1 + ({u('soft_count', 'emp')}) % 3")}
                             ELSE [] END) AS skills,
            list_concat(CASE WHEN CASE WHEN hire_it THEN {chance(u('english', 'emp'), 0.95)} ELSE {chance(u('english', 'emp'), 0.7)} END
-                            THEN ['Английский / ' || CASE WHEN hire_it THEN {choose(u('english_level', 'emp'), pools.ENGLISH_IT_WEIGHTS)} ELSE {choose(u('english_level', 'emp'), pools.ENGLISH_BANK_WEIGHTS)} END]
+                            THEN ['{pools.FIRST_LANGUAGE} / ' || CASE WHEN hire_it THEN {choose(u('english_level', 'emp'), pools.ENGLISH_IT_WEIGHTS)} ELSE {choose(u('english_level', 'emp'), pools.ENGLISH_BANK_WEIGHTS)} END]
                             ELSE [] END,
                        CASE WHEN {chance(u('second', 'emp'), 0.15)}
                             THEN [{pick(u('second_language', 'emp'), pools.OTHER_LANGUAGES)} || ' / ' || {pick(u('second_level', 'emp'), pools.OTHER_LEVELS)}]
@@ -308,9 +308,9 @@ PARTS["monthly"] = f"""
 WORDS = "|".join(pools.UNIT_WORDS)
 PARTS["titles"] = f"""
     SELECT emp, m,
-           CASE WHEN mgr THEN 'Руководитель ' || {text_list(pools.LEVEL_WORDS.values())}[unit_level] || ' ' || regexp_replace(unit_name, '^({WORDS}) ', '')
+           CASE WHEN mgr THEN '{pools.MANAGER_TITLE} ' || {text_list(pools.LEVEL_WORDS.values())}[unit_level] || ' ' || regexp_replace(unit_name, '^({WORDS}) ', '')
                 ELSE {_two(u('position', 'emp', 'coalesce(title_month, 0)'), pools.POSITIONS_IT, pools.POSITIONS_BANK, 'is_it')} END AS position_name,
-           CASE WHEN mgr THEN 'Management'
+           CASE WHEN mgr THEN '{pools.MANAGER_PROFESSION}'
                 ELSE {_two(u('profession', 'emp', 'coalesce(title_month, 0)'), pools.PROFESSIONS_IT, pools.PROFESSIONS_BANK, 'is_it')} END AS professionlevel_name
     FROM placed"""
 

@@ -61,7 +61,7 @@ def test_ids_are_dense(rows):
         "size(all_succesors) > 3 OR size(array_distinct(all_succesors)) <> size(all_succesors)",
         "size(array_distinct(all_skills)) <> size(all_skills) OR size(all_skills) NOT BETWEEN 3 AND 11",
         "tribe_name IS NULL AND lid_tribe_i_pernr <> 0",
-        "(professionlevel_name = 'Management') <> (position_name LIKE 'Руководитель отдела %')",
+        "(professionlevel_name = 'Line H') <> (position_name LIKE 'Head of cell %')",
         "gender = 'M' AND is_parental_leave = 1",
         "array_contains(transform(all_goals_desc, g -> instr(g, '{x}') > 0), true)",
     ],
@@ -71,7 +71,7 @@ def test_invariants(rows, violation):
 
 
 def test_leaders_are_live_managers(rows):
-    managers = rows.where("professionlevel_name = 'Management'").select(
+    managers = rows.where("professionlevel_name = 'Line H'").select(
         "report_date", F.col("employee_id").cast("bigint").alias("leader")
     )
     for column in ("lid_1_lvl_i_pernr", "lid_2_lvl_i_pernr", "lid_3_lvl_i_pernr", "lid_tribe_i_pernr", "lid_cluster_i_pernr"):
@@ -81,7 +81,7 @@ def test_leaders_are_live_managers(rows):
 
 def test_first_leader_is_the_smallest_id(rows):
     expected = (
-        rows.where("professionlevel_name = 'Management'")
+        rows.where("professionlevel_name = 'Line H'")
         .groupBy("report_date", F.col("unit_id_tree")[0].alias("uid"))
         .agg(F.min(F.col("employee_id").cast("bigint")).alias("leader"))
     )
