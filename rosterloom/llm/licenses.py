@@ -294,8 +294,17 @@ def _scan(texts: pa.Array, model: Model, min_overlap: float) -> pa.Array:
 
 
 def ordinary_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_docs: int = MAX_DOCS, max_lines: int = MAX_LINES) -> list[str]:
-    """The bounded sample of corpus lines that stands for unknown."""
-    some = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t")).withColumn("h", F.xxhash64("id")).orderBy("h", "id", "t").limit(max_docs)
+    """The bounded sample of corpus lines that stands for unknown: lines of 1 to ``MAX_LINE_CHARS`` code points of ``max_docs`` documents.
+
+    The documents are those with the lowest hashes of their ids.  Hashes alone are put in order first; the last one is the
+    limit that texts are read by, so no task is sent more texts than are taken.
+    """
+    keyed = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t"), F.xxhash64(doc_id).alias("h"), F.xxhash64(text).alias("x"))
+    last = keyed.select("h", "x").orderBy("h", "x").limit(max_docs).agg(F.max(F.struct("h", "x"))).first()[0]
+    if last is None:
+        return []
+    within = (F.col("h") < last.h) | ((F.col("h") == last.h) & (F.col("x") <= last.x))
+    some = keyed.where(within).orderBy("h", "x", "id", "t").limit(max_docs)
     lines = some.select(F.explode(F.split("t", "\n")).alias("line")).where(F.length("line").between(1, MAX_LINE_CHARS)).distinct()
     return [r.line for r in lines.orderBy(F.xxhash64("line"), "line").limit(max_lines).collect()]
 
