@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rosterloom.llm import decontaminate, lines, packing, quality, simhash
 from rosterloom.session import tune
-from rosterloom.sources.staging import staging_path
+from rosterloom.sources.staging import discard, staging_path
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -77,10 +77,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what lies between two stages is written to the shared folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; what lies between two stages is written to the shared folder.
+
+    A stage's table goes once the next one is written; the last is read by the result and stays.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         path = staging_path(spark, f"stage-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            discard(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
