@@ -448,6 +448,8 @@ def oracles() -> dict[str, str]:
     for key, end in (("latest_snapshot", "max"), ("earliest_snapshot", "min")):
         q[key] = arrays("report_date", "employee_id", "grade_num").replace("FROM led l", "FROM roster l") + f" WHERE l.d = (SELECT {end}(d) FROM spine)"
         q[f"orders_{key}"] = f"SELECT o_orderkey, o_custkey, o_orderpriority, o_orderstatus, d AS report_date FROM {months} WHERE d = (SELECT {end}(d) FROM {months})"
+    q["latest_stored_month"] = f"""SELECT d AS report_date, tribe_code::INTEGER AS tribe_code, count(*) AS headcount, (SELECT min(d) FROM spine)::DATE AS first_month,
+        (SELECT count(DISTINCT d) FROM roster)::BIGINT AS n_months FROM placed WHERE {LATEST} GROUP BY ALL"""
     q["headcount_by_snapshot"] = "SELECT d AS report_date, count(*) AS headcount FROM roster GROUP BY d ORDER BY d"
     q["orders_by_month"] = f"SELECT d AS report_date, count(*) AS headcount FROM {months} GROUP BY d"
     q["org_headcount"] = q["flat_org_headcount"] = f"""SELECT path[1] AS l1_uid, split_part(full_name, ' /', 1) AS l1_name, count(*) AS headcount
@@ -530,6 +532,10 @@ def oracles() -> dict[str, str]:
         LEFT JOIN (SELECT o_custkey, last_day(o_orderdate)::DATE AS month_end, count(*) AS n FROM orders GROUP BY ALL) c ON c.o_custkey = s.o_custkey AND c.month_end = s.month_end"""
     words = "list_transform(string_split(p_name, ' '), lambda w: CASE WHEN w <> 'red' THEN w || ' «я»' END)"
     q["array_to_json"] = f"SELECT p_partkey, {json_text(words)} AS words, {json_text('[p_partkey, p_size::BIGINT]')} AS numbers, {json_text(f'({words})[1:p_size % 2]')} AS maybe_empty FROM part"
+    pieces = "list_transform(string_split(p_name, ' '), lambda w: CASE WHEN w <> 'red' THEN string_split(w, 'e') END)"
+    inner = f"list_transform({pieces}, lambda ps: CASE WHEN ps IS NULL THEN 'null' ELSE '[\"' || array_to_string(ps, '\", \"') || '\"]' END)"
+    q["nested_array_to_json"] = f"""SELECT p_partkey, '[' || array_to_string({inner}, ', ') || ']' AS words,
+        '[[[' || p_partkey || ', ' || p_size || ']], []]' AS deep FROM part"""
     q["json_first"] = "SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k, json_extract('[' || json_extract_string(props, '$.k') || ', 7]', '$[0]')::BIGINT AS first_item FROM events"
     q["prefix_extract"] = "SELECT p_partkey, CASE WHEN strpos(p_name, ' ') > 0 THEN substr(p_name, 1, strpos(p_name, ' ') - 1) ELSE '' END AS first_word, '' AS none FROM part"
     q["strip_keyword"] = "SELECT p_partkey, regexp_replace(p_name, '^(red|blue|hot|small) ', '') AS bare FROM part"

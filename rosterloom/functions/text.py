@@ -9,12 +9,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-# From the start on, item by item: a whole string, or a number, true, false, null; and the comma after it.
-_ITEM_AND_COMMA = r'\G(\[?(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^",\[\]]++)),'
+# From the start on, item by item: brackets that open or are empty; a whole string, or a number, true, false, null; brackets
+# that close; and the comma after it.
+_ITEM_AND_COMMA = r'\G([\[\]]*+(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^",\[\]]++)?+\]*+),'
 
 
 def json_array(col: Column) -> Column:
-    """A one-level array as JSON text: items parted by ', ', null items and non-ASCII text kept."""
+    """An array, of arrays to any depth too, as JSON text: items parted by ', ', null items and non-ASCII text kept."""
     return F.regexp_replace(F.to_json(col), _ITEM_AND_COMMA, "$1, ")
 
 

@@ -15,7 +15,7 @@ from rosterloom.plans.leaders import leader_or_none, leaf_leaders
 from rosterloom.plans.org import Organisation, build_organisation, default_blocks
 from rosterloom.plans.roster import PanelSpec, Slots, hire_rows, numbered_slots, roster, with_events
 from rosterloom.sources.schema import PANEL, PANEL_COLUMNS
-from rosterloom.sources.staging import materialize
+from rosterloom.sources.staging import stored
 
 # Columns that come out of a step of their own; a panel without them leaves the step out.
 LEADER_COLUMNS = {
@@ -89,8 +89,8 @@ def panel_of(
     wanted = set(columns)
     placed_extra = wanted & UNIT_COLUMNS or set(extra) & {"leaf_uid", "path", "is_it", "unit_name"}
     if wanted & (LEADER_COLUMNS | PEER_COLUMNS):
-        # Read again for leaders and peers, so computed once; it is narrow and stays split by slot.
-        rows = materialize(rows)
+        # Read again for leaders and peers, so computed once; they read a few of its columns.
+        rows = stored(rows, "roster")
     held = rows
     attributes = Attributes(spec.seed)
     if wanted & PEER_COLUMNS:

@@ -34,9 +34,9 @@ from rosterloom.plans.org import Organisation, agile_teams, build_organisation,
 from rosterloom.plans.panel import panel, panel_at_hire, place
 from rosterloom.plans.roster import PanelSpec, Slots, leavers, roster, slots_from_keys, with_events
 from rosterloom.sources.access_paths import read_by_member, rows_of_member, write_by_member, write_clustered
-from rosterloom.sources.panel_io import files_for, read_panel, write_panel
+from rosterloom.sources.panel_io import files_for, read_panel, read_period, stored_periods, write_panel
 from rosterloom.sources.schema import PANEL, PANEL_COLUMNS
-from rosterloom.sources.staging import materialize, staging_path
+from rosterloom.sources.staging import materialize, scratch, staging_path
 
 SPEC = PanelSpec()
 SAMPLE = 500
@@ -100,15 +100,28 @@ def live_panel(spark: SparkSession, sf_dir: str, columns, extra=()) -> DataFrame
     return panel(spark, slots(spark, sf_dir), organisation(spark, sf_dir), SPEC, columns, extra)
 
 
-def stored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+def panel_path(spark: SparkSession, sf_dir: str) -> str:
     """The panel as a Parquet table, one folder per month."""
 
     def build() -> str:
         path = staging_path(spark, "panel")
-        write_panel(live_panel(spark, sf_dir, PANEL_COLUMNS), path)
+        with scratch(spark):
+            write_panel(live_panel(spark, sf_dir, PANEL_COLUMNS), path)
         return path
 
-    return read_panel(spark, _once(spark, sf_dir, "panel", build))
+    return _once(spark, sf_dir, "panel", build)
+
+
+def stored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_panel(spark, panel_path(spark, sf_dir))
+
+
+def latest_stored_month(spark, sf_dir):
+    """Headcount by tribe in the latest stored month; which one that is, and how many there are, folder names tell."""
+    path = panel_path(spark, sf_dir)
+    months = stored_periods(spark, path)
+    rows = read_period(spark, path).groupBy("report_date", "tribe_code").agg(F.count(F.lit(1)).alias("headcount"))
+    return rows.select("*", F.lit(months[0]).alias("first_month"), F.lit(len(months)).cast("bigint").alias("n_months"))
 
 
 ACCESS_COLUMNS = ("employee_id", "tribe_code", "cluster_code", "position_name")
@@ -417,9 +430,10 @@ def appended_month(spark, sf_dir):
     def build() -> str:
         path, state = staging_path(spark, "grown"), staging_path(spark, "grown-state")
         parts = slots(spark, sf_dir), organisation(spark, sf_dir)
-        start_panel(spark, *parts, replace(SPEC, months=SPEC.months - 2), path, state)
-        for month in (SPEC.months - 2, SPEC.months - 1):
-            append_month(spark, *parts, SPEC, month, path, state)
+        with scratch(spark):
+            start_panel(spark, *parts, replace(SPEC, months=SPEC.months - 2), path, state)
+            for month in (SPEC.months - 2, SPEC.months - 1):
+                append_month(spark, *parts, SPEC, month, path, state)
         return path
 
     rows = read_panel(spark, _once(spark, sf_dir, "grown", build))
@@ -524,6 +538,13 @@ def array_to_json(spark, sf_dir):
     )
 
 
+def nested_json(spark, sf_dir):
+    """Arrays inside arrays as JSON text."""
+    words = F.transform(F.split("p_name", " "), lambda w: F.when(w != "red", F.split(w, "e")))
+    deep = F.array(F.array(F.array("p_partkey", F.col("p_size").cast("bigint"))), F.array().cast("array<array<bigint>>"))
+    return table(spark, sf_dir, "part").select("p_partkey", json_array(words).alias("words"), json_array(deep).alias("deep"))
+
+
 def json_first_of_events(spark, sf_dir):
     items = F.concat(F.lit("["), F.get_json_object("props", "$.k"), F.lit(", 7]"))
     return table(spark, sf_dir, "events").select(
@@ -682,6 +703,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_panel": scan_panel,
     "panel_roundtrip": panel_roundtrip,
     "appended_month": appended_month,
+    "latest_stored_month": latest_stored_month,
     "flat_export": flat_export,
     "panel_rows": panel_rows,
     "latest_snapshot": latest_members,
@@ -753,6 +775,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "price_rank": price_rank,
     "month_spine": month_spine_of_orders,
     "array_to_json": array_to_json,
+    "nested_array_to_json": nested_json,
     "json_first": json_first_of_events,
     "prefix_extract": prefix_extract,
     "strip_keyword": strip_keyword,

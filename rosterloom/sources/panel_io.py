@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +20,36 @@ def read_panel(spark: SparkSession, path: str, schema: T.StructType = PANEL) ->
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
+def stored_periods(spark: SparkSession, path: str, period: str = PERIOD) -> list[datetime.date]:
+    """The periods a table at ``path`` has, ascending, from the names of its folders alone.
+
+    No file is opened: the cost is one listing a folder, whatever the rows.  Folders without a data file do not
+    count, nor does the folder of rows without a period.
+    """
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for folder in store.listStatus(root):
+        name, _, value = folder.getPath().getName().partition("=")
+        if name != period or value == "__HIVE_DEFAULT_PARTITION__":
+            continue
+        if any(not f.getPath().getName().startswith(("_", ".")) for f in store.listStatus(folder.getPath())):
+            found.append(datetime.date.fromisoformat(value))
+    return sorted(found)
+
+
+def read_period(spark: SparkSession, path: str, which: int = -1, schema: T.StructType = PANEL) -> DataFrame:
+    """The rows of one stored period: -1 for the latest, 0 for the earliest, and so on.
+
+    The period is known before the scan is planned, so only its folder is listed and read; a table
+    without periods gives no rows.
+    """
+    periods = stored_periods(spark, path)
+    if not periods:
+        return spark.createDataFrame([], schema)
+    return read_panel(spark, path, schema).where(F.col(PERIOD) == F.lit(periods[which]))
+
+
 def laid_out(
     df: DataFrame, sort_by: tuple[str, ...] = ("tribe_code", MEMBER), files_per_period: int | None = None
 ) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,6 +36,36 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that :func:`stored` makes in this block are deleted at its end; write the result inside."""
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        for path in made:
+            discard(spark, path)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Computes a fact-sized table once, as Parquet in the shared folder, to be read by column.
+
+    Unlike a checkpoint, readers take the columns they want.  The table lasts as long as the enclosing
+    :func:`scratch` block; without one it stays in the shared folder.
+    """
+    spark = df.sparkSession
+    path = staging_path(spark, name)
+    if _scopes:
+        _scopes[-1].append(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Deletes a staged table that nothing reads any more."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -125,6 +125,11 @@ def test_json_array_is_python_json(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v array<string>")
     for r in df.select("i", json_array(F.col("v")).alias("j")).collect():
         assert r.j == json.dumps(values[r.i], ensure_ascii=False)
+    deep = [[rng.choice([None, rng.choices(values, k=rng.randint(0, 3))]) for _ in range(rng.randint(0, 3))] for _ in range(300)]
+    deep += [[], [[]], [[[]]], [[], [[], []], None], [[values[-1]]]]
+    nested = spark.createDataFrame([(i, v) for i, v in enumerate(deep)], "i int, v array<array<array<string>>>")
+    for r in nested.select("i", json_array(F.col("v")).alias("j")).collect():
+        assert r.j == json.dumps(deep[r.i], ensure_ascii=False)
     numbers = spark.createDataFrame([([1, None, -3],), ([],), (None,)], "v array<bigint>")
     assert [r.j for r in numbers.select(json_array(F.col("v")).alias("j")).collect()] == ["[1, null, -3]", "[]", None]
 

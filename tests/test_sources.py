@@ -1,13 +1,15 @@
 """Sinks, scans, pruning and the job entry points."""
 
+import datetime
 import os
 
 from pyspark.sql import functions as F
 
 from rosterloom import jobs
 from rosterloom.plans import snapshots
-from rosterloom.sources.panel_io import read_panel, write_bucketed, write_panel
-from rosterloom.sources.schema import ARRAY_COLUMNS, PANEL_COLUMNS
+from rosterloom.sources.panel_io import read_panel, read_period, stored_periods, write_bucketed, write_panel
+from rosterloom.sources.schema import ARRAY_COLUMNS, PANEL, PANEL_COLUMNS
+from rosterloom.sources.staging import scratch, shared_dir, stored
 
 
 def plan_of(df):
@@ -40,6 +42,39 @@ def test_generate_and_export(spark, tmp_path):
     assert counts == {"2025-10-31": 200, "2025-11-30": 5, "2025-12-31": 200}
 
 
+def test_months_are_appended_by_the_job(spark, tmp_path):
+    """generate 3 = generate 1 and append 2; the working tables of the jobs are gone afterwards."""
+    whole, grown, state = (str(tmp_path / x) for x in ("whole", "grown", "state"))
+    before = {f for f in os.listdir(shared_dir(spark)) if f.startswith("roster-")}
+    jobs.main(["generate", "--n", "40", "--months", "3", "--out", whole], spark)
+    jobs.main(["generate", "--n", "40", "--months", "1", "--out", grown, "--state", state], spark)
+    jobs.main(["append", "--n", "40", "--months", "2", "--out", grown, "--state", state], spark)
+    assert {f for f in os.listdir(shared_dir(spark)) if f.startswith("roster-")} == before
+    assert sorted(map(str, read_panel(spark, grown).collect())) == sorted(map(str, read_panel(spark, whole).collect()))
+
+
+def test_periods_from_folder_names(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([("2025-10-31", 1), ("2025-12-31", 2), ("2025-12-31", 3), (None, 4)], "d string, v int")
+    rows = rows.select(F.to_date("d").alias("report_date"), "v")
+    rows.write.partitionBy("report_date").parquet(path)
+    os.mkdir(os.path.join(path, "report_date=2026-01-31"))  # a folder without files
+    assert stored_periods(spark, path) == [datetime.date(2025, 10, 31), datetime.date(2025, 12, 31)]
+    latest, first = read_period(spark, path, schema=rows.schema), read_period(spark, path, 0, rows.schema)
+    assert sorted(r.v for r in latest.collect()) == [2, 3] and [r.v for r in first.collect()] == [1]
+    assert "(report_date#" in plan_of(latest) and "= 2025-12-31)" in plan_of(latest) and "Subquery" not in plan_of(latest)
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    assert read_period(spark, str(empty)).schema == PANEL and read_period(spark, str(empty)).count() == 0
+
+
+def test_stored_tables_end_with_their_block(spark):
+    with scratch(spark):
+        inside = stored(spark.range(5).withColumn("x", F.lit(1)), "kept")
+        assert inside.select("id").count() == 5 and inside.columns == ["id", "x"]
+    assert not [f for f in os.listdir(shared_dir(spark)) if f.startswith("kept-")]
+
+
 def test_bucketed_table_needs_no_shuffle(spark):
     df = spark.range(100).select(F.col("id").cast("string").alias("employee_id"), F.lit(1).alias("v"))
     write_bucketed(df, "bucketed_members", 4)
