@@ -7,7 +7,8 @@ most room is left.  The number of sequences is the least possible, so a shard pa
 
 A shard is a group of documents chosen by a hash of id and text, of about ``shard_bytes`` of text, so shards are
 even whatever the sources or copies look like, and the same rows always give the same sequences.
-Token ids are shuffled once, two bytes each.
+A row repeated very often (same id and text) is tokenized once and its numbered copies are dealt one by one.
+Token ids are shuffled once, two bytes each; a shard is a partition of its own.
 
 Tokens are found piece by piece: texts are cut where a token surely begins (see :func:`safe_cuts`), and
 each distinct piece of a batch is tokenized once.  The vocabulary file is that of the library's byte-level BPE.
@@ -22,6 +23,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rosterloom.llm.skew import HOT_PART, copies, one_of_each, repeated_rows, row_keys
 from rosterloom.llm.words import chunks
 
 LENGTH = 1024
@@ -182,8 +185,10 @@ class PieceTokenizer:
         return out
 
 
-def tokenize(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, id_bytes: int = 2) -> DataFrame:
-    """(doc_id, k1, k2, ids): ids packed as little-endian numbers of ``id_bytes`` bytes.
+def tokenize(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, id_bytes: int = 2, carry: Sequence[str] = ()
+) -> DataFrame:
+    """(doc_id, k1, k2, ids, and the columns ``carry``): ids packed as little-endian numbers of ``id_bytes`` bytes.
 
     Added tokens are those of the library's own vocabulary; another vocabulary file has none.
     """
@@ -199,10 +204,8 @@ def tokenize(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path:
                 raise ValueError("the vocabulary needs more bytes per id")
         return pa.array([ids.astype(kind).tobytes() for ids in made[0].encode(texts)], pa.binary())
 
-    return docs.select(
-        F.col(doc_id).alias("doc_id"), F.xxhash64(doc_id, text).alias("k1"), F.xxhash64(F.lit(1), doc_id, text).alias("k2"),
-        F.arrow_udf(encode, "binary").asNondeterministic()(F.col(text)).alias("ids"),
-    )
+    ids = F.arrow_udf(encode, "binary").asNondeterministic()(F.col(text)).alias("ids")
+    return docs.select(F.col(doc_id).alias("doc_id"), *row_keys(doc_id, text), ids, *carry)
 
 
 def assign(lengths: list[int], length: int = LENGTH, linear: float = LINEAR, quadratic: float = QUADRATIC) -> list[tuple[int, int, int, int, int]]:
@@ -247,13 +250,24 @@ def assign(lengths: list[int], length: int = LENGTH, linear: float = LINEAR, qua
 def pack(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, linear: float = LINEAR,
     quadratic: float = QUADRATIC, shard_bytes: int = SHARD_BYTES, path: str | None = None, id_bytes: int = 2,
+    hot_part: int = HOT_PART,
 ) -> DataFrame:
-    """A row per piece: doc_id, start, length, ids (binary, four bytes each), doc_tokens, sequence_id, offset."""
-    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    n = max(1, -(-total // shard_bytes))
-    coded = tokenize(docs, doc_id, text, path, id_bytes)
+    """A row per piece: doc_id, start, length, ids (binary, four bytes each), doc_tokens, sequence_id, offset.
+
+    Other columns of ``docs`` are not carried along, whatever their names.
+    """
+    key = row_keys(doc_id, text)
+    total, rows = docs.agg(F.sum(F.octet_length(text)), F.count(F.lit(1))).first()
+    n = max(1, -(-(total or 0) // shard_bytes))
+    hot = F.broadcast(repeated_rows(docs.select(*key), ["k1", "k2"], "n", rows, hot_part))
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *key)
+    single = tokenize(own.join(hot, ["k1", "k2"], "left_anti"), path=path, id_bytes=id_bytes)
+    one_each = one_of_each(own.join(hot, ["k1", "k2"]), ["k1", "k2"])
+    repeated = copies(tokenize(one_each, path=path, id_bytes=id_bytes, carry=["n"]), "n", "copy", ["k1"])
+    coded = single.withColumn("copy", F.lit(0).cast("bigint")).unionByName(repeated)
     id_type = coded.schema["doc_id"].dataType.simpleString()
-    dealt = coded.select(F.pmod("k1", F.lit(n)).cast("int").alias("shard"), "*").repartition(n, "shard")
+    place = F.when(F.col("copy") == 0, F.col("k1")).otherwise(F.xxhash64("k1", "copy"))
+    dealt = coded.select(F.pmod(place, F.lit(n)).cast("int").alias("shard"), "*").repartitionById(n, F.col("shard"))
 
     def fill(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         table = table.take(pc.sort_indices(table, sort_keys=[("k1", "ascending"), ("k2", "ascending")]))

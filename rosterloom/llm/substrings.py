@@ -12,9 +12,12 @@ words also start anywhere else.  Hashing every window of a corpus would shuffle
 Rows are dealt out over groups by a hash of id and text, so copies do not meet in one task.  A group sends
 each anchor or window once, however often it holds it, packed as arrays per receiving task; the
 answer is a list of word positions.  A very frequent passage thus costs one entry per group.
+Of a row repeated very often (same id and text) a few copies are dealt, at least two, as more find no other
+repeats; each answers for a bounded number of rows.  A group is a partition of its own, and so is a receiving task.
 The texts are shuffled once; Spark reuses that exchange in each of the three passes.
 
 Defined results: a null text has no words; repeated rows are repeats of one another; ids may be null or tied.
+Columns of ``docs`` other than id and text are not carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rosterloom.llm.skew import COPIES_AT_ONCE, HOT_PART, one_of_each, repeated_rows, row_keys
 from rosterloom.llm.words import Words, plain, run_hashes, SPACE_BYTES
 
 LENGTH = 35
@@ -158,15 +162,22 @@ _ANCHOR, _WINDOW = np.dtype(np.uint64), np.dtype([("a", np.uint64), ("b", np.uin
 
 
 def without_repeats(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, group_bytes: int = GROUP_BYTES
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, group_bytes: int = GROUP_BYTES, hot_part: int = HOT_PART
 ) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): the words left of each text, joined by one blank."""
-    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    n = max(1, -(-total // group_bytes))
+    total, n_rows = docs.agg(F.sum(F.octet_length(text)), F.count(F.lit(1))).first()
+    n = max(1, -(-(total or 0) // group_bytes))
     buckets = max(min(n, LEAST_BUCKETS), n // GROUPS_SERVED)
     own = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
-    keyed = own.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(1), "doc_id", "text").alias("k2"))
-    dealt = keyed.select(F.pmod("k1", F.lit(n)).cast("int").alias("g"), "*").repartition(n, "g")
+    keyed = own.select("doc_id", "text", *row_keys("doc_id", "text"))
+    hot = F.broadcast(repeated_rows(keyed.select("k1", "k2"), ["k1", "k2"], "rows", n_rows, hot_part))
+    place, share = F.col("k1").alias("place"), F.lit(1).cast("bigint").alias("rows")
+    single = keyed.join(hot, ["k1", "k2"], "left_anti").select("doc_id", "text", "k1", "k2", place, share)
+    begins = F.sequence(F.lit(0).cast("bigint"), F.col("rows") + COPIES_AT_ONCE, F.lit(COPIES_AT_ONCE).cast("bigint"))
+    place, share = F.xxhash64("k1", "begin").alias("place"), F.greatest(F.lit(0), F.least(F.lit(COPIES_AT_ONCE), F.col("rows") - F.col("begin")))
+    few = one_of_each(keyed.join(hot, ["k1", "k2"]), ["k1", "k2"]).withColumn("begin", F.explode(begins))
+    parts = single.unionByName(few.select("doc_id", "text", "k1", "k2", place, share.cast("bigint").alias("rows")))
+    dealt = parts.select(F.pmod("place", F.lit(n)).cast("int").alias("g"), "doc_id", "text", "k1", "k2", "rows").repartitionById(n, F.col("g"))
     id_type = dealt.schema["doc_id"].dataType.simpleString()
 
     def number(key: tuple[pa.Scalar, ...]) -> int:
@@ -207,17 +218,19 @@ def without_repeats(
                 "n_words": pa.array(words.counts, pa.int64()),
                 "n_removed": pa.array(np.diff(removed), pa.int64()),
                 "kept": pa.array(kept, pa.binary()).cast(pa.string()),
+                "rows": group.table.column("rows"),
             }
         )
 
     def answered(sent: DataFrame, kind: np.dtype) -> DataFrame:
-        return sent.repartition(buckets, "bucket").mapInArrow(_repeats(kind), _ANSWER).repartition(n, "g")
+        return sent.repartitionById(buckets, F.col("bucket")).mapInArrow(_repeats(kind), _ANSWER).repartitionById(n, F.col("g"))
 
     texts = dealt.groupBy("g")
     shared_anchors = answered(texts.applyInArrow(send_anchors, _PACKED), _ANCHOR)
     shared_windows = answered(texts.cogroup(shared_anchors.groupBy("g")).applyInArrow(send_windows, _PACKED), _WINDOW)
-    schema = f"doc_id {id_type}, n_words bigint, n_removed bigint, kept string"
-    return texts.cogroup(shared_windows.groupBy("g")).applyInArrow(remove, schema)
+    schema = f"doc_id {id_type}, n_words bigint, n_removed bigint, kept string, rows bigint"
+    found = texts.cogroup(shared_windows.groupBy("g")).applyInArrow(remove, schema)
+    return found.select("doc_id", "n_words", "n_removed", "kept", F.explode(F.array_repeat(F.lit(1), F.col("rows").cast("int"))).alias("_row")).drop("_row")
 
 
 def op9_substrings(spark, sf_dir: str) -> DataFrame:

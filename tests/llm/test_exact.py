@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from rosterloom.llm import archives, credentials, decontaminate, lines, quality, registry, simhash, substrings
+from rosterloom.llm import archives, credentials, decontaminate, lines, packing, quality, registry, simhash, skew, substrings
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -339,6 +339,28 @@ def test_repeated_passages(docs, length, size):
     assert rows(found, "doc_id", "n_words", "n_removed", "kept") == without_repeats(DOCS, length)
 
 
+@pytest.mark.parametrize("at_once", [1_000, 7])
+def test_a_row_repeated_very_often_is_dealt_by_copy(spark, monkeypatch, at_once):
+    """Equal rows do not fill one group or shard, and each of them has its result."""
+    for module in (skew, substrings):
+        monkeypatch.setattr(module, "COPIES_AT_ONCE", at_once)
+    again = " ".join(f"w{i % 50}" for i in range(90))
+    values = [(1, "a b c d e f")] * 60 + [(None, None)] * 40 + [(2, again)] * 25 + [(2, None), (3, again + " tail"), (4, "x y z"), (4, "x y z")]
+    values += [(k, f"text {k} of few words") for k in range(5, 60)]
+    docs = spark.createDataFrame(values, "doc_id bigint, text string").repartition(6)
+    for length in (3, 35):
+        found = substrings.without_repeats(docs, length=length, group_bytes=150)
+        assert rows(found, "doc_id", "n_words", "n_removed", "kept") == without_repeats(values, length)
+    packed = packing.pack(docs, shard_bytes=150)
+    sizes = packed.groupBy("sequence_id").agg(F.max(F.col("offset") + F.col("length")).alias("n"), F.sum("length").alias("s")).collect()
+    assert all(r.n == r.s <= packing.LENGTH for r in sizes)
+    pieces = Counter((r.doc_id, r.start, r.length, r.doc_tokens) for r in packed.collect())
+    assert pieces[(1, 0, 7, 7)] == 60 and pieces[(None, 0, 1, 1)] == 40 and pieces[(2, 0, 1, 1)] == 1
+    assert sum(n for (_, start, _, _), n in pieces.items() if start == 0) == len(values)
+    one = packed.where("doc_id = 1").select(F.shiftright("sequence_id", 32).alias("shard")).groupBy("shard").count().collect()
+    assert len(one) >= 3 and max(r["count"] for r in one) < 60
+
+
 def test_covers():
     for period, cover in substrings.COVERS.items():
         assert {(a - b) % period for a in cover for b in cover} == set(range(period))
