@@ -9,7 +9,8 @@ join keeps the secrets that fall into one, the identifiers that found a secret,
 A scope lies in one text, so the join runs where the text is and nothing is shuffled.  It is a search in
 sorted interval bounds over a whole batch of texts: no pairs are listed, however many parts a text has.
 
-Defined results: a null text is empty and has no spans; repeated rows are scanned alike.
+Defined results: a null text is empty and has no spans; repeated rows are scanned alike.  The column ``secrets`` replaces one of
+that name; other columns stay as they are.
 """
 
 from __future__ import annotations

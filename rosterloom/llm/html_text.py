@@ -11,7 +11,7 @@ good text, only they count.
 
 Defined results: a null page is empty, a page without blocks gives empty text; the whole page is read; broken
 markup (unclosed tags, cut ends) is read as far as it goes; attribute values of any length are no text and
-open no tags; repeated rows give the same text.
+open no tags; repeated rows give the same text.  The columns ``text`` and ``n_chars`` replace those of these names; others stay.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ The fit sees at most ``max_docs`` documents (those with the smallest hash of the
 lines; scoring covers every line of every text, as arrays over whole chunks.
 
 Defined results: null and empty texts have no paragraph; lines without a word are none either; without any text to
-sample, unknown is learned from the made-up ordinary sentences alone; repeated rows are scanned alike.
+sample, unknown is learned from the made-up ordinary sentences alone; repeated rows are scanned alike.  The column ``licences``
+replaces one of that name; other columns stay as they are.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ several texts with one id that with the least ratios.  Everything else covers al
 
 Defined results: a null or empty text has no words and fails the base rule; null labels and labels without a
 document are passed over; of several labels of a document the lowest counts; without usable labels the list is
-empty and the base rule decides alone; repeated rows are judged alike.
+empty and the base rule decides alone; repeated rows are judged alike.  The columns ``counts``, ``base_failed``, ``rule`` and ``kept``
+replace those of these names; other columns stay as they are.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ fingerprint, so all work is done on distinct fingerprints:
   above ``bucket_limit`` is dealt out over pairs of parts, which together still compare everything.
 
 Defined results: a text without words has fingerprint zero, linked like any other; a null id never is the
-smallest of a component, which is null if it has no other; repeated rows share a component.
+smallest of a component, which is null if it has no other; repeated rows share a component.  Other columns are carried along if named, by names that the result has not.
 """
 
 from __future__ import annotations

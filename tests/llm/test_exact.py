@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from rosterloom.llm import archives, credentials, decontaminate, lines, packing, quality, registry, simhash, skew, substrings
+from rosterloom.llm import archives, credentials, decontaminate, licenses, lines, packing, quality, registry, simhash, skew, substrings
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -366,7 +366,27 @@ def test_covers():
         assert {(a - b) % period for a in cover for b in cover} == set(range(period))
 
 
-# -- all: empty tables, and SQL twins ---------------------------------------------
+# -- all: clashing columns, empty tables, and SQL twins ---------------------------------------------
+
+
+def test_columns_with_the_names_of_results(spark):
+    """What an operator adds replaces a column of that name; all others come back as they were, or are left out where it says so."""
+    taken = "secrets counts base_failed rule kept licences k1 k2 n rows copy g ids place begin _row size".split()
+    text = "api_key = abcdefghijkl0123 and some words.\nReleased under the MIT License."
+    docs = spark.createDataFrame([(1, text), (1, text), (None, None), (2, "")], "doc_id bigint, text string")
+    docs = docs.select("*", *[F.lit(f"own {c}").alias(c) for c in taken])
+
+    def untouched(found, *new):
+        kept = [c for c in taken if c not in new]
+        assert set(found.columns) == set(docs.columns) | set(new)
+        assert {tuple(r) for r in found.select(*kept).collect()} == {tuple(f"own {c}" for c in kept)} and found.count() == 4
+
+    untouched(credentials.with_spans(docs), "secrets")
+    untouched(quality.judge(docs, []), "counts", "base_failed", "rule", "kept")
+    untouched(licenses.scan(docs, licenses.train(["the cat sat on the mat", "some words of a plain line"], steps=5)), "licences")
+    assert packing.pack(docs).groupBy().sum("length").first()[0] == sum(len(r.ids) // 2 for r in packing.tokenize(docs).collect())
+    assert rows(substrings.without_repeats(docs, length=3), "doc_id", "n_words", "n_removed", "kept") == without_repeats([(r.doc_id, r.text) for r in docs.collect()], 3)
+    assert rows(simhash.near_duplicates(docs), "doc_id", "component_id") == [(1, 1), (1, 1), (2, 2), (None, 2)]
 
 
 @pytest.mark.parametrize("name", sorted(registry.QUERIES))
