@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from rosterloom.functions.draws import PICK_BITS
 from rosterloom.functions.scores import whole_div
 from rosterloom.operators.ranking import even_bucket, totals_before, with_rank
-from rosterloom.operators.sides import broadcast_within
+from rosterloom.operators.sides import bounded_or_merged
 from rosterloom.sources.staging import materialize
 
 WIDE = "decimal(38,0)"
@@ -89,5 +89,5 @@ def alias_pick(df: DataFrame, slot_draw: Column, cut_draw: Column, table: DataFr
         raise ValueError("nothing to pick from")
     slots = table.select("slot", F.col("key").alias("_key"), F.col("alias").alias("_alias"), F.col("cut").alias("_cut"))
     drawn = df.withColumn("slot", F.pmod(slot_draw, F.lit(n).cast("bigint"))).withColumn("_u", cut_draw)
-    met = drawn.join(broadcast_within(slots, n), "slot")
+    met = drawn.join(bounded_or_merged(slots, n), "slot")
     return met.select(*[drawn[c] for c in df.columns], F.when(F.col("_u") < F.col("_cut"), F.col("_key")).otherwise(F.col("_alias")).alias(name))

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from rosterloom.functions import pools
-from rosterloom.plans.org import build_organisation, default_blocks
+from rosterloom.operators.lookups import weighted_lookup
+from rosterloom.plans.org import BLOCKS_PER_TASK, build_organisation, default_blocks, org_tree
 from rosterloom.plans.panel import generate_panel, panel
 from rosterloom.plans.roster import PanelSpec, numbered_slots
 from rosterloom.sources.schema import PANEL, PANEL_COLUMNS
@@ -173,3 +174,31 @@ def test_unbounded_organisation_gives_the_same_panel(spark):
         assert _digest(panel(spark, slots, open_org, spec, columns)) == small
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def exchanged_by_broadcast(df):
+    """Names of the plan's nodes below each broadcast, down to the next aggregate."""
+    found, todo = [], [(df._jdf.queryExecution().sparkPlan(), False)]
+    while todo:
+        node, sent = todo.pop()
+        name = node.getClass().getSimpleName()
+        if sent:
+            found.append(name)
+        if name == "BroadcastHashJoinExec":
+            left = node.buildSide().toString() == "BuildLeft"
+            todo += [(node.left(), sent or left), (node.right(), sent or not left)]
+        else:
+            children = node.children()
+            todo += [(children.apply(i), sent and "Aggregate" not in name) for i in range(children.size())]
+    return found
+
+
+def test_units_are_not_broadcast_by_estimate(spark):
+    """Units are far more than the size of the blocks lets Spark expect; no driver may collect them."""
+    blocks = spark.range(20_000).selectExpr("id AS block_no", "'b' AS name", "id % 2 = 0 AS is_it", "1L AS share")
+    tree = org_tree(blocks)
+    assert "GenerateExec" not in exchanged_by_broadcast(tree)
+    rows = tree.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.get("path", 0)).alias("blocks")).collect()
+    assert sum(r.blocks for r in rows) == 20_000 and max(r.blocks for r in rows) <= 2 * BLOCKS_PER_TASK
+    leaves = tree.where("level = 4")
+    assert "GenerateExec" not in exchanged_by_broadcast(weighted_lookup(spark.range(100), F.col("id"), leaves, {"uid": "leaf"}, bits=16))
