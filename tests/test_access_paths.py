@@ -96,3 +96,14 @@ def test_history_is_one_pass_over_one_folder(spark, sf_dir):
     assert len(hit.collect()) == 6
     (scan,) = scans(hit)
     assert metric(scan, "numPartitions") == 1
+
+
+@pytest.mark.parametrize("write", [lambda df, path: paths.write_by_member(df, path, 4), lambda df, path: paths.write_clustered(df, path, ["employee_id"])])
+def test_no_task_gathers_many_rows(spark, people, tmp_path, write):
+    """A task that sorts wide rows gets a few hundred thousand at most, however many there are in all."""
+    copies = people.select("report_date", "employee_id").join(spark.range(25).select(F.col("id").alias("copy")))
+    write(copies, str(tmp_path))
+    files = [pq.ParquetFile(f).metadata.num_rows for f in tmp_path.rglob("*.parquet")]
+    assert sum(files) == 1_000_000
+    by_task = spark.read.parquet(str(tmp_path)).groupBy(F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1)).count().collect()
+    assert max(r["count"] for r in by_task) <= 500_000
