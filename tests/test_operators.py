@@ -17,6 +17,9 @@ from rosterloom.operators.sides import dimension_lookup
 from rosterloom.operators.windows import chunk_no
 from rosterloom.plans import snapshots
 from rosterloom.plans.attributes import Attributes
+from rosterloom.plans.org import build_organisation, default_blocks
+from rosterloom.plans.panel import panel
+from rosterloom.plans.roster import PanelSpec, numbered_slots
 from rosterloom.plans.export import entity_sample, flatten
 
 
@@ -355,3 +358,23 @@ def test_presence_bitmaps(spark):
     assert tuple(always_there(bitmaps).first()) == (len(held[1] & held[2] & held[3] & held[9]), len(held[1] | held[2] | held[3] | held[9]))
     none = bitmaps.limit(0)
     assert turnover_of_all_pairs(none).count() == 0 and tuple(always_there(none).first()) == (0, 0)
+
+
+def test_items_of_a_known_bound_are_not_picked_by_lambda(spark):
+    """Where few items are wanted, the shuffled order stays a column of its own and no lambda interprets it."""
+    df = spark.createDataFrame([(0,), (2,), (3,)], "n int").withColumn("marks", shuffle_marks("trial", 5, "n"))
+    items = F.array(*map(F.lit, "abcde"))
+    few = df.select("n", first_items("marks", items, F.col("n"), most=3).alias("items"))
+    assert few.collect() == df.select("n", first_items("marks", items, F.col("n")).alias("items")).collect()
+    assert "lambda" not in few._jdf.queryExecution().optimizedPlan().toString()
+    every = first_items("marks", items, F.lit(7), most=8)
+    assert sorted(df.select(every.alias("i")).first().i) == list("abcde")
+    with pytest.raises(Exception, match="more than 2 items"):
+        df.select(first_items("marks", items, F.col("n"), most=2)).collect()
+
+
+def test_panel_pools_are_not_interpreted(spark):
+    """The columns that take several items of a pool are generated code in the panel's plan."""
+    org = build_organisation(default_blocks(spark), 42, 5)
+    plan = panel(spark, numbered_slots(spark, 20), org, PanelSpec(months=1), ["all_skills", "all_goals_desc", "achievement_desc"])
+    assert "transform(" not in plan._jdf.queryExecution().optimizedPlan().toString()
