@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rosterloom import jobs
 from rosterloom.plans import snapshots
-from rosterloom.sources.panel_io import read_panel, read_period, stored_periods, write_bucketed, write_panel
+from rosterloom.sources.panel_io import files_for, laid_out, read_panel, read_period, stored_periods, write_bucketed, write_panel
 from rosterloom.sources.schema import ARRAY_COLUMNS, PANEL, PANEL_COLUMNS
 from rosterloom.sources.staging import scratch, shared_dir, stored
 
@@ -98,3 +98,16 @@ def test_fact_sized_steps_use_many_tasks(spark):
         keys = line.split("windowspecdefinition(")[1]
         # Ordered row by row: split by range of the draw.  By month alone: only the range totals.
         assert "_bucket" in keys or "last_quarter" in line or "_all" in keys, line
+
+
+def test_pieces_of_consecutive_months_are_tasks_of_their_own(spark):
+    """Hashed, several pieces of a period may meet in one task; numbered, none do."""
+    rows = spark.range(30_000).select(
+        F.make_date(F.lit(2025), 1 + F.col("id").cast("int") % 6, F.lit(28)).alias("report_date"), F.col("id").cast("string").alias("employee_id")
+    )
+    tasks = laid_out(rows, ("employee_id",), files_per_period=5, periods=6).groupBy(F.spark_partition_id()).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("report_date").alias("months")
+    ).collect()
+    assert len(tasks) == 30 and all(t.months == 1 for t in tasks) and sum(t.n for t in tasks) == 30_000
+    assert max(t.n for t in tasks) < 1_300
+    assert files_for(5_400_000) == 22
