@@ -27,12 +27,13 @@ RANGES = 256
 def first_after(df: DataFrame, order: Sequence[str], bucket: Column, value: Column, name: str) -> DataFrame:
     """Adds the first value that is not null in a later row of the order; ``bucket`` never falls along the order."""
     ranged = df.withColumn("_bucket", bucket).withColumn("_value", value)
-    inside = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(1, Window.unboundedFollowing)
+    # Backwards, so that the frame grows row by row; one that shrinks would be gone through again for every row.
+    inside = Window.partitionBy("_bucket").orderBy(*[F.desc(c) for c in order]).rowsBetween(Window.unboundedPreceding, -1)
     heads = ranged.where(F.col("_value").isNotNull()).groupBy("_bucket").agg(F.min_by("_value", F.struct(*order)).alias("_head"))
     buckets = ranged.select("_bucket").distinct().join(heads, "_bucket", "left")
     across = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(1, Window.unboundedFollowing)  # a row per range
     later = buckets.select("_bucket", F.first("_head", ignorenulls=True).over(across).alias("_later"))
-    found = ranged.withColumn("_own", F.first("_value", ignorenulls=True).over(inside)).join(later, "_bucket")
+    found = ranged.withColumn("_own", F.last("_value", ignorenulls=True).over(inside)).join(later, "_bucket")
     return found.select(*df.columns, F.coalesce("_own", "_later").alias(name))
 
 

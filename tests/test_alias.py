@@ -53,3 +53,16 @@ def test_nothing_to_pick_from(spark):
     assert n == 0 and table.count() == 0
     with pytest.raises(ValueError):
         alias.alias_pick(spark.range(3), F.lit(1), F.lit(1), table, n, "k")
+
+
+def test_first_after_goes_through_a_range_once(spark, capsys):
+    r = random.Random(5)
+    rows = [(k // 3, k, r.choice([None, None, k * 10])) for k in range(300)]
+    df = spark.createDataFrame(rows, "a bigint, b bigint, v bigint").repartition(5)
+    got = alias.first_after(df, ["a", "b"], F.floor(F.col("a") / 20), F.col("v"), "following")
+    found = {x.b: x.following for x in got.collect()}
+    assert found == {k: next((v for _, j, v in rows if j > k and v is not None), None) for _, k, _ in rows}
+    got.explain()
+    # A frame from a row to the end of its range is computed anew for every row; only the one over a row per range may be one.
+    windows = [line for line in capsys.readouterr().out.splitlines() if "unboundedfollowing" in line]
+    assert windows and not [line for line in windows if "_value" in line]
