@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterloom.operators.ranking import even_bucket, with_rank
-from rosterloom.operators.sides import null_safe_join
-from rosterloom.sources.staging import materialize
+from rosterloom.operators.sides import bounded_or_merged, null_safe_join
+from rosterloom.sources.staging import materialize, relay
 
 
 def _successors(nodes: DataFrame, sums: Sequence[str]) -> tuple[DataFrame, int]:
@@ -43,6 +43,19 @@ def _successors(nodes: DataFrame, sums: Sequence[str]) -> tuple[DataFrame, int]:
     return with_next.select(F.inline(F.array(there, back))), total
 
 
+def _further(ahead: DataFrame, counts: Sequence[str], rows: int) -> DataFrame:
+    """Every event twice as far along: its next is its next one's, and counts are added up.
+
+    Events that have reached the end stay as they are.  In a join their empty key would send them all to one task.
+    """
+    there = ahead.where(F.col("next").isNotNull())
+    reached = ahead.select(F.col("event").alias("next"), F.col("next").alias("_next"), *[F.col(c).alias(f"_ahead{c}") for c in counts])
+    moved = there.join(bounded_or_merged(reached, rows), "next").select(
+        "event", F.col("_next").alias("next"), *[(F.col(c) + F.col(f"_ahead{c}")).alias(c) for c in counts]
+    )
+    return ahead.where(F.col("next").isNull()).select("event", "next", *counts).unionByName(moved)
+
+
 def tour(nodes: DataFrame, sums: Sequence[str] = (), node: str = "node", parent: str = "parent") -> DataFrame:
     """(node, first, last, depth, size, and the subtree total of each BIGINT column in ``sums``).
 
@@ -53,21 +66,18 @@ def tour(nodes: DataFrame, sums: Sequence[str] = (), node: str = "node", parent:
     added = [f"_sum_{c}" for c in sums]
     events, total = _successors(nodes.select(F.col(node).alias("node"), F.col(parent).alias("parent"), *amounts), added)
     counts = ["_n", "_d", *added]
-    ahead = materialize(events)
-    rounds = max(1, (2 * total - 1).bit_length())
-    for _ in range(rounds):
-        further = ahead.select(F.col("event").alias("next"), F.col("next").alias("_next"), *[F.col(c).alias(f"_ahead{c}") for c in counts])
-        ahead = materialize(
-            ahead.join(further, "next", "left").select(
-                "event", F.col("_next").alias("next"), *[(F.col(c) + F.coalesce(f"_ahead{c}", F.lit(0))).alias(c) for c in counts]
+    side = F.col("event").bitwiseAND(F.lit(1)) == 0
+    with relay(nodes.sparkSession, "tour") as keep:
+        ahead = keep(events)
+        for _ in range((2 * total - 1).bit_length() if total else 0):
+            ahead = keep(_further(ahead, counts, 2 * total))
+        if ahead.where(F.col("next").isNotNull()).count():
+            raise ValueError("the parents form a cycle")
+        pairs = materialize(
+            ahead.groupBy(F.shiftright("event", 1).alias("node")).agg(
+                *[F.max(F.when(on, F.col(c))).alias(f"{name}{c}") for c in counts for name, on in (("in", side), ("out", ~side))]
             )
         )
-    if ahead.where(F.col("next").isNotNull()).count():
-        raise ValueError("the parents form a cycle")
-    side = F.col("event").bitwiseAND(F.lit(1)) == 0
-    pairs = ahead.groupBy(F.shiftright("event", 1).alias("node")).agg(
-        *[F.max(F.when(on, F.col(c))).alias(f"{name}{c}") for c in counts for name, on in (("in", side), ("out", ~side))]
-    )
     # Counted from the end: what lies ahead of the first event, less what lies ahead of this one, lies before it.
     size = (F.col("in_n") - F.col("out_n")).cast("bigint")
     first = F.lit(total).cast("bigint") - F.col("in_n")

@@ -1,11 +1,14 @@
 """Trees of any depth against a walk in plain Python."""
 
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from rosterloom.operators import trees
 from rosterloom.operators.trees import is_below, tour
+from rosterloom.sources.staging import shared_dir
 
 
 def walked(rows):
@@ -55,6 +58,25 @@ def test_shapes(spark, shape):
         assert got[0] == (0, 999, 1, 1000, 499_500) and got[999][:4] == (999, 999, 1000, 1)
 
 
+def test_rounds_hand_on_no_estimate_and_no_table(spark):
+    before = set(os.listdir(shared_dir(spark)))
+    df = spark.createDataFrame([(k, k - 1 if k else None) for k in range(1000)], "node bigint, parent bigint")
+    # Each join's estimate is the product of its sides: handed on from round to round it had thousands of digits here.
+    size = str(tour(df)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    assert len(size) < 20
+    assert not [f for f in set(os.listdir(shared_dir(spark))) - before if f.startswith("tour-")]
+
+
+def test_ended_events_stay_out_of_the_join(spark):
+    rows = [(e, e + 1 if e < 10 else None, 1) for e in range(5000)]
+    ahead = spark.createDataFrame(rows, "event bigint, next bigint, _n bigint")
+    got = {r.event: (r.next, r._n) for r in trees._further(ahead, ["_n"], 10**9).collect()}
+    after = {e: (n, c) for e, n, c in rows}
+    assert got == {e: (after[n][0], c + after[n][1]) if n is not None else (n, c) for e, n, c in rows}
+    plan = trees._further(ahead, ["_n"], 10**9)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "isnotnull(next" in plan
+
+
 def test_below_is_an_interval(spark):
     rows = [(1, None, 1), (2, 1, 1), (3, 2, 1), (4, 1, 1), (5, 4, 1)]
     t = tour(spark.createDataFrame(rows, "node bigint, parent bigint, v int"))
