@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rosterloom.functions import pools
 from rosterloom.operators.lookups import weighted_lookup
-from rosterloom.plans.org import BLOCKS_PER_TASK, build_organisation, default_blocks, org_tree
+from rosterloom.plans.org import BLOCKS_PER_TASK, agile_teams, build_organisation, default_blocks, org_tree
 from rosterloom.plans.panel import generate_panel, panel
 from rosterloom.plans.roster import PanelSpec, numbered_slots
 from rosterloom.sources.schema import PANEL, PANEL_COLUMNS
@@ -202,3 +202,9 @@ def test_units_are_not_broadcast_by_estimate(spark):
     assert sum(r.blocks for r in rows) == 20_000 and max(r.blocks for r in rows) <= 2 * BLOCKS_PER_TASK
     leaves = tree.where("level = 4")
     assert "GenerateExec" not in exchanged_by_broadcast(weighted_lookup(spark.range(100), F.col("id"), leaves, {"uid": "leaf"}, bits=16))
+
+
+def test_agile_teams_are_planned_without_broadcast_units(spark):
+    """A broadcast of the units hands all of them, and the steps behind the join, to the few tasks of the blocks."""
+    blocks = spark.range(20_000).selectExpr("id AS block_no", "'b' AS name", "id % 2 = 0 AS is_it", "1L AS share")
+    assert "GenerateExec" not in exchanged_by_broadcast(agile_teams(org_tree(blocks)))
